@@ -324,14 +324,22 @@ def with_views(query: str) -> str:
     return f"WITH {body} {query}" if body else query
 
 
-def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One fixture view as a DataFrame."""
-    text = with_views(f"SELECT * FROM {name}")
-    given = {
-        t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in GIVEN if "{" + t + "}" in text
-    }
-    return spark.sql(text, **given)
+class Sources:
+    """The fixture views of one data folder as DataFrames. Each given table is opened once."""
 
+    def __init__(self, spark: SparkSession, sf_dir: str) -> None:
+        self.spark, self.sf_dir = spark, sf_dir
+        self._given: dict[str, DataFrame] = {}
 
-def source_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {table: load(spark, sf_dir, view) for table, view in SOURCE_VIEWS.items()}
+    def given(self, table: str) -> DataFrame:
+        if table not in self._given:
+            self._given[table] = self.spark.read.parquet(f"{self.sf_dir}/{table}.parquet")
+        return self._given[table]
+
+    def view(self, name: str) -> DataFrame:
+        text = with_views(f"SELECT * FROM {name}")
+        tables = {t: self.given(t) for t in GIVEN if "{" + t + "}" in text}
+        return self.spark.sql(text, **tables)
+
+    def source_tables(self) -> dict[str, DataFrame]:
+        return {table: self.view(view) for table, view in SOURCE_VIEWS.items()}

@@ -107,7 +107,7 @@ _OMS = """
                row_number() OVER (
                    PARTITION BY i.id_sales_order_item
                    ORDER BY st.name NULLS LAST, o.payment_method NULLS LAST,
-                            p.shipment_provider_name NULLS LAST, i.paid_price NULLS LAST) AS n
+                            pd.fk_shipment_provider NULLS LAST, i.paid_price NULLS LAST) AS n
         FROM order_item i
         LEFT JOIN order_head o ON o.id_sales_order = i.fk_sales_order
         LEFT JOIN package_item pi ON pi.fk_sales_order_item = i.id_sales_order_item

@@ -20,7 +20,12 @@ from tallybook.functions.periods import (
 )
 from tallybook.functions.rules import invalid_rows, valid_rows
 from tallybook.operators import counts, enrich, matching, postings, routing, uploads
-from tallybook.operators.row_checks import check_item_price_rows, check_seller_rows
+from tallybook.operators.row_checks import (
+    check_item_price_rows,
+    check_seller_rows,
+    valid_item_price_rows,
+    valid_seller_rows,
+)
 from tallybook.sources import maps, orders, seller
 from tallybook.sources.schemas import STAGED_COLUMNS
 
@@ -47,14 +52,13 @@ class Booking:
     """The steps of a booking run as lazy DataFrames."""
 
     def __init__(self, spark: SparkSession, sf_dir: str, period: Period | None = None) -> None:
-        self.spark, self.sf_dir, self.period = spark, sf_dir, period
-
-    def view(self, name: str) -> DataFrame:
-        return fixture.load(self.spark, self.sf_dir, name)
+        self.sources = fixture.Sources(spark, sf_dir)
+        self.view = self.sources.view
+        self.period = period
 
     @cached_property
     def tables(self) -> dict[str, DataFrame]:
-        return fixture.source_tables(self.spark, self.sf_dir)
+        return self.sources.source_tables()
 
     @cached_property
     def extract(self) -> DataFrame:
@@ -72,18 +76,26 @@ class Booking:
     def beneficiary_map(self) -> DataFrame:
         return maps.read_beneficiary_map(self.tables["beneficiary_code_map"])
 
+    @cached_property
+    def no_retail(self) -> DataFrame:
+        return seller.seller_extract(self.tables, self.period, self.retail)
+
     @cached_property
     def checked(self) -> DataFrame:
-        return check_seller_rows(matching.without_retail(self.extract, self.retail))
+        return check_seller_rows(self.no_retail)
 
     @cached_property
     def sc(self) -> DataFrame:
-        return valid_rows(self.checked).select(*STAGED_COLUMNS)
+        return valid_seller_rows(self.no_retail).select(*STAGED_COLUMNS)
 
     @cached_property
     def oms(self) -> DataFrame:
         return orders.order_extract(self.tables, matching.unique_item_ids(self.sc))
 
+    @cached_property
+    def all_orders(self) -> DataFrame:
+        return orders.order_extract(self.tables)
+
     @cached_property
     def item_prices(self) -> DataFrame:
         return matching.match_orders(self.sc, self.oms)
@@ -94,7 +106,7 @@ class Booking:
 
     @cached_property
     def item_prices_valid(self) -> DataFrame:
-        return valid_rows(self.item_prices_checked)
+        return valid_item_price_rows(self.item_prices)
 
     @cached_property
     def prices(self) -> DataFrame:
@@ -102,7 +114,8 @@ class Booking:
 
     @cached_property
     def booked(self) -> DataFrame:
-        return postings.book(self.sc, self.oms, self.ledger_map, self.beneficiary_map)
+        oms = self.oms if self.period else self.all_orders
+        return postings.book(self.sc, oms, self.ledger_map, self.beneficiary_map)
 
     @cached_property
     def booked_commissions(self) -> DataFrame:
@@ -121,7 +134,7 @@ class FlatBooking(Booking):
         ).select(*STAGED_COLUMNS)
 
     @cached_property
-    def oms(self) -> DataFrame:
+    def all_orders(self) -> DataFrame:
         return first_per_key(
             self.view("flat_orders"),
             "oms_id_sales_order_item",
@@ -131,7 +144,8 @@ class FlatBooking(Booking):
 
 def previous_month_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The month a run would book, for every day with transactions taken as its date."""
-    days = fixture.load(spark, sf_dir, "txn").select(F.to_date("created_at").alias("as_of"))
+    transactions = fixture.Sources(spark, sf_dir).view("txn")
+    days = transactions.select(F.to_date("created_at").alias("as_of"))
     return publish(
         days.distinct().select(
             "as_of",

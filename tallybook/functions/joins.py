@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 
 def lookup(facts: DataFrame, dim: DataFrame, key: str, dim_key: str, spread_by: Column) -> DataFrame:
-    """Left join of ``facts`` to ``dim`` on a bigint key that is often NULL.
+    """Left join of ``facts`` to ``dim`` on a bigint key that is often NULL; ``dim_key``,
+    which must be a name ``facts`` does not have, is dropped again.
 
     In a shuffle join all NULL keys would go to one task. A NULL key is replaced by a
     hash of ``spread_by`` (always negative), which spreads those rows over all tasks; the
@@ -17,16 +18,9 @@ def lookup(facts: DataFrame, dim: DataFrame, key: str, dim_key: str, spread_by:
     """
     scattered = F.bitwise_not(F.shiftrightunsigned(F.xxhash64(spread_by), 1))
     probe = F.coalesce(F.col(key).cast("bigint"), scattered)
-    return (
-        facts.withColumn("_probe", probe)
-        .withColumn("_known", F.col(key).isNotNull())
-        .join(
-            dim.withColumnRenamed(dim_key, "_dim_key"),
-            (F.col("_probe") == F.col("_dim_key")) & F.col("_known"),
-            "left",
-        )
-        .drop("_probe", "_known", "_dim_key")
-    )
+    probing = facts.select("*", probe.alias("_probe"), F.col(key).isNotNull().alias("_known"))
+    matching = (F.col("_probe") == F.col(dim_key)) & F.col("_known")
+    return probing.join(dim, matching, "left").drop("_probe", "_known", dim_key)
 
 
 def first_per_key(df: DataFrame, key: str, order: list[str]) -> DataFrame:

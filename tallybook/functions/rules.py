@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -58,6 +60,22 @@ def error_text(fields: Iterable[Field]) -> Column:
     return F.when(joined != "", F.concat(joined, F.lit(".")))
 
 
+def is_valid(fields: Iterable[Field]) -> Column:
+    """Whether a row has no error, without building the text.
+
+    A plain conjunction: Catalyst pushes each part to the side it reads, so rows without a
+    required partner or id are gone before they are shuffled.
+    """
+    passes = []
+    for field in fields:
+        value = F.col(field.column)
+        for fails, _ in field.checks:
+            # NULL passes every check but "required"; a required field is never NULL after it.
+            needed = field.checks[0][1] == fixed.BLANK
+            passes.append(~fails(value) if needed else F.coalesce(~fails(value), F.lit(True)))
+    return reduce(and_, passes)
+
+
 def with_error(df: DataFrame, fields: Iterable[Field]) -> DataFrame:
     return df.withColumn("error", error_text(fields))
 

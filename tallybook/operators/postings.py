@@ -17,7 +17,7 @@ from tallybook import fixed
 from tallybook.functions.joins import lookup
 from tallybook.functions.keys import LEDGER_KEY_PARTS, booking_key
 from tallybook.functions.money import MONEY_SUM, commission_revenue, commission_vat
-from tallybook.functions.rules import error_text
+from tallybook.functions.rules import is_valid
 from tallybook.operators.enrich import sign_of
 from tallybook.operators.row_checks import ORDER_PART
 
@@ -58,13 +58,24 @@ def seller_sums(sc: DataFrame) -> DataFrame:
     )
 
 
+def _with_codes(
+    sums: DataFrame, ledger_map: DataFrame, beneficiary_map: DataFrame
+) -> DataFrame:
+    return (
+        sums.withColumn("ledger_map_key", booking_key())
+        .join(ledger_map, "ledger_map_key", "left")
+        .join(beneficiary_map, "short_code", "left")
+        .select("booking_period", "kind", "ledger", "subledger", "beneficiary_code", "value", "paid")
+    )
+
+
 def book(
     sc: DataFrame, oms: DataFrame, ledger_map: DataFrame, beneficiary_map: DataFrame
 ) -> DataFrame:
     """Everything the postings need, summed per month, kind, account and seller.
 
     ``sc`` holds valid seller rows, ``oms`` one row per item. Item prices with incomplete
-    order data are left out, as in the row-level check.
+    order data are left out, as in the row-level check. One pass over ``sc``.
     """
     matched = lookup(
         seller_sums(sc),
@@ -72,22 +83,28 @@ def book(
         ITEM,
         "id_item",
         F.struct("short_code", "booking_period"),
-    ).where(F.col("kind").isNull() | error_text(ORDER_PART).isNull())
-    # No money column is NULL: a commission has no paid price and its value is its own sum.
-    is_price = F.col("kind").isNotNull()
-    zero = F.lit(0).cast(MONEY_SUM)
+    ).where(F.col("kind").isNull() | is_valid(ORDER_PART))
+    # A commission has no paid price; no money column is ever NULL.
     paid = sign_of(F.col("kind")) * F.col("rows").cast("decimal(14,0)") * F.col("paid_price")
+    paid = F.when(F.col("kind").isNotNull(), paid).otherwise(0).cast(MONEY_SUM)
     sums = (
-        matched.withColumn("paid", F.when(is_price, paid.cast(MONEY_SUM)).otherwise(zero))
+        matched.withColumn("paid", paid)
         .groupBy("booking_period", "kind", *LEDGER_KEY_PARTS, "short_code")
         .agg(_money_sum("value", "value"), _money_sum("paid", "paid"))
     )
-    return (
-        sums.withColumn("ledger_map_key", booking_key())
-        .join(ledger_map, "ledger_map_key", "left")
-        .join(beneficiary_map, "short_code", "left")
-        .select("booking_period", "kind", "ledger", "subledger", "beneficiary_code", "value", "paid")
-    )
+    return _with_codes(sums, ledger_map, beneficiary_map)
+
+
+def book_item_prices(
+    valid_item_prices: DataFrame, ledger_map: DataFrame, beneficiary_map: DataFrame
+) -> DataFrame:
+    """The item-price part of ``book``, from rows that are already matched and checked."""
+    kind = F.col("id_transaction_type")
+    signed = (sign_of(kind) * F.col("paid_price")).cast(MONEY_SUM)
+    sums = valid_item_prices.groupBy(
+        "booking_period", kind.alias("kind"), *LEDGER_KEY_PARTS, "short_code"
+    ).agg(_money_sum("transaction_value", "value"), _money_sum(signed, "paid"))
+    return _with_codes(sums, ledger_map, beneficiary_map)
 
 
 def book_commissions(sc: DataFrame, beneficiary_map: DataFrame) -> DataFrame:
@@ -110,6 +127,17 @@ def book_commissions(sc: DataFrame, beneficiary_map: DataFrame) -> DataFrame:
     )
 
 
+def book_checked(
+    valid_item_prices: DataFrame,
+    sc: DataFrame,
+    ledger_map: DataFrame,
+    beneficiary_map: DataFrame,
+) -> DataFrame:
+    """As ``book``, for a run that has already written its matched item prices."""
+    prices = book_item_prices(valid_item_prices, ledger_map, beneficiary_map)
+    return prices.unionByName(book_commissions(sc, beneficiary_map))
+
+
 @dataclass(frozen=True)
 class _Line:
     """How a booked sum becomes a posting line: which sums, which account, which money."""

@@ -12,7 +12,7 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # A side is broadcast only if Spark's own size estimate, or its measured shuffle size,
     # stays under this; beyond it the join shuffles.
-    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.autoBroadcastJoinThreshold": "32m",
     # Let one month's ids prune the scans of the far larger order tables.
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
     "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "1g",

@@ -14,7 +14,11 @@ from tallybook.sources.schemas import ORDER_COLUMNS
 ITEM = "oms_id_sales_order_item"
 
 
-def _items(tables: Mapping[str, DataFrame], ids: DataFrame) -> DataFrame:
+def _wanted(rows: DataFrame, ids: DataFrame | None) -> DataFrame:
+    return rows if ids is None else rows.join(ids.select(ITEM), ITEM, "left_semi")
+
+
+def _items(tables: Mapping[str, DataFrame], ids: DataFrame | None) -> DataFrame:
     """Items of the ids with their status and payment method."""
     items = tables["ims_sales_order_item"].select(
         F.col("id_sales_order_item").alias(ITEM),
@@ -26,60 +30,59 @@ def _items(tables: Mapping[str, DataFrame], ids: DataFrame) -> DataFrame:
         "id_sales_order_item_status", F.col("name").alias("item_status")
     )
     orders = tables["ims_sales_order"].select("id_sales_order", "payment_method")
-    out = items.join(ids.select(ITEM), ITEM, "left_semi")
+    out = _wanted(items, ids)
     out = lookup(out, orders, "fk_sales_order", "id_sales_order", F.col(ITEM))
     return lookup(
         out, statuses, "fk_sales_order_item_status", "id_sales_order_item_status", F.col(ITEM)
     )
 
 
-def _packages(tables: Mapping[str, DataFrame], ids: DataFrame) -> DataFrame:
+def _packages(tables: Mapping[str, DataFrame], ids: DataFrame | None) -> DataFrame:
     """(item, package) pairs of the ids."""
     pairs = tables["oms_package_item"].select(
         F.col("fk_sales_order_item").alias(ITEM), "fk_package"
     )
-    return pairs.join(ids.select(ITEM), ITEM, "left_semi")
+    return _wanted(pairs, ids)
+
+
+def _dispatches(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """(package, provider id) pairs."""
+    return tables["oms_package_dispatching"].select(
+        F.col("fk_package").alias("id_package"), "fk_shipment_provider"
+    )
 
 
-def _dispatched(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """(package, provider name) pairs."""
+def _with_provider(rows: DataFrame, tables: Mapping[str, DataFrame]) -> DataFrame:
     providers = tables["oms_shipment_provider"].select(
         "id_shipment_provider", "shipment_provider_name"
     )
     return lookup(
-        tables["oms_package_dispatching"].select("fk_package", "fk_shipment_provider"),
-        providers,
-        "fk_shipment_provider",
-        "id_shipment_provider",
-        F.col("fk_package"),
-    ).select("fk_package", "shipment_provider_name")
+        rows, providers, "fk_shipment_provider", "id_shipment_provider", F.col(ITEM)
+    )
+
 
+def order_extract(tables: Mapping[str, DataFrame], ids: DataFrame | None = None) -> DataFrame:
+    """One row per item id of ``ids`` that the order side knows (all items without ``ids``).
 
-def order_extract(tables: Mapping[str, DataFrame], ids: DataFrame) -> DataFrame:
-    """One row per item id of ``ids`` that the order side knows.
+    Give ``ids`` when they are few of all items, such as those of one month; a run over all
+    months would only pay for finding them.
 
     An item may have many packages and a package many dispatches; the first row by
-    (status, method, provider, paid price) is kept. Packages and dispatches are reduced to
-    their first provider before they are joined, so they multiply no rows and the side
-    that a join looks up always has unique keys.
+    (status, method, provider id, paid price) is kept, NULLs last. Packages and dispatches
+    are reduced to their lowest provider id, a plain hash aggregate, before they are joined:
+    they multiply no rows, and the side that a join looks up always has unique keys.
     """
     attributes = first_per_key(
         _items(tables, ids), ITEM, ["item_status", "payment_method", "paid_price"]
     )
-    first_provider = F.min("shipment_provider_name").alias("shipment_provider_name")
-    by_package = _dispatched(tables).groupBy("fk_package").agg(first_provider)
-    by_item = (
-        lookup(
-            _packages(tables, ids),
-            by_package.withColumnRenamed("fk_package", "id_package"),
-            "fk_package",
-            "id_package",
-            F.col(ITEM),
-        )
-        .groupBy(ITEM)
-        .agg(first_provider)
+    lowest = F.min("fk_shipment_provider").alias("fk_shipment_provider")
+    by_package = _dispatches(tables).groupBy("id_package").agg(lowest)
+    packages = lookup(
+        _packages(tables, ids), by_package, "fk_package", "id_package", F.col(ITEM)
     )
-    return attributes.join(by_item, ITEM, "left").select(*ORDER_COLUMNS)
+    by_item = packages.groupBy(ITEM).agg(lowest)
+    matched = attributes.join(by_item, ITEM, "left")
+    return _with_provider(matched, tables).select(*ORDER_COLUMNS)
 
 
 def shipped_ledger_keys(tables: Mapping[str, DataFrame], ids: DataFrame) -> DataFrame:
@@ -93,15 +96,18 @@ def shipped_ledger_keys(tables: Mapping[str, DataFrame], ids: DataFrame) -> Data
         .select(F.col("fk_sales_order_item").alias(ITEM))
     )
     wanted = ids.select(ITEM).join(shipped, ITEM, "left_semi")
-    dispatched = _dispatched(tables).distinct().withColumnRenamed("fk_package", "id_package")
-    providers = lookup(
-        _packages(tables, wanted).distinct(), dispatched, "fk_package", "id_package", F.col(ITEM)
-    ).select(ITEM, "shipment_provider_name").distinct()
+    # Distinct pairs on both sides: what an item can match is bounded by the providers.
+    packages = lookup(
+        _packages(tables, wanted).distinct(),
+        _dispatches(tables).distinct(),
+        "fk_package",
+        "id_package",
+        F.col(ITEM),
+    )
+    providers = packages.select(ITEM, "fk_shipment_provider").distinct()
+    items = _items(tables, wanted).select(ITEM, "item_status", "payment_method").distinct()
     return (
-        _items(tables, wanted)
-        .select(ITEM, "item_status", "payment_method")
-        .distinct()
-        .join(providers, ITEM, "left")
+        _with_provider(items.join(providers, ITEM, "left"), tables)
         .select(
             F.concat(
                 "item_status", F.lit("-"), "payment_method", F.lit("-"), "shipment_provider_name"

@@ -13,11 +13,17 @@ from tallybook.functions.periods import Period, booking_month, in_period
 from tallybook.sources.schemas import SELLER_COLUMNS
 
 
-def seller_extract(tables: Mapping[str, DataFrame], period: Period | None = None) -> DataFrame:
+def seller_extract(
+    tables: Mapping[str, DataFrame],
+    period: Period | None = None,
+    retail: DataFrame | None = None,
+) -> DataFrame:
     """One row per transaction of the period (all periods if none is given).
 
-    Missing partners leave NULLs. ``booking_period`` is the first day of the month. The
-    seller comes first: a later filter on ``short_code`` then moves below the large joins.
+    Missing partners leave NULLs. ``booking_period`` is the first day of the month. With a
+    ``retail`` list the rows of those sellers are left out. The list is matched with the
+    sellers, not with the far more numerous transactions, and the rows are gone before the
+    large joins.
     """
     transactions = in_period(tables["transaction"], "created_at", period).select(
         "id_transaction",
@@ -51,7 +57,12 @@ def seller_extract(tables: Mapping[str, DataFrame], period: Period | None = None
         F.col("end_date").alias("statement_end_date"),
     )
     row = F.col("id_transaction")
+    if retail is not None:
+        listed = retail.select("short_code").distinct().withColumn("is_retail", F.lit(True))
+        sellers = sellers.join(listed, "short_code", "left")
     out = lookup(transactions, sellers, "fk_seller", "id_seller", row)
+    if retail is not None:
+        out = out.where(F.col("is_retail").isNull())
     out = lookup(out, items, "ref", "id_sales_order_item", row)
     out = lookup(out, orders, "fk_sales_order", "id_sales_order", row)
     out = lookup(
