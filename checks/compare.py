@@ -25,8 +25,9 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 
 def _plain(value):
+    """Doubles are compared bit by bit, but for NaN and the sign of zero."""
     if isinstance(value, float):
-        return "nan" if math.isnan(value) else f"{value:.6f}".replace("-0.000000", "0.000000")
+        return "nan" if math.isnan(value) else value + 0.0
     return value
 
 
