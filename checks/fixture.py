@@ -261,7 +261,7 @@ VIEWS: dict[str, str] = {
     # Valid upload rows whose keys repeat, in row order.
     "ok_beneficiary": f"""
         SELECT o_orderkey AS row_no, {code('o_custkey')} AS short_code,
-               CASE WHEN o_custkey % 41 = 9 THEN concat(CAST(3000000000 + o_custkey AS STRING),
+               CASE WHEN o_orderkey % 41 = 9 THEN concat(CAST(3000000000 + o_custkey AS STRING),
                                                         '0000000000')
                     ELSE CAST(3000000000 + o_custkey AS STRING) END AS beneficiary_code
         FROM {{orders}}""",

@@ -356,9 +356,10 @@ def _append(rows: str, stored: str, keys: tuple[str, ...], codes: tuple[str, ...
     return f"""
     SELECT {partition}{typed},
            CASE WHEN EXISTS (SELECT 1 FROM {stored} s WHERE {same}) THEN 'key is already stored'
-                WHEN row_number() OVER (PARTITION BY {partition} ORDER BY u.row_no) > 1
-                THEN 'key occurs earlier in the upload'
-                WHEN {overflow} THEN 'number is out of range' END AS error,
+                WHEN coalesce({overflow}, false) THEN 'number is out of range'
+                WHEN row_number() OVER (PARTITION BY {partition}, coalesce({overflow}, false)
+                                        ORDER BY u.row_no) > 1
+                THEN 'key occurs earlier in the upload' END AS error,
            u.row_no
     FROM {rows} u"""
 

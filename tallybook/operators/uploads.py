@@ -51,25 +51,26 @@ def check_upload(rows: DataFrame, upload: Upload) -> DataFrame:
 def plan_append(rows: DataFrame, stored: DataFrame, upload: Upload) -> DataFrame:
     """Valid upload rows in the stored types, with ``error`` where the store must refuse.
 
-    Of rows with the same key the first by ``row_no`` is taken, if the key is not stored
-    yet. Both looked-up sides have unique keys.
+    Of rows with the same key the first by ``row_no`` that fits the stored types is taken,
+    if the key is not stored yet. Both looked-up sides have unique keys.
     """
     keys = upload.keys
-    first = rows.groupBy(*keys).agg(F.min("row_no").alias("first_row"))
-    known = stored.select(*keys).distinct().withColumn("is_stored", F.lit(True))
     typed, overflow = [], F.lit(False)
     for field in upload.schema:
         text = F.when(F.col(field.name) != "", F.col(field.name))
         value = text.try_cast(field.dataType)
         typed.append(value.alias(field.name))
         overflow = overflow | (text.isNotNull() & value.isNull())
+    rows = rows.select(*typed, overflow.alias("overflow"), "row_no")
+    first = rows.where(~F.col("overflow")).groupBy(*keys).agg(F.min("row_no").alias("first_row"))
+    known = stored.select(*keys).distinct().withColumn("is_stored", F.lit(True))
     error = (
         F.when(F.col("is_stored"), KEY_PRESENT)
+        .when(F.col("overflow"), OUT_OF_RANGE)
         .when(F.col("row_no") > F.col("first_row"), KEY_REPEATED)
-        .when(overflow, OUT_OF_RANGE)
     )
     return (
         rows.join(first, keys, "left")
         .join(known, keys, "left")
-        .select(*typed, error.alias("error"), "row_no")
+        .select(*upload.columns, error.alias("error"), "row_no")
     )
