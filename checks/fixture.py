@@ -11,6 +11,7 @@ import re
 from itertools import product
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 GIVEN = ("lineitem", "orders", "supplier", "customer")
 
@@ -325,16 +326,18 @@ def with_views(query: str) -> str:
 
 
 class Sources:
-    """The fixture views of one data folder as DataFrames. Each given table is opened once."""
+    """The fixture views of one data folder as DataFrames."""
 
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self.spark, self.sf_dir = spark, sf_dir
-        self._given: dict[str, DataFrame] = {}
+        self._schemas: dict[str, StructType] = {}
 
     def given(self, table: str) -> DataFrame:
-        if table not in self._given:
-            self._given[table] = self.spark.read.parquet(f"{self.sf_dir}/{table}.parquet")
-        return self._given[table]
+        """A new scan each time, as of separate tables; the schema is looked up once."""
+        path = f"{self.sf_dir}/{table}.parquet"
+        if table not in self._schemas:
+            self._schemas[table] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(self._schemas[table]).parquet(path)
 
     def view(self, name: str) -> DataFrame:
         text = with_views(f"SELECT * FROM {name}")

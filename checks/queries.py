@@ -13,7 +13,6 @@ from tallybook import fixed
 from tallybook.functions.joins import first_per_key
 from tallybook.functions.periods import (
     Period,
-    booking_month,
     in_period,
     previous_month_end,
     previous_month_start,
@@ -35,17 +34,16 @@ BOOKED_MONTH = Period.month(1996, 12)
 def publish(df: DataFrame) -> DataFrame:
     """Types both engines print alike: dates as text, money as double."""
     shown = []
-    for f in df.schema:
-        kind = f.dataType.simpleString()
+    for name, kind in df.dtypes:
         if kind == "date":
-            shown.append(F.col(f.name).cast("string").alias(f.name))
+            shown.append(f"CAST({name} AS string) AS {name}")
         elif kind.startswith("decimal"):
-            shown.append(F.col(f.name).cast("double").alias(f.name))
+            shown.append(f"CAST({name} AS double) AS {name}")
         elif kind == "int":
-            shown.append(F.col(f.name).cast("bigint").alias(f.name))
+            shown.append(f"CAST({name} AS bigint) AS {name}")
         else:
-            shown.append(F.col(f.name))
-    return df.select(*shown)
+            shown.append(name)
+    return df.selectExpr(*shown)
 
 
 class Booking:
@@ -89,12 +87,13 @@ class Booking:
         return valid_seller_rows(self.no_retail).select(*STAGED_COLUMNS)
 
     @cached_property
-    def oms(self) -> DataFrame:
-        return orders.order_extract(self.tables, matching.unique_item_ids(self.sc))
+    def item_ids(self) -> DataFrame:
+        return matching.unique_item_ids(self.sc)
 
     @cached_property
-    def all_orders(self) -> DataFrame:
-        return orders.order_extract(self.tables)
+    def oms(self) -> DataFrame:
+        """Orders to match with: of the booked items, or of all when every month is booked."""
+        return orders.order_extract(self.tables, self.item_ids if self.period else None)
 
     @cached_property
     def item_prices(self) -> DataFrame:
@@ -114,8 +113,7 @@ class Booking:
 
     @cached_property
     def booked(self) -> DataFrame:
-        oms = self.oms if self.period else self.all_orders
-        return postings.book(self.sc, oms, self.ledger_map, self.beneficiary_map)
+        return postings.book(self.sc, self.oms, self.ledger_map, self.beneficiary_map)
 
     @cached_property
     def booked_commissions(self) -> DataFrame:
@@ -128,13 +126,13 @@ class FlatBooking(Booking):
     @cached_property
     def sc(self) -> DataFrame:
         rows = in_period(self.view("flat_raw"), "created_at", self.period)
-        rows = rows.withColumn("booking_period", booking_month(F.col("created_at")))
+        rows = rows.selectExpr("*", "trunc(created_at, 'MM') AS booking_period")
         return matching.without_retail(rows, self.retail).where(
             "id_supplier <> 0 AND transaction_value <> 0 AND oms_id_sales_order_item <> 0"
         ).select(*STAGED_COLUMNS)
 
     @cached_property
-    def all_orders(self) -> DataFrame:
+    def oms(self) -> DataFrame:
         return first_per_key(
             self.view("flat_orders"),
             "oms_id_sales_order_item",
@@ -156,16 +154,14 @@ def previous_month_window(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _step_counts(b: Booking) -> DataFrame:
-    missing = matching.missing_ledger_keys(b.item_prices_valid, b.ledger_map)
     return (
         counts.seller_counts(check_seller_rows(b.extract), b.retail, b.beneficiary_map)
-        .unionByName(counts.item_price_counts(b.item_prices_checked))
+        .unionByName(counts.item_price_counts(b.item_prices_checked, b.ledger_map))
         .unionByName(
             counts.table_counts(
                 beneficiary_map=b.beneficiary_map,
-                orders=b.oms,
+                orders=orders.order_extract(b.tables, b.item_ids),
                 ledger_map=b.ledger_map,
-                missing_ledger_keys=missing,
             )
         )
     )
@@ -181,7 +177,7 @@ def _append(kind: str, rows: str, stored: str) -> Callable[[Booking], DataFrame]
 
 STEPS: dict[str, Callable[[Booking], DataFrame]] = {
     "sc_extract": lambda b: b.extract,
-    "oms_extract": lambda b: b.oms,
+    "oms_extract": lambda b: orders.order_extract(b.tables, b.item_ids),
     "ledger_map_read": lambda b: maps.read_ledger_map(b.view("ledger_rows_raw")),
     "beneficiary_map_read": lambda b: b.beneficiary_map,
     "retail_list_read": lambda b: b.retail,
@@ -192,7 +188,7 @@ STEPS: dict[str, Callable[[Booking], DataFrame]] = {
     "sc_invalid": lambda b: invalid_rows(b.checked),
     "type_routing": lambda b: routing.route(b.sc),
     "bucket_comment": lambda b: routing.commented(routing.route(b.sc)),
-    "unique_item_ids": lambda b: matching.unique_item_ids(b.sc),
+    "unique_item_ids": lambda b: b.item_ids,
     "item_price_credit_oms": lambda b: routing.bucket(b.item_prices, "item_price_credit"),
     "item_price_oms": lambda b: routing.bucket(b.item_prices, "item_price"),
     "item_price_and_credit": lambda b: b.item_prices,
@@ -226,9 +222,7 @@ STEPS: dict[str, Callable[[Booking], DataFrame]] = {
     "append_beneficiary": _append("benef_code_map", "ok_beneficiary", "benef"),
     "append_retail": _append("retail_supplier", "ok_retail", "retail"),
     "append_ledger_map": _append("ledger_map", "ok_ledger", "ledger_rows_gaps"),
-    "shipped_ledger_keys": lambda b: orders.shipped_ledger_keys(
-        b.tables, matching.unique_item_ids(b.sc)
-    ),
+    "shipped_ledger_keys": lambda b: orders.shipped_ledger_keys(b.tables, b.item_ids),
 } | {
     f"bucket_{name}": (lambda b, name=name: routing.bucket(b.sc, name)) for name in fixed.BUCKETS
 }

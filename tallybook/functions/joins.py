@@ -2,24 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def lookup(facts: DataFrame, dim: DataFrame, key: str, dim_key: str, spread_by: Column) -> DataFrame:
+def lookup(facts: DataFrame, dim: DataFrame, key: str, dim_key: str, spread_by: str) -> DataFrame:
     """Left join of ``facts`` to ``dim`` on a bigint key that is often NULL; ``dim_key``,
     which must be a name ``facts`` does not have, is dropped again.
 
-    In a shuffle join all NULL keys would go to one task. A NULL key is replaced by a
-    hash of ``spread_by`` (always negative), which spreads those rows over all tasks; the
-    extra condition keeps them unmatched whatever ids ``dim`` holds. No hint is given:
-    Spark broadcasts ``dim`` if its size allows, and otherwise shuffles and splits hot
-    keys of ``facts`` (adaptive skew join), which is why ``facts`` is the left side.
+    In a shuffle join all NULL keys would go to one task. A NULL key is replaced by a hash
+    of the columns ``spread_by`` (always negative), which spreads those rows over all tasks;
+    the extra condition keeps them unmatched whatever ids ``dim`` holds. No hint is given:
+    Spark broadcasts ``dim`` if its size allows, and otherwise shuffles and splits hot keys
+    of ``facts`` (adaptive skew join), which is why ``facts`` is the left side.
     """
-    scattered = F.bitwise_not(F.shiftrightunsigned(F.xxhash64(spread_by), 1))
-    probe = F.coalesce(F.col(key).cast("bigint"), scattered)
-    probing = facts.select("*", probe.alias("_probe"), F.col(key).isNotNull().alias("_known"))
-    matching = (F.col("_probe") == F.col(dim_key)) & F.col("_known")
+    probing = facts.selectExpr(
+        "*",
+        f"coalesce({key}, ~shiftrightunsigned(xxhash64({spread_by}), 1)) AS _probe",
+        f"{key} IS NOT NULL AS _known",
+    )
+    matching = F.expr(f"_probe = {dim_key} AND _known")
     return probing.join(dim, matching, "left").drop("_probe", "_known", dim_key)
 
 
@@ -29,6 +31,6 @@ def first_per_key(df: DataFrame, key: str, order: list[str]) -> DataFrame:
     An aggregate rather than a window: each task first reduces its own rows, so a hot key
     never gathers in one task.
     """
-    ranked = F.struct(*[f for c in order for f in (F.col(c).isNull().alias(f"no_{c}"), F.col(c))])
-    best = df.groupBy(key).agg(F.min(ranked).alias("_best"))
-    return best.select(key, *[F.col(f"_best.{c}").alias(c) for c in order])
+    ranked = ", ".join(f"{c} IS NULL AS no_{c}, {c}" for c in order)
+    best = df.groupBy(key).agg(F.expr(f"min(struct({ranked}))").alias("_best"))
+    return best.selectExpr(key, *[f"_best.{c} AS {c}" for c in order])

@@ -1,23 +1,10 @@
-"""The text key that links an item-price row to its ledger."""
+"""The text key that links an item-price row to its ledger, as SQL expressions."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 LEDGER_KEY_PARTS = ("transaction_type", "item_status", "payment_method", "shipment_provider_name")
 
-
-def _dashed(parts: list[Column]) -> Column:
-    pieces = [piece for part in parts for piece in (F.lit("-"), part)][1:]
-    return F.concat(*pieces)
-
-
-def booking_key() -> Column:
-    """Key of a booked row; NULL as soon as one part is NULL."""
-    return _dashed([F.col(c) for c in LEDGER_KEY_PARTS])
-
-
-def map_key() -> Column:
-    """Key of a ledger-map row; a NULL part counts as empty text."""
-    return _dashed([F.coalesce(F.col(c), F.lit("")) for c in LEDGER_KEY_PARTS])
+# Key of a booked row; NULL as soon as one part is NULL.
+BOOKING_KEY = " || '-' || ".join(LEDGER_KEY_PARTS)
+# Key of a ledger-map row; a NULL part counts as empty text.
+MAP_KEY = " || '-' || ".join(f"coalesce({part}, '')" for part in LEDGER_KEY_PARTS)

@@ -1,10 +1,7 @@
-"""Money types and the commission split."""
+"""Money types and the commission split, as SQL expressions."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 from tallybook import fixed
 
 MONEY = "decimal(18,4)"
@@ -12,10 +9,14 @@ MONEY = "decimal(18,4)"
 MONEY_SUM = "decimal(38,4)"
 
 
-def commission_revenue(value: Column) -> Column:
+def money_sum(expression: str, name: str) -> str:
+    return f"CAST(sum({expression}) AS {MONEY_SUM}) AS {name}"
+
+
+def commission_revenue(value: str) -> str:
     """Net commission of a gross value; linear, so it also applies to a sum of values."""
-    return value.cast("double") * -1 * fixed.NET_PERCENT / fixed.GROSS_PERCENT
+    return f"CAST({value} AS double) * -1 * {fixed.NET_PERCENT} / {fixed.GROSS_PERCENT}"
 
 
-def commission_vat(value: Column) -> Column:
-    return commission_revenue(value) * fixed.VAT_RATE
+def commission_vat(value: str) -> str:
+    return f"{commission_revenue(value)} * {fixed.VAT_RATE}D"

@@ -38,10 +38,6 @@ def in_period(df: DataFrame, column: str, period: Period | None) -> DataFrame:
     return df.where((F.col(column) >= start) & (F.col(column) < end))
 
 
-def booking_month(column: Column) -> Column:
-    return F.trunc(column, "MM")
-
-
 def previous_month_start(as_of: Column) -> Column:
     return F.add_months(F.trunc(as_of, "MM"), -1)
 

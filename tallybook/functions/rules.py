@@ -1,35 +1,39 @@
-"""Row rules as column expressions: one pass, no UDF, readable error texts."""
+"""Row rules as SQL expressions: one pass, no UDF, readable error texts."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Iterable
 from dataclasses import dataclass
-from functools import reduce
-from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallybook import fixed
 
-Check = tuple[Callable[[Column], Column], str]
+# A check is the condition under which column {c} fails, and the message for it.
+Check = tuple[str, str]
 
-REQUIRED_TEXT: Check = (lambda c: c.isNull() | (c == ""), fixed.BLANK)
-REQUIRED_NUMBER: Check = (lambda c: c.isNull() | (c == 0), fixed.BLANK)
-REQUIRED_DATE: Check = (lambda c: c.isNull(), fixed.BLANK)
-IS_INTEGER: Check = (
-    lambda c: (c != "") & ~c.rlike(fixed.INTEGER_FORMAT),
-    fixed.NOT_AN_INTEGER,
-)
+REQUIRED_TEXT: Check = ("{c} IS NULL OR {c} = ''", fixed.BLANK)
+REQUIRED_NUMBER: Check = ("{c} IS NULL OR {c} = 0", fixed.BLANK)
+REQUIRED_DATE: Check = ("{c} IS NULL", fixed.BLANK)
 
 
-def matches(pattern: str) -> Check:
-    return (lambda c: (c != "") & ~c.rlike(pattern), fixed.WRONG_FORMAT)
+def _quoted(text: str) -> str:
+    return "r'" + text + "'"
+
+
+def matches(pattern: str, message: str = fixed.WRONG_FORMAT) -> Check:
+    # Braces are doubled for the later str.format of the column name.
+    literal = _quoted(pattern).replace("{", "{{").replace("}", "}}")
+    return (f"{{c}} <> '' AND NOT {{c}} RLIKE {literal}", message)
+
+
+IS_INTEGER: Check = matches(fixed.INTEGER_FORMAT, fixed.NOT_AN_INTEGER)
 
 
 def one_of(values: Iterable[str]) -> Check:
-    allowed = list(values)
-    return (lambda c: (c != "") & ~c.isin(allowed), fixed.NOT_ALLOWED)
+    allowed = ", ".join(_quoted(v) for v in values)
+    return (f"{{c}} <> '' AND {{c}} NOT IN ({allowed})", fixed.NOT_ALLOWED)
 
 
 @dataclass(frozen=True)
@@ -44,20 +48,23 @@ class Field:
     def name(self) -> str:
         return self.label or self.column
 
-    def message(self) -> Column:
-        first, *rest = self.checks
-        value = F.col(self.column)
-        chain = F.when(first[0](value), F.lit(f"{self.name}: {first[1]}"))
-        for fails, text in rest:
-            chain = chain.when(fails(value), F.lit(f"{self.name}: {text}"))
-        return chain
+    @property
+    def is_required(self) -> bool:
+        return self.checks[0][1] == fixed.BLANK
+
+    def failures(self) -> list[tuple[str, str]]:
+        return [(bad.format(c=self.column), text) for bad, text in self.checks]
+
+    def message(self) -> str:
+        cases = [f"WHEN {bad} THEN '{self.name}: {text}'" for bad, text in self.failures()]
+        return f"CASE {' '.join(cases)} END"
 
 
 def error_text(fields: Iterable[Field]) -> Column:
     """``name: message; name: message.`` in name order, or NULL for a valid row."""
     ordered = sorted(fields, key=lambda f: f.name)
-    joined = F.concat_ws("; ", *[f.message() for f in ordered])
-    return F.when(joined != "", F.concat(joined, F.lit(".")))
+    joined = f"concat_ws('; ', {', '.join(f.message() for f in ordered)})"
+    return F.expr(f"concat(nullif({joined}, ''), '.')")
 
 
 def is_valid(fields: Iterable[Field]) -> Column:
@@ -66,14 +73,13 @@ def is_valid(fields: Iterable[Field]) -> Column:
     A plain conjunction: Catalyst pushes each part to the side it reads, so rows without a
     required partner or id are gone before they are shuffled.
     """
-    passes = []
-    for field in fields:
-        value = F.col(field.column)
-        for fails, _ in field.checks:
-            # NULL passes every check but "required"; a required field is never NULL after it.
-            needed = field.checks[0][1] == fixed.BLANK
-            passes.append(~fails(value) if needed else F.coalesce(~fails(value), F.lit(True)))
-    return reduce(and_, passes)
+    # NULL passes every check but "required"; a required field is never NULL after it.
+    passes = [
+        f"NOT ({bad})" if field.is_required else f"coalesce(NOT ({bad}), true)"
+        for field in fields
+        for bad, _ in field.failures()
+    ]
+    return F.expr(" AND ".join(passes))
 
 
 def with_error(df: DataFrame, fields: Iterable[Field]) -> DataFrame:
@@ -81,8 +87,8 @@ def with_error(df: DataFrame, fields: Iterable[Field]) -> DataFrame:
 
 
 def valid_rows(checked: DataFrame) -> DataFrame:
-    return checked.where(F.col("error").isNull()).drop("error")
+    return checked.where("error IS NULL").drop("error")
 
 
 def invalid_rows(checked: DataFrame) -> DataFrame:
-    return checked.where(F.col("error").isNotNull())
+    return checked.where("error IS NOT NULL")

@@ -7,16 +7,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SELLER_STEPS = (
-    "extracted",
-    "without_retail",
-    "seller_rows_valid",
-    "seller_rows_invalid",
-    "missing_beneficiary",
-)
-ITEM_PRICE_STEPS = ("item_prices", "item_prices_valid", "item_prices_invalid")
-
-
 def _as_rows(counts: DataFrame) -> DataFrame:
     """One row (step, rows) per column of a one-row frame."""
     pairs = [
@@ -48,13 +38,19 @@ def seller_counts(
     return _as_rows(flagged.agg(*[count.alias(step) for step, count in steps.items()]))
 
 
-def item_price_counts(checked_item_prices: DataFrame) -> DataFrame:
-    valid = F.col("error").isNull()
+def item_price_counts(checked_item_prices: DataFrame, ledger_map: DataFrame) -> DataFrame:
+    """Counts of the item-price steps in one pass over the checked rows."""
+    mapped = ledger_map.select("ledger_map_key").distinct().withColumn("is_mapped", F.lit(True))
+    flagged = checked_item_prices.join(mapped, "ledger_map_key", "left")
+    lacking = "error IS NULL AND is_mapped IS NULL"
     return _as_rows(
-        checked_item_prices.agg(
+        flagged.agg(
             F.count("*").alias("item_prices"),
-            F.count_if(valid).alias("item_prices_valid"),
-            F.count_if(~valid).alias("item_prices_invalid"),
+            F.expr("count_if(error IS NULL)").alias("item_prices_valid"),
+            F.expr("count_if(error IS NOT NULL)").alias("item_prices_invalid"),
+            F.expr(f"count(DISTINCT CASE WHEN {lacking} THEN ledger_map_key END)").alias(
+                "missing_ledger_keys"
+            ),
         )
     )
 

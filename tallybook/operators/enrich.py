@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallybook import fixed
-from tallybook.functions.money import commission_revenue, commission_vat
+from tallybook.functions.money import MONEY, commission_revenue, commission_vat
+from tallybook.operators.routing import commission_type_rows
 
 _PRICE_COLUMNS = (
     "booking_period",
@@ -44,9 +45,8 @@ _COMMISSION_COLUMNS = (
 )
 
 
-def sign_of(type_id: Column) -> Column:
-    """+1 for an item price credit, -1 for an item price."""
-    return F.when(type_id == fixed.ITEM_PRICE_CREDIT, F.lit(1)).otherwise(F.lit(-1))
+# Sign of a paid price by its type or kind.
+SIGN = "CASE WHEN {0} = " + str(fixed.ITEM_PRICE_CREDIT) + " THEN 1 ELSE -1 END"
 
 
 def price_rows(
@@ -54,10 +54,10 @@ def price_rows(
 ) -> DataFrame:
     """Both kinds of item-price rows with codes; ``paid_price`` carries the sign of its
     kind, and voucher + paid price = transaction value."""
-    signed = sign_of(F.col("id_transaction_type")) * F.col("paid_price")
+    paid = f"CAST({SIGN.format('id_transaction_type')} * paid_price AS {MONEY})"
     return (
-        valid_item_prices.withColumn("paid_price", signed.cast("decimal(18,4)"))
-        .withColumn("voucher", F.col("transaction_value") - F.col("paid_price"))
+        valid_item_prices.withColumn("paid_price", F.expr(paid))
+        .withColumn("voucher", F.expr("transaction_value - paid_price"))
         .join(ledger_map, "ledger_map_key", "left")
         .join(beneficiary_map, "short_code", "left")
         .select(*_PRICE_COLUMNS)
@@ -65,20 +65,18 @@ def price_rows(
 
 
 def ipc_final(prices: DataFrame) -> DataFrame:
-    return prices.where(F.col("id_transaction_type") == fixed.ITEM_PRICE_CREDIT)
+    return prices.where(f"id_transaction_type = {fixed.ITEM_PRICE_CREDIT}")
 
 
 def ipt_final(prices: DataFrame) -> DataFrame:
-    return prices.where(F.col("id_transaction_type") == fixed.ITEM_PRICE)
+    return prices.where(f"id_transaction_type = {fixed.ITEM_PRICE}")
 
 
 def commission_rows(sc: DataFrame, beneficiary_map: DataFrame) -> DataFrame:
     """Commissions and commission credits, split into revenue and VAT."""
-    value = F.col("transaction_value")
-    return (
-        sc.where(F.col("id_transaction_type").isin(*fixed.COMMISSION_TYPES))
-        .join(beneficiary_map, "short_code", "left")
-        .withColumn("commission_revenue", commission_revenue(value))
-        .withColumn("commission_vat", commission_vat(value))
-        .select(*_COMMISSION_COLUMNS)
+    split = commission_type_rows(sc).selectExpr(
+        "*",
+        f"{commission_revenue('transaction_value')} AS commission_revenue",
+        f"{commission_vat('transaction_value')} AS commission_vat",
     )
+    return split.join(beneficiary_map, "short_code", "left").select(*_COMMISSION_COLUMNS)

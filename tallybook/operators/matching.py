@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallybook.functions.keys import LEDGER_KEY_PARTS, booking_key
+from tallybook.functions.keys import BOOKING_KEY, LEDGER_KEY_PARTS
 from tallybook.operators.routing import item_price_rows
+from tallybook.sources.schemas import ORDER_COLUMNS
 
 ITEM = "oms_id_sales_order_item"
 
@@ -32,10 +33,9 @@ def match_orders(sc: DataFrame, oms: DataFrame) -> DataFrame:
     ``oms`` has one row per item, so a hot item is only ever on the left side, where the
     adaptive skew join splits it.
     """
-    rows = item_price_rows(sc)
-    matched = rows.join(oms, ITEM, "left").withColumn("ledger_map_key", booking_key())
-    order_columns = [c for c in oms.columns if c != ITEM]
-    return matched.select(*sc.columns, *order_columns, "ledger_map_key")
+    order_columns = [c for c in ORDER_COLUMNS if c != ITEM]
+    matched = item_price_rows(sc).join(oms.select(*ORDER_COLUMNS), ITEM, "left")
+    return matched.selectExpr(*sc.columns, *order_columns, f"{BOOKING_KEY} AS ledger_map_key")
 
 
 def missing_ledger_keys(valid_item_prices: DataFrame, ledger_map: DataFrame) -> DataFrame:

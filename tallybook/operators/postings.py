@@ -10,62 +10,61 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallybook import fixed
 from tallybook.functions.joins import lookup
-from tallybook.functions.keys import LEDGER_KEY_PARTS, booking_key
-from tallybook.functions.money import MONEY_SUM, commission_revenue, commission_vat
+from tallybook.functions.keys import BOOKING_KEY, LEDGER_KEY_PARTS
+from tallybook.functions.money import MONEY_SUM, commission_revenue, commission_vat, money_sum
 from tallybook.functions.rules import is_valid
-from tallybook.operators.enrich import sign_of
+from tallybook.operators.enrich import SIGN
 from tallybook.operators.row_checks import ORDER_PART
+from tallybook.operators.routing import booked_rows, commission_type_rows
 
 ITEM = "oms_id_sales_order_item"
 LINE_KEY = ("booking_period", "posting", "account_code", "account_free")
-POSTINGS = (
-    "voucher",
-    "ipc_paid_price",
-    "ipt_paid_price",
-    "commission_vat",
-    "commission_revenue",
-    "total",
+BOOKED = (
+    "booking_period",
+    "kind",
+    "ledger",
+    "subledger",
+    "beneficiary_code",
+    "value",
+    "paid",
 )
 
 
-def _money_sum(column: Column | str, name: str) -> Column:
-    return F.sum(column).cast(MONEY_SUM).alias(name)
-
-
 def seller_sums(sc: DataFrame) -> DataFrame:
     """Valid seller rows summed per month, kind, item and seller.
 
     ``kind`` is the type id of an item price and NULL for any commission. Commissions need
     no order data, so their item is dropped and they shrink to one row per seller.
     """
-    is_price = F.col("id_transaction_type").isin(*fixed.ITEM_PRICE_TYPES)
-    booked = fixed.ITEM_PRICE_TYPES + fixed.COMMISSION_TYPES
-    return (
-        sc.where(F.col("id_transaction_type").isin(*booked))
-        .groupBy(
-            "booking_period",
-            F.when(is_price, F.col("id_transaction_type")).alias("kind"),
-            F.when(is_price, F.col(ITEM)).alias(ITEM),
-            F.when(is_price, F.col("transaction_type")).alias("transaction_type"),
-            "short_code",
-        )
-        .agg(_money_sum("transaction_value", "value"), F.count("*").alias("rows"))
+    types = ", ".join(map(str, fixed.ITEM_PRICE_TYPES))
+
+    def of_prices(column: str) -> str:
+        return f"CASE WHEN id_transaction_type IN ({types}) THEN {column} END"
+
+    rows = booked_rows(sc).selectExpr(
+        "booking_period",
+        f"{of_prices('id_transaction_type')} AS kind",
+        f"{of_prices(ITEM)} AS {ITEM}",
+        f"{of_prices('transaction_type')} AS transaction_type",
+        "short_code",
+        "transaction_value",
+    )
+    return rows.groupBy("booking_period", "kind", ITEM, "transaction_type", "short_code").agg(
+        F.expr(money_sum("transaction_value", "value")), F.count("*").alias("rows")
     )
 
 
-def _with_codes(
-    sums: DataFrame, ledger_map: DataFrame, beneficiary_map: DataFrame
-) -> DataFrame:
+def _with_codes(sums: DataFrame, ledger_map: DataFrame, beneficiary_map: DataFrame) -> DataFrame:
     return (
-        sums.withColumn("ledger_map_key", booking_key())
+        sums.selectExpr("*", f"{BOOKING_KEY} AS ledger_map_key")
         .join(ledger_map, "ledger_map_key", "left")
         .join(beneficiary_map, "short_code", "left")
-        .select("booking_period", "kind", "ledger", "subledger", "beneficiary_code", "value", "paid")
+        .select(*BOOKED)
     )
 
 
@@ -77,20 +76,18 @@ def book(
     ``sc`` holds valid seller rows, ``oms`` one row per item. Item prices with incomplete
     order data are left out, as in the row-level check. One pass over ``sc``.
     """
-    matched = lookup(
-        seller_sums(sc),
-        oms.withColumnRenamed(ITEM, "id_item"),
-        ITEM,
-        "id_item",
-        F.struct("short_code", "booking_period"),
-    ).where(F.col("kind").isNull() | is_valid(ORDER_PART))
+    orders = oms.withColumnRenamed(ITEM, "id_item")
+    matched = lookup(seller_sums(sc), orders, ITEM, "id_item", "short_code, booking_period").where(
+        F.col("kind").isNull() | is_valid(ORDER_PART)
+    )
     # A commission has no paid price; no money column is ever NULL.
-    paid = sign_of(F.col("kind")) * F.col("rows").cast("decimal(14,0)") * F.col("paid_price")
-    paid = F.when(F.col("kind").isNotNull(), paid).otherwise(0).cast(MONEY_SUM)
-    sums = (
-        matched.withColumn("paid", paid)
-        .groupBy("booking_period", "kind", *LEDGER_KEY_PARTS, "short_code")
-        .agg(_money_sum("value", "value"), _money_sum("paid", "paid"))
+    paid = (
+        f"CASE WHEN kind IS NULL THEN 0 "
+        f"ELSE {SIGN.format('kind')} * CAST(rows AS decimal(14,0)) * paid_price END"
+    )
+    sums = matched.groupBy("booking_period", "kind", *LEDGER_KEY_PARTS, "short_code").agg(
+        F.expr(money_sum("value", "value")),
+        F.expr(money_sum(f"CAST({paid} AS {MONEY_SUM})", "paid")),
     )
     return _with_codes(sums, ledger_map, beneficiary_map)
 
@@ -99,31 +96,29 @@ def book_item_prices(
     valid_item_prices: DataFrame, ledger_map: DataFrame, beneficiary_map: DataFrame
 ) -> DataFrame:
     """The item-price part of ``book``, from rows that are already matched and checked."""
-    kind = F.col("id_transaction_type")
-    signed = (sign_of(kind) * F.col("paid_price")).cast(MONEY_SUM)
-    sums = valid_item_prices.groupBy(
-        "booking_period", kind.alias("kind"), *LEDGER_KEY_PARTS, "short_code"
-    ).agg(_money_sum("transaction_value", "value"), _money_sum(signed, "paid"))
+    rows = valid_item_prices.withColumnRenamed("id_transaction_type", "kind")
+    sums = rows.groupBy("booking_period", "kind", *LEDGER_KEY_PARTS, "short_code").agg(
+        F.expr(money_sum("transaction_value", "value")),
+        F.expr(money_sum(f"CAST({SIGN.format('kind')} * paid_price AS {MONEY_SUM})", "paid")),
+    )
     return _with_codes(sums, ledger_map, beneficiary_map)
 
 
 def book_commissions(sc: DataFrame, beneficiary_map: DataFrame) -> DataFrame:
     """The commission part of ``book`` alone; needs no order data."""
-    none = F.lit(None).cast("bigint")
-    return (
-        sc.where(F.col("id_transaction_type").isin(*fixed.COMMISSION_TYPES))
+    sums = (
+        commission_type_rows(sc)
         .groupBy("booking_period", "short_code")
-        .agg(_money_sum("transaction_value", "value"))
-        .join(beneficiary_map, "short_code", "left")
-        .select(
-            "booking_period",
-            none.alias("kind"),
-            none.alias("ledger"),
-            none.alias("subledger"),
-            "beneficiary_code",
-            "value",
-            F.lit(0).cast(MONEY_SUM).alias("paid"),
-        )
+        .agg(F.expr(money_sum("transaction_value", "value")))
+    )
+    return sums.join(beneficiary_map, "short_code", "left").selectExpr(
+        "booking_period",
+        "CAST(NULL AS bigint) AS kind",
+        "CAST(NULL AS bigint) AS ledger",
+        "CAST(NULL AS bigint) AS subledger",
+        "beneficiary_code",
+        "value",
+        f"CAST(0 AS {MONEY_SUM}) AS paid",
     )
 
 
@@ -139,100 +134,93 @@ def book_checked(
 
 
 @dataclass(frozen=True)
-class _Line:
+class Line:
     """How a booked sum becomes a posting line: which sums, which account, which money."""
 
-    applies: Column
-    account_code: Column
-    account_free: Column
-    goods: Column
-    commission: Column
-
-
-def _line(posting: str) -> _Line:
-    kind, ledger = F.col("kind"), F.col("ledger")
-    nobody = F.lit(None).cast("bigint")
-    beneficiary = F.col("beneficiary_code")
-    zero = F.lit(0).cast(MONEY_SUM)
-    value, paid = F.col("value"), F.col("paid")
-    voucher = (value - paid).cast(MONEY_SUM)
-    by_subledger = ledger.isin(*fixed.LEDGERS_BOOKED_BY_SUBLEDGER)
-
-    def account(code: int) -> Column:
-        return F.lit(code).cast("bigint")
-
-    if posting == "voucher":
-        return _Line(kind.isNotNull(), account(fixed.VOUCHER_ACCOUNT), nobody, voucher, zero)
-    if posting == "ipc_paid_price":
-        ours = (kind == fixed.ITEM_PRICE_CREDIT) & by_subledger
-        return _Line(ours, ledger, F.col("subledger"), paid, zero)
-    if posting == "ipt_paid_price":
-        ours = (kind == fixed.ITEM_PRICE) & by_subledger
-        return _Line(ours, ledger, F.col("subledger"), paid, zero)
-    if posting == "commission_vat":
-        return _Line(kind.isNull(), account(fixed.COMMISSION_VAT_ACCOUNT), nobody, zero, value)
-    if posting == "commission_revenue":
-        code = account(fixed.COMMISSION_REVENUE_ACCOUNT)
-        return _Line(kind.isNull(), code, beneficiary, zero, value)
-    if posting == "total":
-        # Voucher and paid price of an item price add up to its value.
-        goods = F.when(kind.isNotNull(), value).otherwise(zero)
-        commission = F.when(kind.isNull(), value).otherwise(zero)
-        return _Line(F.lit(True), account(fixed.SELLER_ACCOUNT), beneficiary, goods, commission)
-    raise ValueError(f"no posting named {posting}")
-
-
-def _columns(posting: str, line: _Line) -> list[Column]:
+    applies: str
+    account_code: str
+    account_free: str
+    goods: str = "0"
+    commission: str = "0"
+
+
+_BY_SUBLEDGER = f"ledger IN ({', '.join(map(str, fixed.LEDGERS_BOOKED_BY_SUBLEDGER))})"
+
+# Voucher and paid price of an item price add up to its value, hence the goods of "total".
+LINES = {
+    "voucher": Line("kind IS NOT NULL", str(fixed.VOUCHER_ACCOUNT), "NULL", "value - paid"),
+    "ipc_paid_price": Line(
+        f"kind = {fixed.ITEM_PRICE_CREDIT} AND {_BY_SUBLEDGER}", "ledger", "subledger", "paid"
+    ),
+    "ipt_paid_price": Line(
+        f"kind = {fixed.ITEM_PRICE} AND {_BY_SUBLEDGER}", "ledger", "subledger", "paid"
+    ),
+    "commission_vat": Line(
+        "kind IS NULL", str(fixed.COMMISSION_VAT_ACCOUNT), "NULL", commission="value"
+    ),
+    "commission_revenue": Line(
+        "kind IS NULL",
+        str(fixed.COMMISSION_REVENUE_ACCOUNT),
+        "beneficiary_code",
+        commission="value",
+    ),
+    "total": Line(
+        "true",
+        str(fixed.SELLER_ACCOUNT),
+        "beneficiary_code",
+        "CASE WHEN kind IS NOT NULL THEN value ELSE 0 END",
+        "CASE WHEN kind IS NULL THEN value ELSE 0 END",
+    ),
+}
+POSTINGS = tuple(LINES)
+
+
+def _columns(posting: str) -> list[str]:
+    line = LINES[posting]
     return [
-        F.lit(posting).alias("posting"),
-        line.account_code.alias("account_code"),
-        line.account_free.alias("account_free"),
-        line.goods.alias("goods"),
-        line.commission.alias("commission"),
+        f"'{posting}' AS posting",
+        f"CAST({line.account_code} AS bigint) AS account_code",
+        f"CAST({line.account_free} AS bigint) AS account_free",
+        f"CAST({line.goods} AS {MONEY_SUM}) AS goods",
+        f"CAST({line.commission} AS {MONEY_SUM}) AS commission",
     ]
 
 
-def _amount() -> Column:
-    """Money is summed as exact decimals; the commission factors apply to the sums."""
-    goods = F.col("goods").cast("double")
-    revenue = commission_revenue(F.col("commission"))
-    vat = commission_vat(F.col("commission"))
-    return (
-        F.when(F.col("posting") == "commission_vat", vat)
-        .when(F.col("posting") == "commission_revenue", revenue)
-        .when(F.col("posting") == "total", (goods + revenue + vat) * -1)
-        .otherwise(goods)
-    )
+# Money is summed as exact decimals; the commission factors apply to the sums.
+_AMOUNT = f"""
+    CASE posting
+        WHEN 'commission_vat' THEN {commission_vat('commission')}
+        WHEN 'commission_revenue' THEN {commission_revenue('commission')}
+        WHEN 'total' THEN (CAST(goods AS double) + {commission_revenue('commission')}
+                           + {commission_vat('commission')}) * -1
+        ELSE CAST(goods AS double) END"""
 
 
 def _sum_lines(lines: DataFrame) -> DataFrame:
-    return (
-        lines.groupBy(*LINE_KEY)
-        .agg(_money_sum("goods", "goods"), _money_sum("commission", "commission"))
-        .select(*LINE_KEY, _amount().alias("amount"))
+    sums = lines.groupBy(*LINE_KEY).agg(
+        F.expr(money_sum("goods", "goods")), F.expr(money_sum("commission", "commission"))
     )
+    return sums.selectExpr(*LINE_KEY, f"{_AMOUNT} AS amount")
 
 
 def posting(booked: DataFrame, name: str) -> DataFrame:
     """Lines of one posting."""
-    line = _line(name)
-    lines = booked.where(line.applies).select("booking_period", *_columns(name, line))
+    lines = booked.where(LINES[name].applies).selectExpr("booking_period", *_columns(name))
     return _sum_lines(lines).drop("posting")
 
 
 def posting_template(booked: DataFrame) -> DataFrame:
     """All six postings in one pass: each booked sum becomes up to four lines."""
-    lines = []
-    for name in POSTINGS:
-        line = _line(name)
-        lines.append(F.when(line.applies, F.struct(*_columns(name, line))))
-    exploded = booked.select("booking_period", F.inline(F.array_compact(F.array(*lines))))
-    return _sum_lines(exploded)
+    lines = ", ".join(
+        f"CASE WHEN {line.applies} THEN struct({', '.join(_columns(name))}) END"
+        for name, line in LINES.items()
+    )
+    return _sum_lines(booked.selectExpr("booking_period", f"inline(array_compact(array({lines})))"))
 
 
 def balance(template: DataFrame) -> DataFrame:
     """Per month: do all postings sum to zero, within rounding of doubles?"""
-    total, size = F.sum("amount"), F.sum(F.abs("amount"))
     return template.groupBy("booking_period").agg(
-        F.count("*").alias("lines"), (F.abs(total) <= size * 1e-9).alias("balanced")
+        F.count("*").alias("lines"),
+        F.expr("abs(sum(amount)) <= sum(abs(amount)) * 1e-9").alias("balanced"),
     )

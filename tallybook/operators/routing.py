@@ -2,35 +2,44 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from tallybook import fixed
 
 
-def bucket_of(type_id: Column) -> Column:
-    """Category of a type id, NULL for a type that is not routed. No join: 14 fixed ids."""
-    return F.coalesce(
-        *[F.when(type_id.isin(*ids), F.lit(name)) for name, ids in fixed.BUCKETS.items()]
-    )
+def _in(ids: tuple[int, ...]) -> str:
+    return f"id_transaction_type IN ({', '.join(map(str, ids))})"
+
+
+# Category of a row, NULL for a type that is not routed. No join: 14 fixed ids.
+BUCKET = (
+    "CASE " + " ".join(f"WHEN {_in(ids)} THEN '{b}'" for b, ids in fixed.BUCKETS.items()) + " END"
+)
 
 
 def route(sc: DataFrame) -> DataFrame:
     """All routed rows with their category."""
-    return sc.withColumn("bucket", bucket_of(F.col("id_transaction_type"))).where(
-        F.col("bucket").isNotNull()
-    )
+    return sc.selectExpr("*", f"{BUCKET} AS bucket").where("bucket IS NOT NULL")
 
 
 def bucket(sc: DataFrame, name: str) -> DataFrame:
     """Rows of one category, commented or not; the filter is on the type id, so it is
     pushed to the source."""
-    return sc.where(F.col("id_transaction_type").isin(*fixed.BUCKETS[name]))
+    return sc.where(_in(fixed.BUCKETS[name]))
 
 
 def commented(rows: DataFrame) -> DataFrame:
-    return rows.where(F.col("comment").isNotNull())
+    return rows.where("comment IS NOT NULL")
 
 
 def item_price_rows(rows: DataFrame) -> DataFrame:
-    return rows.where(F.col("id_transaction_type").isin(*fixed.ITEM_PRICE_TYPES))
+    return rows.where(_in(fixed.ITEM_PRICE_TYPES))
+
+
+def commission_type_rows(rows: DataFrame) -> DataFrame:
+    return rows.where(_in(fixed.COMMISSION_TYPES))
+
+
+def booked_rows(rows: DataFrame) -> DataFrame:
+    """The rows that postings are made of."""
+    return rows.where(_in(fixed.ITEM_PRICE_TYPES + fixed.COMMISSION_TYPES))

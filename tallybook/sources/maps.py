@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallybook.functions.keys import map_key
+from tallybook.functions.keys import MAP_KEY
 
 # A map of more rows than this is joined by shuffle instead of being broadcast. An
 # uploaded ledger map cannot reach it: its four key parts allow 2 x 16 x 7 x 13 keys.
@@ -19,7 +19,7 @@ class DuplicateKeys(ValueError):
 
 
 def read_ledger_map(ledger_map: DataFrame) -> DataFrame:
-    return ledger_map.select(map_key().alias("ledger_map_key"), "ledger", "subledger")
+    return ledger_map.selectExpr(f"{MAP_KEY} AS ledger_map_key", "ledger", "subledger")
 
 
 def read_beneficiary_map(beneficiary_code_map: DataFrame) -> DataFrame:

@@ -20,35 +20,30 @@ def _wanted(rows: DataFrame, ids: DataFrame | None) -> DataFrame:
 
 def _items(tables: Mapping[str, DataFrame], ids: DataFrame | None) -> DataFrame:
     """Items of the ids with their status and payment method."""
-    items = tables["ims_sales_order_item"].select(
-        F.col("id_sales_order_item").alias(ITEM),
+    items = tables["ims_sales_order_item"].selectExpr(
+        f"id_sales_order_item AS {ITEM}",
         "fk_sales_order",
-        "fk_sales_order_item_status",
+        "fk_sales_order_item_status AS fk_status",
         "paid_price",
     )
-    statuses = tables["ims_sales_order_item_status"].select(
-        "id_sales_order_item_status", F.col("name").alias("item_status")
+    statuses = tables["ims_sales_order_item_status"].selectExpr(
+        "id_sales_order_item_status AS id_status", "name AS item_status"
     )
     orders = tables["ims_sales_order"].select("id_sales_order", "payment_method")
-    out = _wanted(items, ids)
-    out = lookup(out, orders, "fk_sales_order", "id_sales_order", F.col(ITEM))
-    return lookup(
-        out, statuses, "fk_sales_order_item_status", "id_sales_order_item_status", F.col(ITEM)
-    )
+    out = lookup(_wanted(items, ids), orders, "fk_sales_order", "id_sales_order", ITEM)
+    return lookup(out, statuses, "fk_status", "id_status", ITEM)
 
 
 def _packages(tables: Mapping[str, DataFrame], ids: DataFrame | None) -> DataFrame:
     """(item, package) pairs of the ids."""
-    pairs = tables["oms_package_item"].select(
-        F.col("fk_sales_order_item").alias(ITEM), "fk_package"
-    )
+    pairs = tables["oms_package_item"].selectExpr(f"fk_sales_order_item AS {ITEM}", "fk_package")
     return _wanted(pairs, ids)
 
 
 def _dispatches(tables: Mapping[str, DataFrame]) -> DataFrame:
     """(package, provider id) pairs."""
-    return tables["oms_package_dispatching"].select(
-        F.col("fk_package").alias("id_package"), "fk_shipment_provider"
+    return tables["oms_package_dispatching"].selectExpr(
+        "fk_package AS id_package", "fk_shipment_provider"
     )
 
 
@@ -56,9 +51,7 @@ def _with_provider(rows: DataFrame, tables: Mapping[str, DataFrame]) -> DataFram
     providers = tables["oms_shipment_provider"].select(
         "id_shipment_provider", "shipment_provider_name"
     )
-    return lookup(
-        rows, providers, "fk_shipment_provider", "id_shipment_provider", F.col(ITEM)
-    )
+    return lookup(rows, providers, "fk_shipment_provider", "id_shipment_provider", ITEM)
 
 
 def order_extract(tables: Mapping[str, DataFrame], ids: DataFrame | None = None) -> DataFrame:
@@ -77,9 +70,7 @@ def order_extract(tables: Mapping[str, DataFrame], ids: DataFrame | None = None)
     )
     lowest = F.min("fk_shipment_provider").alias("fk_shipment_provider")
     by_package = _dispatches(tables).groupBy("id_package").agg(lowest)
-    packages = lookup(
-        _packages(tables, ids), by_package, "fk_package", "id_package", F.col(ITEM)
-    )
+    packages = lookup(_packages(tables, ids), by_package, "fk_package", "id_package", ITEM)
     by_item = packages.groupBy(ITEM).agg(lowest)
     matched = attributes.join(by_item, ITEM, "left")
     return _with_provider(matched, tables).select(*ORDER_COLUMNS)
@@ -89,11 +80,8 @@ def shipped_ledger_keys(tables: Mapping[str, DataFrame], ids: DataFrame) -> Data
     """Distinct status-method-provider keys of the items that were ever shipped."""
     shipped = (
         tables["ims_sales_order_item_status_history"]
-        .where(
-            (F.col("fk_sales_order_item_status") == fixed.SHIPPED_STATUS)
-            & F.col("created_at").isNotNull()
-        )
-        .select(F.col("fk_sales_order_item").alias(ITEM))
+        .where(f"fk_sales_order_item_status = {fixed.SHIPPED_STATUS} AND created_at IS NOT NULL")
+        .selectExpr(f"fk_sales_order_item AS {ITEM}")
     )
     wanted = ids.select(ITEM).join(shipped, ITEM, "left_semi")
     # Distinct pairs on both sides: what an item can match is bounded by the providers.
@@ -102,16 +90,10 @@ def shipped_ledger_keys(tables: Mapping[str, DataFrame], ids: DataFrame) -> Data
         _dispatches(tables).distinct(),
         "fk_package",
         "id_package",
-        F.col(ITEM),
+        ITEM,
     )
     providers = packages.select(ITEM, "fk_shipment_provider").distinct()
     items = _items(tables, wanted).select(ITEM, "item_status", "payment_method").distinct()
-    return (
-        _with_provider(items.join(providers, ITEM, "left"), tables)
-        .select(
-            F.concat(
-                "item_status", F.lit("-"), "payment_method", F.lit("-"), "shipment_provider_name"
-            ).alias("ledger_map_key")
-        )
-        .distinct()
-    )
+    key = "item_status || '-' || payment_method || '-' || shipment_provider_name"
+    named = _with_provider(items.join(providers, ITEM, "left"), tables)
+    return named.selectExpr(f"{key} AS ledger_map_key").distinct()

@@ -5,11 +5,10 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tallybook.functions.joins import lookup
 from tallybook.functions.money import MONEY
-from tallybook.functions.periods import Period, booking_month, in_period
+from tallybook.functions.periods import Period, in_period
 from tallybook.sources.schemas import SELLER_COLUMNS
 
 
@@ -25,48 +24,43 @@ def seller_extract(
     sellers, not with the far more numerous transactions, and the rows are gone before the
     large joins.
     """
-    transactions = in_period(tables["transaction"], "created_at", period).select(
+    transactions = in_period(tables["transaction"], "created_at", period).selectExpr(
         "id_transaction",
-        F.col("value").cast(MONEY).alias("transaction_value"),
-        F.col("description").alias("comment"),
+        f"CAST(value AS {MONEY}) AS transaction_value",
+        "description AS comment",
         "ref",
-        "fk_tre2_account_statement_group",
+        "fk_tre2_account_statement_group AS fk_type",
         "fk_seller",
-        "fk_transaction_statement",
-        booking_month("created_at").alias("booking_period"),
+        "fk_transaction_statement AS fk_statement",
+        "trunc(created_at, 'MM') AS booking_period",
     )
-    sellers = tables["seller"].select(
-        "id_seller",
-        F.col("id_seller").alias("id_supplier"),
-        "short_code",
-        F.col("name").alias("supplier_name"),
+    sellers = tables["seller"].selectExpr(
+        "id_seller", "id_seller AS id_supplier", "short_code", "name AS supplier_name"
     )
-    items = tables["sales_order_item"].select(
-        "id_sales_order_item", F.col("src_id").alias("oms_id_sales_order_item"), "fk_sales_order"
+    if retail is not None:
+        listed = retail.distinct().selectExpr("short_code", "true AS is_retail")
+        sellers = sellers.join(listed, "short_code", "left")
+    items = tables["sales_order_item"].selectExpr(
+        "id_sales_order_item", "src_id AS oms_id_sales_order_item", "fk_sales_order"
     )
     orders = tables["sales_order"].select("id_sales_order", "order_nr")
-    types = tables["tre2_account_statement_group"].select(
-        "id_tre2_account_statement_group",
-        F.col("id_tre2_account_statement_group").alias("id_transaction_type"),
-        F.col("name").alias("transaction_type"),
+    types = tables["tre2_account_statement_group"].selectExpr(
+        "id_tre2_account_statement_group AS id_type",
+        "id_tre2_account_statement_group AS id_transaction_type",
+        "name AS transaction_type",
     )
-    statements = tables["transaction_statement"].select(
-        F.col("id_transaction_statement").alias("id_statement"),
+    statements = tables["transaction_statement"].selectExpr(
+        "id_transaction_statement AS id_statement",
         "id_transaction_statement",
-        F.col("start_date").alias("statement_start_date"),
-        F.col("end_date").alias("statement_end_date"),
+        "start_date AS statement_start_date",
+        "end_date AS statement_end_date",
     )
-    row = F.col("id_transaction")
-    if retail is not None:
-        listed = retail.select("short_code").distinct().withColumn("is_retail", F.lit(True))
-        sellers = sellers.join(listed, "short_code", "left")
+    row = "id_transaction"
     out = lookup(transactions, sellers, "fk_seller", "id_seller", row)
     if retail is not None:
-        out = out.where(F.col("is_retail").isNull())
+        out = out.where("is_retail IS NULL")
     out = lookup(out, items, "ref", "id_sales_order_item", row)
     out = lookup(out, orders, "fk_sales_order", "id_sales_order", row)
-    out = lookup(
-        out, types, "fk_tre2_account_statement_group", "id_tre2_account_statement_group", row
-    )
-    out = lookup(out, statements, "fk_transaction_statement", "id_statement", row)
+    out = lookup(out, types, "fk_type", "id_type", row)
+    out = lookup(out, statements, "fk_statement", "id_statement", row)
     return out.select(*SELLER_COLUMNS, "booking_period")

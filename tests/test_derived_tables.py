@@ -25,7 +25,7 @@ def whole(spark):
 
 
 def test_counts_of_one_month(month):
-    matched = matching.match_orders(month.sc, month.all_orders)
+    matched = matching.match_orders(month.sc, month.oms)
     checked = check_item_price_rows(matched)
     valid = valid_rows(checked)
     assert month.sc.count() == 54
@@ -33,14 +33,14 @@ def test_counts_of_one_month(month):
     assert matched.where("item_status IS NULL").count() == 5
     assert valid.count() == 10
     assert month.sc.where(F.col("id_transaction_type").isin(*fixed.COMMISSION_TYPES)).count() == 13
-    booked = postings.book(month.sc, month.all_orders, month.ledger_map, month.beneficiary_map)
+    booked = postings.book(month.sc, month.oms, month.ledger_map, month.beneficiary_map)
     template = postings.posting_template(booked)
     assert template.count() == 26
     assert template.agg(F.sum("amount")).first()[0] == pytest.approx(0, abs=1e-6)
 
 
 def test_counts_with_gaps_in_the_maps(month):
-    valid = valid_rows(check_item_price_rows(matching.match_orders(month.sc, month.all_orders)))
+    valid = valid_rows(check_item_price_rows(matching.match_orders(month.sc, month.oms)))
     gaps = maps.read_ledger_map(month.view("ledger_rows_gaps"))
     assert matching.missing_beneficiary(month.sc, month.view("benef_gaps")).count() == 10
     assert matching.missing_ledger_keys(valid, gaps).count() == 1

@@ -102,7 +102,7 @@ def test_missing_keys_are_spread_over_the_partitions(spark):
     with settings(
         spark, **SHUFFLED, spark__sql__adaptive__coalescePartitions__enabled="false"
     ):
-        joined = lookup(facts, dim, "key", "dim_id", F.col("id"))
+        joined = lookup(facts, dim, "key", "dim_id", "id")
         sizes = [
             r["count"]
             for r in joined.where("key IS NULL")
@@ -120,7 +120,7 @@ def test_missing_keys_never_match_whatever_the_ids(spark):
     facts = spark.createDataFrame([(1, None), (2, 5)], "id bigint, key bigint")
     scattered = facts.select(F.bitwise_not(F.shiftrightunsigned(F.xxhash64("id"), 1)).alias("d"))
     dim = scattered.union(spark.createDataFrame([(5,)], "d bigint")).withColumn("hit", F.lit(1))
-    joined = lookup(facts, dim, "key", "d", F.col("id")).orderBy("id").collect()
+    joined = lookup(facts, dim, "key", "d", "id").orderBy("id").collect()
     assert [r["hit"] for r in joined] == [None, 1]
 
 
