@@ -65,7 +65,9 @@ def run_booking(
 
     ``tables`` are the source tables and maps by name. Invalid rows go to their reject file
     and the run continues; a seller without beneficiary code or a missing ledger key is
-    logged and stops the run. ``details`` also exports the row-level tables.
+    logged and stops the run. Each file is written in every run, with only its heading if
+    there is nothing to tell, so none is left over from an earlier run. ``details`` also
+    exports the row-level tables.
     """
     spark = tables["transaction"].sparkSession
     work = shared_folder(spark)
@@ -86,18 +88,15 @@ def run_booking(
     valid, invalid = _valid_and_invalid(checked)
     counts["without_retail"] = valid + invalid
     counts["seller_rows_valid"], counts["seller_rows_invalid"] = valid, invalid
-    if counts["seller_rows_invalid"]:
-        files.write_csv(
-            invalid_rows(checked), f"{out}/{REJECTED_SELLER_ROWS}", SELLER_REJECT_COLUMNS
-        )
+    files.write_csv(invalid_rows(checked), f"{out}/{REJECTED_SELLER_ROWS}", SELLER_REJECT_COLUMNS)
     sc = valid_rows(checked).select(*STAGED_COLUMNS)
 
     # Every seller needs a beneficiary code.
     missing = matching.missing_beneficiary(sc, beneficiary_map)
     counts["missing_beneficiary"] = missing.count()
+    log = f"{out}/{MISSING_SHORT_CODES}"
+    files.write_missing_short_codes(missing, log)
     if counts["missing_beneficiary"]:
-        log = f"{out}/{MISSING_SHORT_CODES}"
-        files.write_missing_short_codes(missing, log)
         raise MissingBeneficiaryCodes("sellers without beneficiary code", log)
 
     # Item prices with their orders. Without a period the ids would name nearly all items.
@@ -108,19 +107,17 @@ def run_booking(
     valid, invalid = _valid_and_invalid(checked_prices)
     counts["item_prices"] = valid + invalid
     counts["item_prices_valid"], counts["item_prices_invalid"] = valid, invalid
-    if counts["item_prices_invalid"]:
-        files.write_csv(
-            invalid_rows(checked_prices),
-            f"{out}/{REJECTED_ITEM_PRICES}",
-            ITEM_PRICE_REJECT_COLUMNS,
-        )
+    files.write_csv(
+        invalid_rows(checked_prices), f"{out}/{REJECTED_ITEM_PRICES}", ITEM_PRICE_REJECT_COLUMNS
+    )
     item_prices = valid_rows(checked_prices)
 
     # Every item price needs a ledger.
     lacking = matching.missing_ledger_keys(item_prices, ledger_map)
-    if not lacking.isEmpty():
-        log = f"{out}/{MISSING_KEYS}"
-        files.write_missing_ledger_keys(lacking, log)
+    counts["missing_ledger_keys"] = lacking.count()
+    log = f"{out}/{MISSING_KEYS}"
+    files.write_missing_ledger_keys(lacking, log)
+    if counts["missing_ledger_keys"]:
         raise MissingLedgerKeys("item prices without ledger", log)
 
     # Postings. The written table is the result; the file and the check read it back.

@@ -21,12 +21,32 @@ SETTINGS = {
 }
 
 
-def build_session(name: str = "tallybook", master: str | None = None, **settings) -> SparkSession:
-    """A session with the settings above; ``settings`` override them (dots as ``__``)."""
+PARTITION_BYTES = 128 * 1024 * 1024
+
+
+def shuffle_partitions(shuffled_bytes: int) -> int:
+    """Partitions that keep about 128 MiB each, between Spark's default and 100,000. Adaptive
+    execution merges those that turn out small, but cannot add more."""
+    return min(100_000, max(200, -(-shuffled_bytes // PARTITION_BYTES)))
+
+
+def build_session(
+    name: str = "tallybook",
+    master: str | None = None,
+    shuffled_bytes: int | None = None,
+    **settings,
+) -> SparkSession:
+    """A session with the settings above; ``settings`` override them (dots as ``__``).
+
+    ``shuffled_bytes`` is the expected size of the largest shuffle, about the columns of one
+    period's transactions that the extract keeps.
+    """
     builder = SparkSession.builder.appName(name)
     if master:
         builder = builder.master(master)
     merged = SETTINGS | {k.replace("__", "."): str(v) for k, v in settings.items()}
+    if shuffled_bytes is not None:
+        merged["spark.sql.shuffle.partitions"] = str(shuffle_partitions(shuffled_bytes))
     for key, value in merged.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from datetime import date
-from pathlib import Path
 
 import pytest
 
@@ -56,6 +55,7 @@ def test_counts(run):
         "item_prices": 5,
         "item_prices_valid": 3,
         "item_prices_invalid": 2,
+        "missing_ledger_keys": 0,
         "posting_lines": 8,
     }
 
@@ -148,7 +148,19 @@ def test_empty_input_gives_an_empty_template_with_heading(spark, tmp_path):
     result = run_booking(source_tables(spark, transaction=[]), str(tmp_path / "out"), APRIL)
     assert result.template.count() == 0
     assert result.counts["extracted"] == 0
-    assert not list(Path(tmp_path / "out").glob("invalid_*"))
+    rejected = read_csv(spark, f"{result.out}/invalid_seller_rows")
+    assert rejected.columns[0] == "error"
+    assert rejected.count() == 0
+
+
+def test_a_clean_run_replaces_the_logs_of_a_stopped_one(spark, tmp_path):
+    out = str(tmp_path / "out")
+    gaps = source_tables(spark, beneficiary_code_map=ROWS["beneficiary_code_map"][:1])
+    with pytest.raises(MissingBeneficiaryCodes) as stop:
+        run_booking(gaps, out, APRIL)
+    assert read_csv(spark, stop.value.log).count() == 2
+    run_booking(source_tables(spark), out, APRIL)
+    assert read_csv(spark, stop.value.log).count() == 0
 
 
 def test_period_bounds():

@@ -18,6 +18,7 @@ from tallybook.sources import maps
 from tallybook.sources.readers import Location, read_folder, read_table
 from tallybook.sources.schemas import STAGED_COLUMNS
 from tallybook.sources.seller import seller_extract
+from tallybook.session import shuffle_partitions
 from tests.conftest import SF
 from tests.tables import source_tables
 
@@ -249,3 +250,9 @@ def test_source_formats(spark, tmp_path, fmt):
     assert back.schema.simpleString() == df.schema.simpleString()
     assert {tuple(r) for r in back.collect()} == {tuple(r) for r in df.collect()}
     assert back.where(F.col("created_at") == datetime(2018, 5, 1)).count() == 1
+
+
+def test_shuffle_partitions_follow_the_data():
+    assert shuffle_partitions(10**6) == 200
+    assert shuffle_partitions(10**12) == 7451
+    assert shuffle_partitions(10**14) == 100_000

@@ -63,7 +63,7 @@ def test_rows_are_appended_once(spark, tmp_path):
     first = write(tmp_path / "a.csv", HEAD + "IR00001,3000000001\nIR00002,3000000002\n")
     result = run_upload(spark, "benef_code_map", first, target, str(tmp_path / "log1"))
     assert (result.accepted, result.stored, result.refused) == (True, 2, 0)
-    assert not (tmp_path / "log1").exists()
+    assert logged(spark, result.log) == []
 
     second = write(
         tmp_path / "b.csv",
