@@ -8,6 +8,7 @@ into the derived tables for the checks to find; every row of the given tables ta
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator, Mapping
 from itertools import product
 
 from pyspark.sql import DataFrame, SparkSession
@@ -344,5 +345,24 @@ class Sources:
         tables = {t: self.given(t) for t in GIVEN if "{" + t + "}" in text}
         return self.spark.sql(text, **tables)
 
-    def source_tables(self) -> dict[str, DataFrame]:
-        return {table: self.view(view) for table, view in SOURCE_VIEWS.items()}
+    def source_tables(self) -> SourceTables:
+        return SourceTables(self)
+
+
+class SourceTables(Mapping):
+    """Source tables by name; a table that a query never asks for is never planned."""
+
+    def __init__(self, sources: Sources) -> None:
+        self._sources = sources
+        self._built: dict[str, DataFrame] = {}
+
+    def __getitem__(self, table: str) -> DataFrame:
+        if table not in self._built:
+            self._built[table] = self._sources.view(SOURCE_VIEWS[table])
+        return self._built[table]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(SOURCE_VIEWS)
+
+    def __len__(self) -> int:
+        return len(SOURCE_VIEWS)

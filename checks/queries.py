@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -55,7 +55,7 @@ class Booking:
         self.period = period
 
     @cached_property
-    def tables(self) -> dict[str, DataFrame]:
+    def tables(self) -> Mapping[str, DataFrame]:
         return self.sources.source_tables()
 
     @cached_property

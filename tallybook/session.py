@@ -13,6 +13,8 @@ SETTINGS = {
     # A side is broadcast only if Spark's own size estimate, or its measured shuffle size,
     # stays under this; beyond it the join shuffles.
     "spark.sql.autoBroadcastJoinThreshold": "32m",
+    # If every measured partition of a side is small, hash it instead of sorting both sides.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
     # Plans are built from many small expressions; do not record a call site for each.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
     # Let one month's ids prune the scans of the far larger order tables.

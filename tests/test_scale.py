@@ -40,11 +40,6 @@ def plan_of(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def final_plan(df) -> str:
-    df.collect()
-    return plan_of(df)
-
-
 SHUFFLED = {
     "spark__sql__autoBroadcastJoinThreshold": "-1",
     "spark__sql__adaptive__autoBroadcastJoinThreshold": "-1",
