@@ -6,7 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 
-from tallybook.functions.joins import lookup
+from tallybook.functions.joins import lookup, probe
 from tallybook.functions.money import MONEY
 from tallybook.functions.periods import Period, in_period
 from tallybook.sources.schemas import SELLER_COLUMNS
@@ -34,6 +34,9 @@ def seller_extract(
         "fk_transaction_statement AS fk_statement",
         "trunc(created_at, 'MM') AS booking_period",
     )
+    row = "id_transaction"
+    keys = ("fk_seller", "ref", "fk_type", "fk_statement")
+    transactions = transactions.selectExpr("*", *[probe(key, row) for key in keys])
     sellers = tables["seller"].selectExpr(
         "id_seller", "id_seller AS id_supplier", "short_code", "name AS supplier_name"
     )
@@ -55,7 +58,6 @@ def seller_extract(
         "start_date AS statement_start_date",
         "end_date AS statement_end_date",
     )
-    row = "id_transaction"
     out = lookup(transactions, sellers, "fk_seller", "id_seller", row)
     if retail is not None:
         out = out.where("is_retail IS NULL")

@@ -90,6 +90,17 @@ def test_retail_rows_are_gone_before_the_order_joins(spark, written):
     assert gone > orders  # deeper in the tree, so earlier in the run
 
 
+def test_the_months_keys_prune_the_large_item_table(spark, written):
+    with settings(
+        spark,
+        **SHUFFLED,
+        spark__sql__optimizer__runtime__bloomFilter__applicationSideScanSizeThreshold="0",
+    ):
+        plan = plan_of(seller_extract(written, Period.month(1996, 12)))
+    assert re.search(r"might_contain\(.*xxhash64\(id_sales_order_item#", plan)
+    assert re.search(r"might_contain\(.*xxhash64\(id_seller#", plan)
+
+
 def test_missing_keys_are_spread_over_the_partitions(spark):
     facts = spark.range(20_000).select(
         "id", F.when(F.col("id") % 3 == 0, F.col("id")).alias("key")
