@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybook.llm import sharding
+from tallybook.llm import packing, sharding
 from tallybook.llm.staging import Staging
 
 QUERIES: dict = {}
@@ -38,3 +38,9 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
     )
+
+
+@query
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as pieces of at most 4096 ids in as few sequences as best-two-fit gets."""
+    return packing.pack(table(spark, sf_dir, "documents"), Staging(spark))
