@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybook.llm import packing, sharding
+from tallybook.llm import packing, sharding, toxicity
 from tallybook.llm.staging import Staging
 
 QUERIES: dict = {}
@@ -44,3 +44,16 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as pieces of at most 4096 ids in as few sequences as best-two-fit gets."""
     return packing.pack(table(spark, sf_dir, "documents"), Staging(spark))
+
+
+@query
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A toxicity score of every document, by a classifier that never saw the held-out fold."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(documents, table(spark, sf_dir, "labels"), Staging(spark))
+    return toxicity.scored(documents, model, "score").select(
+        "doc_id",
+        (toxicity.fold(F.col("doc_id")) == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
