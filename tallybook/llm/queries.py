@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybook.llm import packing, sharding, toxicity
+from tallybook.llm import packing, quality, sharding, toxicity
 from tallybook.llm.staging import Staging
 
 QUERIES: dict = {}
@@ -57,3 +57,10 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"),
     )
+
+
+@query
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdict of the quality rules for every document."""
+    columns = "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept"
+    return quality.judged(table(spark, sf_dir, "documents")).select(*columns.split())
