@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybook.llm import packing, quality, sharding, toxicity
+from tallybook.llm import packing, quality, repeats, sharding, toxicity
 from tallybook.llm.staging import Staging
 
 QUERIES: dict = {}
@@ -64,3 +64,34 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdict of the quality rules for every document."""
     columns = "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept"
     return quality.judged(table(spark, sf_dir, "documents")).select(*columns.split())
+
+
+@query
+def op2_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the words of 20-word windows that start earlier in the corpus."""
+    found = repeats.without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), Staging(spark))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2(F.encode("kept_text", "UTF-8"), 256).alias("kept_sha256"))
+
+
+ORACLE_SQL["op2_repeats"] = r"""
+WITH words AS (
+    SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
+    FROM documents
+), windows AS (
+    SELECT doc_id, i AS start, md5(array_to_string(w[i:i + 19], ' ')) AS content
+    FROM words, unnest(range(1, len(w) - 18)) AS t(i)
+), repeated AS (
+    SELECT doc_id, start FROM windows
+    QUALIFY row_number() OVER (PARTITION BY content ORDER BY doc_id, start) > 1
+), covered AS (
+    SELECT DISTINCT doc_id, start + k AS i FROM repeated, range(20) AS t(k)
+), single AS (
+    SELECT doc_id, i, w[i] AS word FROM words, unnest(range(1, len(w) + 1)) AS t(i)
+), kept AS (
+    SELECT s.doc_id, count(*) AS n, string_agg(s.word, ' ' ORDER BY s.i) AS text
+    FROM single s ANTI JOIN covered c ON s.doc_id = c.doc_id AND s.i = c.i GROUP BY s.doc_id
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed,
+       sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM words LEFT JOIN kept USING (doc_id)
+"""

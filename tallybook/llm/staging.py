@@ -29,19 +29,33 @@ class Staging:
     def __init__(self, spark: SparkSession, folder: str | None = None):
         self.spark = spark
         self.root = f"{(folder or shared_folder(spark)).rstrip('/')}/llm-{uuid.uuid4().hex}"
-        atexit.register(self.clear)
+        atexit.register(self._at_exit)
 
     def table(self, frame: DataFrame, name: str) -> DataFrame:
-        """Write ``frame`` and return the written table, whose plan has no memory of how it was made."""
+        """Write ``frame`` and return the written table, whose plan has no memory of how it was made.
+
+        Shuffle files that only served this write go when the driver collects its garbage, so it does.
+        """
         path = f"{self.root}/{name}"
         frame.write.mode("overwrite").parquet(path)
+        self.spark._jvm.System.gc()
         return self.spark.read.schema(frame.schema).parquet(path)
 
+    def drop(self, name: str) -> None:
+        """Delete one table that no later step reads."""
+        self._delete(f"{self.root}/{name}")
+
+    def _delete(self, folder: str) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
     def clear(self) -> None:
+        """Delete all tables."""
+        atexit.unregister(self._at_exit)
+        self._delete(self.root)
+
+    def _at_exit(self) -> None:
         try:
-            path = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
-            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
-        except Exception:  # the session has ended; its folder goes with the cluster's
+            self._delete(self.root)
+        except Exception:  # the session has ended before; its folder goes with the cluster's
             return
-        finally:
-            atexit.unregister(self.clear)
