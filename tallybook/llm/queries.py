@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybook.llm import packing, quality, repeats, sharding, toxicity
+from tallybook.llm import dartminhash, packing, quality, repeats, sharding, toxicity
 from tallybook.llm.staging import Staging
 
 QUERIES: dict = {}
@@ -95,3 +95,10 @@ SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n
        sha256(coalesce(kept.text, '')) AS kept_sha256
 FROM words LEFT JOIN kept USING (doc_id)
 """
+
+
+@query
+def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The near-duplicate class of every document."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return dartminhash.classes(documents, Staging(spark)).select("doc_id", "class_id")
