@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybook.llm import dartminhash, packing, quality, repeats, sharding, toxicity
+from tallybook.llm import dartminhash, packing, quality, repeats, secret_scan, sharding, toxicity
 from tallybook.llm.staging import Staging
 
 QUERIES: dict = {}
@@ -102,3 +102,18 @@ def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The near-duplicate class of every document."""
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     return dartminhash.classes(documents, Staging(spark)).select("doc_id", "class_id")
+
+
+@query
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document: those of the base patterns, and strings that look random."""
+    found = secret_scan.scan(table(spark, sf_dir, "documents"), Staging(spark))
+    base = secret_scan.written(F.filter("spans", lambda s: s["kind"] < 3))
+    return found.select(
+        "doc_id",
+        "n_assign",
+        "n_access",
+        "n_hex",
+        F.sha2(F.encode(base, "UTF-8"), 256).alias("base_sha256"),
+        secret_scan.written(F.col("spans")).alias("spans"),
+    )
