@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybook.llm import dartminhash, packing, quality, repeats, secret_scan, sharding, toxicity
+from tallybook.llm import dartminhash, packing, personal_data, quality, repeats, secret_scan, sharding, toxicity
 from tallybook.llm.staging import Staging
 
 QUERIES: dict = {}
@@ -117,3 +117,21 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.encode(base, "UTF-8"), 256).alias("base_sha256"),
         secret_scan.written(F.col("spans")).alias("spans"),
     )
+
+
+@query
+def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document: that of the base patterns, and what the random field adds."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = personal_data.scanned(documents, personal_data.fit(documents, Staging(spark)))
+    kinds = F.transform("base_spans", lambda s: s["kind"])
+    counts = [
+        (F.size("base_spans") - F.size(F.array_remove(kinds, i))).cast("long").alias(f"n_{kind}")
+        for i, kind in enumerate(personal_data.KINDS)
+    ]
+    return found.select(
+        "doc_id",
+        *counts,
+        F.sha2(F.encode(personal_data.written(F.col("base_spans")), "UTF-8"), 256).alias("base_sha256"),
+        personal_data.written(F.concat("base_spans", "added_spans")).alias("spans"),
+    )
