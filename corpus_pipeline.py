@@ -1,10 +1,83 @@
-"""The corpus pipeline: stages over documents, each written as Parquet and read again by the next."""
+"""The corpus pipeline: stages over documents, each written as Parquet and read again by the next.
+
+toxicity drops the documents that its classifier rejects; near_duplicates keeps one document of each
+class; personal_data masks what it finds; mixing puts the documents in the order of the mixture, file by
+file; packing gives the pieces of all of them with their sequences. All but the last return the columns
+of documents.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tallybook.llm import dartminhash, mixing, packing, personal_data, toxicity
+from tallybook.llm.queries import importable, table
+from tallybook.llm.staging import Staging
+
+
+def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents with a toxicity score below 0.5."""
+    importable(spark)
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), Staging(spark))
+    scored = toxicity.scored(docs, model)
+    return scored.where(F.col(scored.columns[-1]) < 0.5).select(docs.columns)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate class, that of the least id; of wholly repeated rows, one."""
+    importable(spark)
+    found = dartminhash.classes(docs, Staging(spark)).where("first_of_class")
+    kept = found.select(F.col("doc_id").alias("__id"), F.col("content").alias("__kept"))
+    marked = docs.withColumn("__content", dartminhash.content(F.col("text")))
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__content") == F.col("__kept"))
+    return marked.join(kept, same, "left_semi").dropDuplicates(["doc_id", "__content"]).select(docs.columns)
+
+
+def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with personal data replaced by its kind; n_chars follows the new text."""
+    importable(spark)
+    found = personal_data.scanned(docs, personal_data.fit(docs, Staging(spark)))
+    base, added = found.columns[-2:]
+    spans = F.concat(base, added)
+    text = F.when(F.size(spans) > 0, personal_data.masked(F.col("text"), spans)).otherwise(F.col("text"))
+    changed = found.withColumn("text", text)
+    if "n_chars" in docs.columns:
+        length = F.length("text").cast(docs.schema["n_chars"].dataType)
+        changed = changed.withColumn("n_chars", F.when(F.size(spans) > 0, length).otherwise(F.col("n_chars")))
+    return changed.select(docs.columns)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents in the order of the mixture: later files hold later positions."""
+    order = F.struct("doc_id", F.xxhash64("text"))
+    mixture = mixing.mixed(docs, order=order)
+    place = mixing.place_column(docs, mixture)
+    return mixture.orderBy(f"{place}.position").select(docs.columns)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents and their places in training sequences."""
+    importable(spark)
+    return packing.pack(docs, Staging(spark))
+
+
+STAGES = [
+    ("toxicity", reject_toxic),
+    ("near_duplicates", drop_near_duplicates),
+    ("personal_data", mask_personal_data),
+    ("mixing", mix_sources),
+    ("packing", pack_sequences),
+]
+
+#: SQL has no classifier, random field or tokenizer; tests compare the stages with brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the documents of ``sf_dir``."""
+    staging = Staging(spark)
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = staging.table(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -8,19 +8,24 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybook.llm import dartminhash, packing, personal_data, quality, repeats, secret_scan, sharding, toxicity
+from tallybook.llm import dartminhash, mixing, packing, personal_data, quality, repeats, secret_scan, sharding, toxicity
 from tallybook.llm.staging import Staging
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
 
 
+def importable(spark: SparkSession) -> None:
+    """Let the tasks' Python find this package, where the session names no path of its own."""
+    spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
+
+
 def query(function):
-    """Register a query; the tasks' Python gets this checkout's folder, where the session has no other path."""
+    """Register a query."""
 
     @functools.wraps(function)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
+        importable(spark)
         return function(spark, sf_dir)
 
     QUERIES[function.__name__] = run
@@ -135,3 +140,10 @@ def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.encode(personal_data.written(F.col("base_spans")), "UTF-8"), 256).alias("base_sha256"),
         personal_data.written(F.concat("base_spans", "added_spans")).alias("spans"),
     )
+
+
+@query
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The place of every document in the mixture of its sources, weighted by the root of their sizes."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "source")
+    return mixing.mixed(documents).select("doc_id", "source", "mixture.*")
