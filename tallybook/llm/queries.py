@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybook.llm import dartminhash, mixing, packing, personal_data, quality, repeats, secret_scan, sharding, toxicity
+from tallybook.llm import dartminhash, mixing, neighbours, packing, personal_data, quality, repeats, secret_scan, sharding, toxicity
 from tallybook.llm.staging import Staging
 
 QUERIES: dict = {}
@@ -147,3 +147,9 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The place of every document in the mixture of its sources, weighted by the root of their sizes."""
     documents = table(spark, sf_dir, "documents").select("doc_id", "source")
     return mixing.mixed(documents).select("doc_id", "source", "mixture.*")
+
+
+@query
+def op6_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest vectors of every 50th vector, against all rows."""
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, Staging(spark))
