@@ -21,11 +21,19 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 
+_POWERS: dict[int, np.ndarray] = {}
+
+
 def powers(base: np.uint64, count: int) -> np.ndarray:
-    out = np.full(count, base, np.uint64)
-    if count:
-        out[0] = 1
-    return np.cumprod(out, dtype=np.uint64)
+    """base ** 0, 1, 2, ... modulo 2 ** 64; those for a chunk are kept."""
+    kept = _POWERS.get(int(base))
+    if kept is None or len(kept) < count:
+        kept = np.full(max(count, CHUNK_BYTES + 1), base, np.uint64)
+        kept[0] = 1
+        kept = np.cumprod(kept, dtype=np.uint64)
+        if len(kept) <= 2 * CHUNK_BYTES:
+            _POWERS[int(base)] = kept
+    return kept[:count]
 
 
 def mix(x: np.ndarray) -> np.ndarray:
