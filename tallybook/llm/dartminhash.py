@@ -8,7 +8,7 @@ from math import exp, log
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallybook.llm.components import components
@@ -163,8 +163,10 @@ class Linker:
     """Links between similar texts that share a bucket, found without comparing all members of it.
 
     Every member is compared with the bucket's leader, its least node. What isn't like the leader stays
-    open. Buckets with open members are divided by each further band that their members share, the least
-    open member leads each part and is compared with all members there, and again, until none is open.
+    open. Buckets with open members are divided by each further band that their members share; in each
+    part one open member leads and is compared with all members there, then two of those still open,
+    then four, and so on until none is: so copies of one text are done with after a round, and texts that
+    are like no other take a number of rounds that is the logarithm of theirs. No pair is compared twice.
     A text that two unlike leaders are both compared with ties their classes together.
     """
 
@@ -185,19 +187,22 @@ class Linker:
         joined = pairs.join(one, "a").join(two, "b").select("a", "b", "a_text", "b_text")
         return self.staging.table(joined.mapInArrow(_alike, "a long, b long").distinct(), f"links_{self.round}")
 
-    def still_open(self, members: DataFrame, links: DataFrame) -> DataFrame:
-        """The members (bucket, node, leader) that are neither their leader nor linked with it."""
+    def still_open(self, members: DataFrame, leaders: DataFrame, links: DataFrame) -> DataFrame:
+        """The members (bucket, node) that neither lead their bucket nor are linked with a leader of it."""
         both = links.unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         both = both.select(F.col("a").alias("node"), F.col("b").alias("leader"))
-        return members.where("node <> leader").join(both, ["node", "leader"], "left_anti")
+        led = members.join(leaders, "bucket").join(both, ["node", "leader"], "left_semi").select("bucket", "node")
+        done = led.unionAll(leaders.select("bucket", F.col("leader").alias("node"))).distinct()
+        return members.join(done, ["bucket", "node"], "left_anti")
 
     def links(self) -> DataFrame:
         leaders = self.members.select("bucket", "leader").distinct()
-        first = self.alike(_pairs(self.members.select("bucket", "node"), leaders))
-        links = [first]
-        left = self.staging.table(self.still_open(self.members, first).select("bucket", "node"), "open")
+        everyone = self.members.select("bucket", "node")
+        compared = self.staging.table(_pairs(everyone, leaders), "compared_0")
+        links = self.alike(compared)
+        left = self.staging.table(self.still_open(everyone, leaders, links), "open_0")
         if left.isEmpty():
-            return first
+            return links
         again = self.members.join(left.select("bucket").distinct(), "bucket", "left_semi").select("bucket", "node")
         flagged = again.join(left.withColumn("open", F.lit(True)), ["bucket", "node"], "left")
         other = F.explode("bands").alias("other")
@@ -207,20 +212,16 @@ class Linker:
         )
         busy = parts.groupBy("bucket").agg(F.max("open").alias("any"), F.count(F.lit(1)).alias("n")).where("any and n > 1")
         parts = self.staging.table(parts.join(busy.select("bucket"), "bucket", "left_semi"), "parts")
-        left = parts.where("open").select("bucket", "node")
-        members = parts.select("bucket", "node")
-        turn = 0
+        left, members, turn = parts.where("open").select("bucket", "node"), parts.select("bucket", "node"), 0
+        place = F.row_number().over(Window.partitionBy("bucket").orderBy(F.xxhash64("node"), "node"))
         while not left.isEmpty():
+            leaders = left.withColumn("place", place).where(F.col("place") <= 2**turn).select("bucket", F.col("node").alias("leader"))
             turn += 1
-            leaders = left.groupBy("bucket").agg(F.min("node").alias("leader"))
-            found = self.alike(_pairs(members, leaders))
-            links.append(found)
-            led = left.join(leaders, "bucket")
-            left = self.staging.table(self.still_open(led, found).select("bucket", "node"), f"open_{turn}")
-        every = links[0]
-        for more in links[1:]:
-            every = every.unionAll(more)
-        return every.distinct()
+            fresh = _pairs(members, leaders).join(compared, ["a", "b"], "left_anti")
+            fresh = self.staging.table(fresh, f"compared_{turn}")
+            compared, links = compared.unionAll(fresh), links.unionAll(self.alike(fresh))
+            left = self.staging.table(self.still_open(left, leaders, links), f"open_{turn}")
+        return links
 
 
 def classes(documents: DataFrame, staging: Staging) -> DataFrame:
