@@ -65,7 +65,7 @@ def test_empty_table(embeddings, staging):
 
 
 def test_search_visits_all_leaves_nearest_first():
-    sample = np.random.default_rng(3).normal(size=(2000, 8))
+    sample = np.random.default_rng(3).normal(size=(8000, 8))
     tree = Tree(sample)
     order = list(tree.search(unit(sample[:1])[0]))
     assert sorted(order) == list(range(tree.leaves)) and tree.leaves > 20
