@@ -6,6 +6,7 @@ import re
 
 from checks import fixture
 from tallybook import fixed
+from tallybook.operators.row_checks import ITEM_PRICE_REJECT_COLUMNS, SELLER_REJECT_COLUMNS
 
 SC_COLUMNS = (
     "booking_period, oms_id_sales_order_item, order_nr, id_supplier, short_code, supplier_name, "
@@ -78,45 +79,65 @@ _ITEM_ERROR = _error(
 )
 
 
-def _extract(month: str = "") -> str:
+# Items of the seller side with the number of their order, as one relation.
+_PLACED = """
+    SELECT id_sales_order_item AS item, src_id,
+           (SELECT max(order_nr) FROM seller_order WHERE id_sales_order = fk_sales_order) AS number
+    FROM seller_order_item"""
+
+
+def _extract(days: str = "true") -> str:
+    """Each transaction of the days with what its four references name, or nothing."""
     return f"""
-    SELECT t.id_transaction, soi.src_id AS oms_id_sales_order_item, so.order_nr,
-           s.id_seller AS id_supplier, s.short_code, s.name AS supplier_name,
-           g.name AS transaction_type, g.id_tre2_account_statement_group AS id_transaction_type,
-           t.value AS transaction_value, ts.id_transaction_statement,
-           CAST(ts.start_date AS VARCHAR) AS statement_start_date,
-           CAST(ts.end_date AS VARCHAR) AS statement_end_date, t.description AS comment,
-           CAST(CAST(date_trunc('month', t.created_at) AS DATE) AS VARCHAR) AS booking_period
-    FROM txn t
-    LEFT JOIN statement_group g
-           ON t.fk_tre2_account_statement_group = g.id_tre2_account_statement_group
-    LEFT JOIN seller s ON t.fk_seller = s.id_seller
-    LEFT JOIN seller_order_item soi ON soi.id_sales_order_item = t.ref
-    LEFT JOIN seller_order so ON so.id_sales_order = soi.fk_sales_order
-    LEFT JOIN statement ts ON ts.id_transaction_statement = t.fk_transaction_statement
-    {month}"""
-
-
-_MONTH = "WHERE month(t.created_at) = 12 AND year(t.created_at) = 1996"
-
-_OMS = """
-    SELECT oms_id_sales_order_item, item_status, payment_method, shipment_provider_name, paid_price
-    FROM (
-        SELECT i.id_sales_order_item AS oms_id_sales_order_item, st.name AS item_status,
-               o.payment_method, p.shipment_provider_name, i.paid_price,
-               row_number() OVER (
-                   PARTITION BY i.id_sales_order_item
-                   ORDER BY st.name NULLS LAST, o.payment_method NULLS LAST,
-                            pd.fk_shipment_provider NULLS LAST, i.paid_price NULLS LAST) AS n
-        FROM order_item i
-        LEFT JOIN order_head o ON o.id_sales_order = i.fk_sales_order
-        LEFT JOIN package_item pi ON pi.fk_sales_order_item = i.id_sales_order_item
-        LEFT JOIN dispatching pd ON pi.fk_package = pd.fk_package
-        LEFT JOIN provider p ON pd.fk_shipment_provider = p.id_shipment_provider
-        LEFT JOIN item_status st
-               ON st.id_sales_order_item_status = i.fk_sales_order_item_status
-        WHERE i.id_sales_order_item IN (SELECT oms_id_sales_order_item FROM sc)
-    ) ranked WHERE n = 1"""
+    SELECT id_transaction, placed.src_id AS oms_id_sales_order_item, placed.number AS order_nr,
+           merchant.id AS id_supplier, merchant.short_code, merchant.shop AS supplier_name,
+           kind.label AS transaction_type, kind.id AS id_transaction_type,
+           money AS transaction_value, paper.id AS id_transaction_statement,
+           paper.opened AS statement_start_date, paper.closed AS statement_end_date,
+           remark AS comment, strftime(day, '%Y-%m-01') AS booking_period
+    FROM (SELECT id_transaction, value AS money, description AS remark, created_at AS day, ref,
+                 fk_tre2_account_statement_group AS kind_ref, fk_seller AS merchant_ref,
+                 fk_transaction_statement AS paper_ref
+          FROM txn WHERE {days}) booked
+    LEFT JOIN ({_PLACED}) placed ON booked.ref = placed.item
+    LEFT JOIN (SELECT id_seller AS id, short_code, name AS shop FROM seller) merchant
+           ON merchant_ref = merchant.id
+    LEFT JOIN (SELECT id_tre2_account_statement_group AS id, name AS label
+               FROM statement_group) kind ON kind_ref = kind.id
+    LEFT JOIN (SELECT id_transaction_statement AS id, CAST(start_date AS VARCHAR) AS opened,
+                      CAST(end_date AS VARCHAR) AS closed FROM statement) paper
+           ON paper_ref = paper.id"""
+
+
+_MONTH = "created_at >= DATE '1996-12-01' AND created_at < DATE '1997-01-01'"
+
+# The least provider id of an item's packages; NULL if it has none.
+_SHIPPED_BY = """
+    SELECT box.fk_sales_order_item AS item, min(sent.fk_shipment_provider) AS provider_ref
+    FROM package_item box, dispatching sent
+    WHERE box.fk_package = sent.fk_package GROUP BY item"""
+
+# What is known of an item apart from its packages; doubled rows are ranked.
+_ORDERED = """
+    SELECT id_sales_order_item AS item, paid_price,
+           (SELECT max(name) FROM item_status
+            WHERE id_sales_order_item_status = fk_sales_order_item_status) AS item_status,
+           (SELECT max(payment_method) FROM order_head
+            WHERE id_sales_order = fk_sales_order) AS payment_method
+    FROM order_item"""
+
+_OMS = f"""
+    SELECT item AS oms_id_sales_order_item, first.item_status, first.payment_method,
+           shipment_provider_name, first.paid_price
+    FROM (SELECT item, min_by(struct_pack(item_status := item_status,
+                 payment_method := payment_method, paid_price := paid_price), rank) AS first
+          FROM (SELECT *, row_number() OVER (PARTITION BY item ORDER BY
+                       item_status NULLS LAST, payment_method NULLS LAST, paid_price NULLS LAST)
+                       AS rank FROM ({_ORDERED}) every_row)
+          GROUP BY item) ordered
+    LEFT JOIN ({_SHIPPED_BY}) shipped USING (item)
+    LEFT JOIN provider ON provider_ref = id_shipment_provider
+    WHERE EXISTS (SELECT 1 FROM sc WHERE sc.oms_id_sales_order_item = item)"""
 
 _FLAT_SC = """
     SELECT CAST(CAST(date_trunc('month', created_at) AS DATE) AS VARCHAR) AS booking_period, r.*
@@ -199,23 +220,19 @@ _STEPS = {
                CAST(beneficiary_code AS BIGINT) AS account_free,
                CAST(sum(transaction_value) AS DOUBLE) * -1 * 100 / 109 AS amount
         FROM comm GROUP BY booking_period, beneficiary_code""",
+    # The other side of everything that was sold or charged: the whole values, by seller.
     "p_total": """
         SELECT booking_period, CAST(31002 AS BIGINT) AS account_code,
                CAST(beneficiary_code AS BIGINT) AS account_free,
-               (CAST(sum(goods) AS DOUBLE)
-                + CAST(sum(fee) AS DOUBLE) * -1 * 100 / 109
-                + CAST(sum(fee) AS DOUBLE) * -1 * 100 / 109 * 0.09) * -1 AS amount
-        FROM (
-            SELECT booking_period, beneficiary_code, voucher AS goods, 0 AS fee FROM ipc
-            UNION ALL
-            SELECT booking_period, beneficiary_code, voucher, 0 FROM ipt
-            UNION ALL
-            SELECT booking_period, beneficiary_code, paid_price, 0 FROM ipc
-            UNION ALL
-            SELECT booking_period, beneficiary_code, paid_price, 0 FROM ipt
-            UNION ALL
-            SELECT booking_period, beneficiary_code, 0, transaction_value FROM comm
-        ) branches
+               (CAST(coalesce(sum(transaction_value) FILTER (WHERE is_price), 0) AS DOUBLE)
+                + CAST(coalesce(sum(transaction_value) FILTER (WHERE NOT is_price), 0) AS DOUBLE)
+                  * -1 * 100 / 109
+                + CAST(coalesce(sum(transaction_value) FILTER (WHERE NOT is_price), 0) AS DOUBLE)
+                  * -1 * 100 / 109 * 0.09) * -1 AS amount
+        FROM (SELECT booking_period, short_code, transaction_value, true AS is_price
+              FROM item_valid
+              UNION ALL SELECT booking_period, short_code, transaction_value, false FROM comm) sold
+        LEFT JOIN benef USING (short_code)
         GROUP BY booking_period, beneficiary_code""",
     "template": """
         SELECT 'voucher' AS posting, * FROM p_voucher
@@ -281,12 +298,18 @@ def _upload_error(*fields: tuple[str, str, list[tuple[str, str]], bool]) -> str:
     return _error(*messages)
 
 
+def _unlike(column: str, pattern: str) -> str:
+    """Braces are doubled for the later str.format."""
+    escaped = pattern.replace("{", "{{").replace("}", "}}")
+    return f"NOT regexp_matches({column}, '{escaped}')"
+
+
 _SHORT_CODE = (
     "ShortCode",
     "short_code",
     [
         (
-            r"NOT regexp_matches(short_code, '\A[I][R][0-9][0-9][0-9A-Z][0-9A-Z][0-9A-Z]\z')",
+            _unlike("short_code", fixed.SHORT_CODE_FORMAT),
             "must be in a valid format",
         )
     ],
@@ -312,8 +335,7 @@ _BENEFICIARY_ERROR = _upload_error(
         [
             _not_integer("beneficiary_code"),
             (
-                "NOT (substr(beneficiary_code, 1, 1) = '3' AND "
-                "regexp_matches(substr(beneficiary_code, 2), '\\A' || repeat('[0-9]', 9)))",
+                _unlike("beneficiary_code", fixed.BENEFICIARY_CODE_FORMAT),
                 "must be in a valid format",
             ),
         ],
@@ -445,6 +467,26 @@ _SELECTS: dict[str, str] = {
         UNION ALL SELECT 'ledger_map', count(*) FROM lmap
         UNION ALL SELECT 'missing_ledger_keys', count(DISTINCT ledger_map_key) FROM item_valid v
             WHERE NOT EXISTS (SELECT 1 FROM lmap m WHERE m.ledger_map_key = v.ledger_map_key)""",
+    "rejected_seller_rows": f"""
+        SELECT error, {', '.join(SELLER_REJECT_COLUMNS[1:6])},
+               CAST(transaction_value AS DOUBLE) AS transaction_value,
+               statement_start_date, statement_end_date
+        FROM sc_checked WHERE error IS NOT NULL""",
+    "rejected_item_price_rows": f"""
+        SELECT error, {', '.join(ITEM_PRICE_REJECT_COLUMNS[1:6])},
+               CAST(transaction_value AS DOUBLE) AS transaction_value, item_status,
+               payment_method, shipment_provider_name, CAST(paid_price AS DOUBLE) AS paid_price
+        FROM item_checked WHERE error IS NOT NULL""",
+    "missing_short_codes_log": """
+        SELECT short_code FROM sc WHERE short_code NOT IN (SELECT short_code FROM benef_gaps)""",
+    "missing_ledger_keys_log": f"""
+        SELECT DISTINCT {', '.join(_PARTS)}, CAST(0 AS BIGINT) AS ledger,
+               CAST(0 AS BIGINT) AS subledger
+        FROM item_valid ANTI JOIN ledger_rows_gaps USING ({', '.join(_PARTS)})""",
+    "template_rows": """
+        SELECT booking_period, CAST(account_code AS VARCHAR) AS account_code,
+               coalesce(CAST(account_free AS VARCHAR), '') AS account_free, amount
+        FROM template""",
     "upload_beneficiary": f"""
         SELECT row_no, short_code, beneficiary_code, {_BENEFICIARY_ERROR} FROM up_beneficiary""",
     "upload_retail": f"SELECT row_no, short_code, {_upload_error(_SHORT_CODE)} FROM up_retail",
@@ -455,20 +497,29 @@ _SELECTS: dict[str, str] = {
     ),
     "append_retail": _append("ok_retail", "retail", ("short_code",), ()),
     "append_ledger_map": _append("ok_ledger", "ledger_rows_gaps", _PARTS, ("ledger", "subledger")),
-    "shipped_ledger_keys": """
-        SELECT DISTINCT st.name || '-' || o.payment_method || '-' || p.shipment_provider_name
-               AS ledger_map_key
-        FROM order_item i
-        LEFT JOIN order_head o ON i.fk_sales_order = o.id_sales_order
-        LEFT JOIN package_item pi ON pi.fk_sales_order_item = i.id_sales_order_item
-        LEFT JOIN dispatching pd ON pi.fk_package = pd.fk_package
-        LEFT JOIN provider p ON pd.fk_shipment_provider = p.id_shipment_provider
-        LEFT JOIN item_status st
-               ON st.id_sales_order_item_status = i.fk_sales_order_item_status
-        LEFT JOIN status_history h ON i.id_sales_order_item = h.fk_sales_order_item
-                                  AND h.fk_sales_order_item_status = 5
-        WHERE h.created_at IS NOT NULL
-          AND i.id_sales_order_item IN (SELECT oms_id_sales_order_item FROM sc)""",
+    "shipped_ledger_keys": f"""
+        SELECT DISTINCT concat(item_status || '-', payment_method || '-', shipment_provider_name)
+                   AS ledger_map_key
+        FROM ({_ORDERED}) ordered, package_item box, dispatching sent, provider
+        WHERE box.fk_sales_order_item = item AND sent.fk_package = box.fk_package
+          AND id_shipment_provider = sent.fk_shipment_provider
+          AND item_status IS NOT NULL AND payment_method IS NOT NULL
+          AND shipment_provider_name IS NOT NULL
+          AND EXISTS (SELECT 1 FROM sc WHERE sc.oms_id_sales_order_item = item)
+          AND EXISTS (SELECT 1 FROM status_history WHERE fk_sales_order_item = item
+                      AND fk_sales_order_item_status = {fixed.SHIPPED_STATUS}
+                      AND created_at IS NOT NULL)
+        UNION
+        -- An item with a part that is not known has no key.
+        SELECT NULL FROM ({_ORDERED}) ordered
+        LEFT JOIN package_item box ON box.fk_sales_order_item = item
+        LEFT JOIN dispatching sent USING (fk_package)
+        LEFT JOIN provider ON id_shipment_provider = sent.fk_shipment_provider
+        WHERE (item_status || payment_method || shipment_provider_name) IS NULL
+          AND EXISTS (SELECT 1 FROM sc WHERE sc.oms_id_sales_order_item = item)
+          AND EXISTS (SELECT 1 FROM status_history WHERE fk_sales_order_item = item
+                      AND fk_sales_order_item_status = {fixed.SHIPPED_STATUS}
+                      AND created_at IS NOT NULL)""",
     "previous_month_window": """
         SELECT CAST(as_of AS VARCHAR) AS as_of,
                CAST(CAST(date_trunc('month', as_of) - INTERVAL 1 MONTH AS DATE) AS VARCHAR)

@@ -20,11 +20,12 @@ from tallybook.functions.periods import (
 from tallybook.functions.rules import invalid_rows, valid_rows
 from tallybook.operators import counts, enrich, matching, postings, routing, uploads
 from tallybook.operators.row_checks import (
+    ITEM_PRICE_REJECT_COLUMNS,
+    SELLER_REJECT_COLUMNS,
     check_item_price_rows,
     check_seller_rows,
-    valid_item_price_rows,
-    valid_seller_rows,
 )
+from tallybook.sinks import files
 from tallybook.sources import maps, orders, seller
 from tallybook.sources.schemas import STAGED_COLUMNS
 
@@ -84,7 +85,7 @@ class Booking:
 
     @cached_property
     def sc(self) -> DataFrame:
-        return valid_seller_rows(self.no_retail).select(*STAGED_COLUMNS)
+        return valid_rows(self.checked).select(*STAGED_COLUMNS)
 
     @cached_property
     def item_ids(self) -> DataFrame:
@@ -92,8 +93,8 @@ class Booking:
 
     @cached_property
     def oms(self) -> DataFrame:
-        """Orders to match with: of the booked items, or of all when every month is booked."""
-        return orders.order_extract(self.tables, self.item_ids if self.period else None)
+        """Orders to match with: of the booked items."""
+        return orders.order_extract(self.tables, self.item_ids)
 
     @cached_property
     def item_prices(self) -> DataFrame:
@@ -105,7 +106,7 @@ class Booking:
 
     @cached_property
     def item_prices_valid(self) -> DataFrame:
-        return valid_item_price_rows(self.item_prices)
+        return valid_rows(self.item_prices_checked)
 
     @cached_property
     def prices(self) -> DataFrame:
@@ -113,7 +114,9 @@ class Booking:
 
     @cached_property
     def booked(self) -> DataFrame:
-        return postings.book(self.sc, self.oms, self.ledger_map, self.beneficiary_map)
+        return postings.book(
+            self.item_prices_valid, self.sc, self.ledger_map, self.beneficiary_map
+        )
 
     @cached_property
     def booked_commissions(self) -> DataFrame:
@@ -154,16 +157,31 @@ def previous_month_window(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _step_counts(b: Booking) -> DataFrame:
+    """The counts of a run, by its own functions, on frames that were not written before."""
+    seller_rows = counts.checked_counts(b.checked, "seller_rows")
+    steps = {
+        "extracted": b.extract,
+        "beneficiary_map": b.beneficiary_map,
+        "ledger_map": b.ledger_map,
+        "missing_beneficiary": matching.missing_beneficiary(b.sc, b.beneficiary_map),
+        "orders": b.oms,
+        "missing_ledger_keys": matching.missing_ledger_keys(b.item_prices_valid, b.ledger_map),
+    }
     return (
-        counts.seller_counts(check_seller_rows(b.extract), b.retail, b.beneficiary_map)
-        .unionByName(counts.item_price_counts(b.item_prices_checked, b.ledger_map))
-        .unionByName(
-            counts.table_counts(
-                beneficiary_map=b.beneficiary_map,
-                orders=orders.order_extract(b.tables, b.item_ids),
-                ledger_map=b.ledger_map,
-            )
-        )
+        counts.step_counts(steps)
+        .unionByName(seller_rows.replace("seller_rows", "without_retail", "step"))
+        .unionByName(counts.checked_counts(b.item_prices_checked, "item_prices"))
+    )
+
+
+def _named(rows: DataFrame) -> DataFrame:
+    """The printed template with the amount as a number again, which both engines print alike."""
+    period, code, free, amount = (F.col(f"`{c}`") for c in rows.columns)
+    return rows.select(
+        period,
+        code.alias("account_code"),
+        free.alias("account_free"),
+        amount.cast("double").alias("amount"),
     )
 
 
@@ -183,7 +201,7 @@ STEPS: dict[str, Callable[[Booking], DataFrame]] = {
     "retail_list_read": lambda b: b.retail,
     "ledger_map_key": lambda b: b.item_prices.select("oms_id_sales_order_item", "ledger_map_key"),
     "duplicate_map_keys": lambda b: maps.duplicate_keys(b.view("benef_doubled"), ["short_code"]),
-    "retail_filter": lambda b: matching.without_retail(b.extract, b.retail),
+    "retail_filter": lambda b: b.no_retail,
     "sc_valid": lambda b: valid_rows(b.checked),
     "sc_invalid": lambda b: invalid_rows(b.checked),
     "type_routing": lambda b: routing.route(b.sc),
@@ -214,8 +232,22 @@ STEPS: dict[str, Callable[[Booking], DataFrame]] = {
     ),
     "total_ledger_amount": lambda b: postings.posting(b.booked, "total"),
     "posting_template": lambda b: postings.posting_template(b.booked),
-    "zero_balance": lambda b: postings.balance(postings.posting_template(b.booked)),
+    "zero_balance": lambda b: postings.balance(postings.posting_sums(b.booked)),
     "step_counts": _step_counts,
+    # What the files of a run hold, before it is written as text.
+    "rejected_seller_rows": lambda b: invalid_rows(b.checked).select(*SELLER_REJECT_COLUMNS),
+    "rejected_item_price_rows": lambda b: invalid_rows(b.item_prices_checked).select(
+        *ITEM_PRICE_REJECT_COLUMNS
+    ),
+    "missing_short_codes_log": lambda b: matching.missing_beneficiary(
+        b.sc, b.view("benef_gaps")
+    ).select("short_code"),
+    "missing_ledger_keys_log": lambda b: files.with_empty_codes(
+        matching.missing_ledger_keys(
+            b.item_prices_valid, maps.read_ledger_map(b.view("ledger_rows_gaps"))
+        )
+    ),
+    "template_rows": lambda b: _named(files.template_rows(postings.posting_template(b.booked))),
     "upload_beneficiary": _upload("benef_code_map", "up_beneficiary"),
     "upload_retail": _upload("retail_supplier", "up_retail"),
     "upload_ledger_map": _upload("ledger_map", "up_ledger"),

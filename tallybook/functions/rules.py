@@ -48,10 +48,6 @@ class Field:
     def name(self) -> str:
         return self.label or self.column
 
-    @property
-    def is_required(self) -> bool:
-        return self.checks[0][1] == fixed.BLANK
-
     def failures(self) -> list[tuple[str, str]]:
         return [(bad.format(c=self.column), text) for bad, text in self.checks]
 
@@ -67,21 +63,6 @@ def error_text(fields: Iterable[Field]) -> Column:
     return F.expr(f"concat(nullif({joined}, ''), '.')")
 
 
-def is_valid(fields: Iterable[Field]) -> Column:
-    """Whether a row has no error, without building the text.
-
-    A plain conjunction: Catalyst pushes each part to the side it reads, so rows without a
-    required partner or id are gone before they are shuffled.
-    """
-    # NULL passes every check but "required"; a required field is never NULL after it.
-    passes = [
-        f"NOT ({bad})" if field.is_required else f"coalesce(NOT ({bad}), true)"
-        for field in fields
-        for bad, _ in field.failures()
-    ]
-    return F.expr(" AND ".join(passes))
-
-
 def with_error(df: DataFrame, fields: Iterable[Field]) -> DataFrame:
     return df.withColumn("error", error_text(fields))
 

@@ -1,74 +1,31 @@
-"""Row counts after each step of a booking run."""
+"""Row counts of the steps of a booking run."""
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-def _as_rows(counts: DataFrame) -> DataFrame:
-    """One row (step, rows) per column of a one-row frame."""
-    pairs = [
-        F.struct(F.lit(c).alias("step"), F.col(c).cast("bigint").alias("rows"))
-        for c in counts.columns
-    ]
-    return counts.select(F.inline(F.array(*pairs)))
-
-
-def _flag(df: DataFrame, codes: DataFrame, name: str) -> DataFrame:
-    known = codes.select("short_code").distinct().withColumn(name, F.lit(True))
-    return df.join(known, "short_code", "left")
-
-
-def seller_counts(
-    checked_extract: DataFrame, retail: DataFrame, beneficiary_map: DataFrame
-) -> DataFrame:
-    """Counts of the seller steps in one pass over the checked, unfiltered extract.
-
-    Rows are counted per seller first, so the lists meet a few counts, not all rows.
-    """
-    by_seller = (
-        checked_extract.selectExpr("short_code", "error IS NULL AS is_valid")
-        .groupBy("short_code", "is_valid")
-        .agg(F.count("*").alias("n"))
-    )
-    flagged = _flag(_flag(by_seller, retail, "is_retail"), beneficiary_map, "has_code")
-    steps = {
-        "extracted": "true",
-        "without_retail": "is_retail IS NULL",
-        "seller_rows_valid": "is_retail IS NULL AND is_valid",
-        "seller_rows_invalid": "is_retail IS NULL AND NOT is_valid",
-        "missing_beneficiary": "is_retail IS NULL AND is_valid AND has_code IS NULL",
-    }
-    return _as_rows(
-        flagged.agg(
-            *[F.expr(f"coalesce(sum(n) FILTER (WHERE {w}), 0)").alias(s) for s, w in steps.items()]
-        )
-    )
 
-
-def item_price_counts(checked_item_prices: DataFrame, ledger_map: DataFrame) -> DataFrame:
-    """Counts of the item-price steps in one pass over the checked rows."""
-    mapped = ledger_map.select("ledger_map_key").distinct().withColumn("is_mapped", F.lit(True))
-    flagged = checked_item_prices.join(mapped, "ledger_map_key", "left")
-    lacking = "error IS NULL AND is_mapped IS NULL"
-    return _as_rows(
-        flagged.agg(
-            F.count("*").alias("item_prices"),
-            F.expr("count_if(error IS NULL)").alias("item_prices_valid"),
-            F.expr("count_if(error IS NOT NULL)").alias("item_prices_invalid"),
-            F.expr(f"count(DISTINCT CASE WHEN {lacking} THEN ledger_map_key END)").alias(
-                "missing_ledger_keys"
-            ),
-        )
-    )
-
-
-def table_counts(**tables: DataFrame) -> DataFrame:
-    """(step, rows) of whole tables."""
+def step_counts(steps: Mapping[str, DataFrame]) -> DataFrame:
+    """(step, rows) of the tables that the steps left behind."""
     counted = [
         df.agg(F.count("*").alias("rows")).select(F.lit(step).alias("step"), "rows")
-        for step, df in tables.items()
+        for step, df in steps.items()
     ]
     return reduce(DataFrame.unionByName, counted)
+
+
+def checked_counts(checked: DataFrame, step: str) -> DataFrame:
+    """(step, rows) of a checked table, its valid and its invalid rows, in one pass."""
+    valid = F.col("error").isNull()
+    named = {
+        step: F.count("*"),
+        f"{step}_valid": F.count_if(valid),
+        f"{step}_invalid": F.count_if(~valid),
+    }
+    row = checked.agg(*[count.alias(name) for name, count in named.items()])
+    pairs = [F.struct(F.lit(n).alias("step"), F.col(n).alias("rows")) for n in named]
+    return row.select(F.inline(F.array(*pairs)))

@@ -1,9 +1,8 @@
 """General-ledger postings and the zero-balanced template.
 
-Postings are sums, and every step up to them is linear. So rows are summed per item and
-seller before the order join, and per ledger key and seller before the map joins: a hot
-item, seller or category shrinks to a few rows inside each task before any shuffle, and
-the maps meet sums per seller instead of all rows.
+Postings are sums, and every step up to them is linear. So matched rows are summed per ledger
+key and seller before the map joins: a hot seller or category shrinks to a few rows inside each
+task before any shuffle, and the maps meet sums per seller instead of all rows.
 """
 
 from __future__ import annotations
@@ -14,15 +13,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallybook import fixed
-from tallybook.functions.joins import lookup
 from tallybook.functions.keys import BOOKING_KEY, LEDGER_KEY_PARTS
 from tallybook.functions.money import MONEY_SUM, commission_revenue, commission_vat, money_sum
-from tallybook.functions.rules import is_valid
 from tallybook.operators.enrich import SIGN
-from tallybook.operators.row_checks import ORDER_PART
-from tallybook.operators.routing import booked_rows, commission_type_rows
+from tallybook.operators.routing import commission_type_rows
 
-ITEM = "oms_id_sales_order_item"
 LINE_KEY = ("booking_period", "posting", "account_code", "account_free")
 BOOKED = (
     "booking_period",
@@ -35,30 +30,6 @@ BOOKED = (
 )
 
 
-def seller_sums(sc: DataFrame) -> DataFrame:
-    """Valid seller rows summed per month, kind, item and seller.
-
-    ``kind`` is the type id of an item price and NULL for any commission. Commissions need
-    no order data, so their item is dropped and they shrink to one row per seller.
-    """
-    types = ", ".join(map(str, fixed.ITEM_PRICE_TYPES))
-
-    def of_prices(column: str) -> str:
-        return f"CASE WHEN id_transaction_type IN ({types}) THEN {column} END"
-
-    rows = booked_rows(sc).selectExpr(
-        "booking_period",
-        f"{of_prices('id_transaction_type')} AS kind",
-        f"{of_prices(ITEM)} AS {ITEM}",
-        f"{of_prices('transaction_type')} AS transaction_type",
-        "short_code",
-        "transaction_value",
-    )
-    return rows.groupBy("booking_period", "kind", ITEM, "transaction_type", "short_code").agg(
-        F.expr(money_sum("transaction_value", "value")), F.count("*").alias("rows")
-    )
-
-
 def _with_codes(sums: DataFrame, ledger_map: DataFrame, beneficiary_map: DataFrame) -> DataFrame:
     return (
         sums.selectExpr("*", f"{BOOKING_KEY} AS ledger_map_key")
@@ -68,34 +39,10 @@ def _with_codes(sums: DataFrame, ledger_map: DataFrame, beneficiary_map: DataFra
     )
 
 
-def book(
-    sc: DataFrame, oms: DataFrame, ledger_map: DataFrame, beneficiary_map: DataFrame
-) -> DataFrame:
-    """Everything the postings need, summed per month, kind, account and seller.
-
-    ``sc`` holds valid seller rows, ``oms`` one row per item. Item prices with incomplete
-    order data are left out, as in the row-level check. One pass over ``sc``.
-    """
-    orders = oms.withColumnRenamed(ITEM, "id_item")
-    matched = lookup(seller_sums(sc), orders, ITEM, "id_item", "short_code, booking_period").where(
-        F.col("kind").isNull() | is_valid(ORDER_PART)
-    )
-    # A commission has no paid price; no money column is ever NULL.
-    paid = (
-        f"CASE WHEN kind IS NULL THEN 0 "
-        f"ELSE {SIGN.format('kind')} * CAST(rows AS decimal(14,0)) * paid_price END"
-    )
-    sums = matched.groupBy("booking_period", "kind", *LEDGER_KEY_PARTS, "short_code").agg(
-        F.expr(money_sum("value", "value")),
-        F.expr(money_sum(f"CAST({paid} AS {MONEY_SUM})", "paid")),
-    )
-    return _with_codes(sums, ledger_map, beneficiary_map)
-
-
 def book_item_prices(
     valid_item_prices: DataFrame, ledger_map: DataFrame, beneficiary_map: DataFrame
 ) -> DataFrame:
-    """The item-price part of ``book``, from rows that are already matched and checked."""
+    """Matched and checked item prices, summed per month, kind, account and seller."""
     rows = valid_item_prices.withColumnRenamed("id_transaction_type", "kind")
     sums = rows.groupBy("booking_period", "kind", *LEDGER_KEY_PARTS, "short_code").agg(
         F.expr(money_sum("transaction_value", "value")),
@@ -105,7 +52,7 @@ def book_item_prices(
 
 
 def book_commissions(sc: DataFrame, beneficiary_map: DataFrame) -> DataFrame:
-    """The commission part of ``book`` alone; needs no order data."""
+    """Commissions, summed per month and seller; they need no order data."""
     sums = (
         commission_type_rows(sc)
         .groupBy("booking_period", "short_code")
@@ -122,13 +69,13 @@ def book_commissions(sc: DataFrame, beneficiary_map: DataFrame) -> DataFrame:
     )
 
 
-def book_checked(
+def book(
     valid_item_prices: DataFrame,
     sc: DataFrame,
     ledger_map: DataFrame,
     beneficiary_map: DataFrame,
 ) -> DataFrame:
-    """As ``book``, for a run that has already written its matched item prices."""
+    """Everything the postings need, summed per month, kind, account and seller."""
     prices = book_item_prices(valid_item_prices, ledger_map, beneficiary_map)
     return prices.unionByName(book_commissions(sc, beneficiary_map))
 
@@ -197,20 +144,24 @@ _AMOUNT = f"""
 
 
 def _sum_lines(lines: DataFrame) -> DataFrame:
-    sums = lines.groupBy(*LINE_KEY).agg(
+    return lines.groupBy(*LINE_KEY).agg(
         F.expr(money_sum("goods", "goods")), F.expr(money_sum("commission", "commission"))
     )
+
+
+def amounts(sums: DataFrame) -> DataFrame:
+    """The posting lines of exact sums, with the commission factors applied."""
     return sums.selectExpr(*LINE_KEY, f"{_AMOUNT} AS amount")
 
 
 def posting(booked: DataFrame, name: str) -> DataFrame:
     """Lines of one posting."""
     lines = booked.where(LINES[name].applies).selectExpr("booking_period", *_columns(name))
-    return _sum_lines(lines).drop("posting")
+    return amounts(_sum_lines(lines)).drop("posting")
 
 
-def posting_template(booked: DataFrame) -> DataFrame:
-    """All six postings in one pass: each booked sum becomes up to four lines."""
+def posting_sums(booked: DataFrame) -> DataFrame:
+    """All six postings in one pass, as exact sums: each booked sum becomes up to four lines."""
     lines = ", ".join(
         f"CASE WHEN {line.applies} THEN struct({', '.join(_columns(name))}) END"
         for name, line in LINES.items()
@@ -218,9 +169,26 @@ def posting_template(booked: DataFrame) -> DataFrame:
     return _sum_lines(booked.selectExpr("booking_period", f"inline(array_compact(array({lines})))"))
 
 
-def balance(template: DataFrame) -> DataFrame:
-    """Per month: do all postings sum to zero, within rounding of doubles?"""
-    return template.groupBy("booking_period").agg(
+def posting_template(booked: DataFrame) -> DataFrame:
+    return amounts(posting_sums(booked))
+
+
+def balance(sums: DataFrame) -> DataFrame:
+    """Per month: do the postings sum to zero?
+
+    Checked on the exact sums, so a single wrong cent shows in any turnover: the goods of all
+    other postings are those of the sellers' total, and VAT, revenue and total rest on the same
+    commission. The doubles made from them differ from that by their last digits only.
+    """
+    def of(column: str, posting: str) -> str:
+        return f"coalesce(sum({column}) FILTER (WHERE posting = '{posting}'), 0)"
+
+    goods = "coalesce(sum(goods) FILTER (WHERE posting <> 'total'), 0)"
+    base = of("commission", "total")
+    return sums.groupBy("booking_period").agg(
         F.count("*").alias("lines"),
-        F.expr("abs(sum(amount)) <= sum(abs(amount)) * 1e-9").alias("balanced"),
+        F.expr(
+            f"{goods} = {of('goods', 'total')} AND {of('commission', 'commission_vat')} = {base} "
+            f"AND {of('commission', 'commission_revenue')} = {base}"
+        ).alias("balanced"),
     )

@@ -11,7 +11,6 @@ from tallybook.functions.rules import (
     REQUIRED_NUMBER,
     REQUIRED_TEXT,
     Field,
-    is_valid,
     matches,
     one_of,
     with_error,
@@ -110,12 +109,3 @@ def check_seller_rows(sc: DataFrame) -> DataFrame:
 
 def check_item_price_rows(item_prices: DataFrame) -> DataFrame:
     return with_error(item_prices, ITEM_PRICE_ROW)
-
-
-def valid_seller_rows(sc: DataFrame) -> DataFrame:
-    """The valid rows alone, for runs that do not need the errors."""
-    return sc.where(is_valid(SELLER_ROW))
-
-
-def valid_item_price_rows(item_prices: DataFrame) -> DataFrame:
-    return item_prices.where(is_valid(ITEM_PRICE_ROW))

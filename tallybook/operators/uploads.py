@@ -10,11 +10,13 @@ from pyspark.sql.types import StructType
 
 from tallybook.functions.rules import Field, with_error
 from tallybook.operators.row_checks import BENEFICIARY_UPLOAD, LEDGER_MAP_UPLOAD, RETAIL_UPLOAD
+from tallybook.sources.readers import BROKEN
 from tallybook.sources.schemas import MAP_KEYS, MAP_TABLES
 
 KEY_PRESENT = "key is already stored"
 KEY_REPEATED = "key occurs earlier in the upload"
 OUT_OF_RANGE = "number is out of range"
+WRONG_FIELDS = "row has a wrong number of fields"
 
 
 @dataclass(frozen=True)
@@ -45,7 +47,12 @@ UPLOADS = {
 
 
 def check_upload(rows: DataFrame, upload: Upload) -> DataFrame:
-    return with_error(rows, upload.rules)
+    """Adds ``error``. A row with a wrong number of fields has no values to check."""
+    checked = with_error(rows, upload.rules)
+    if BROKEN not in rows.columns:
+        return checked
+    wrong = F.when(F.col(BROKEN).isNotNull(), F.concat(F.lit(f"{WRONG_FIELDS}: "), F.col(BROKEN)))
+    return checked.withColumn("error", F.coalesce(wrong, "error")).drop(BROKEN)
 
 
 def plan_append(rows: DataFrame, stored: DataFrame, upload: Upload) -> DataFrame:

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass, field
+from datetime import date
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 from tallybook.functions.periods import Period, in_period
 from tallybook.functions.rules import invalid_rows, valid_rows
 from tallybook.operators import enrich, matching, postings, routing
+from tallybook.operators.counts import checked_counts, step_counts
 from tallybook.operators.gates import MissingBeneficiaryCodes, MissingLedgerKeys, NotBalanced
 from tallybook.operators.row_checks import (
     ITEM_PRICE_REJECT_COLUMNS,
@@ -28,12 +30,14 @@ from tallybook.sources import maps
 from tallybook.sources.orders import order_extract
 from tallybook.sources.schemas import STAGED_COLUMNS
 from tallybook.sources.seller import seller_extract
-from tallybook.storage import shared_folder, stage
+from tallybook.storage import stage, work_folder
 
 REJECTED_SELLER_ROWS = "invalid_seller_rows"
 REJECTED_ITEM_PRICES = "invalid_item_price_rows"
 MISSING_SHORT_CODES = "missing_beneficiary_codes"
 MISSING_KEYS = "missing_ledger_keys"
+DOUBLED_KEYS = "doubled_map_keys"
+BALANCE = "unbalanced_months"
 POSTINGS = "postings"
 TEMPLATE = "posting_template"
 
@@ -47,12 +51,12 @@ class BookingResult:
     counts: Mapping[str, int] = field(default_factory=dict)
 
 
-def _valid_and_invalid(checked: DataFrame) -> tuple[int, int]:
-    """Counts from a written table: unlike metrics taken while writing, a repeated task
-    cannot count twice, and only the error column is read."""
-    valid = F.col("error").isNull()
-    row = checked.agg(F.count_if(valid).alias("valid"), F.count_if(~valid).alias("not")).first()
-    return row["valid"], row["not"]
+class _Counts(dict):
+    """Counts of a run, taken from written tables: a repeated task cannot count twice."""
+
+    def add(self, *counted: DataFrame) -> None:
+        for df in counted:
+            self.update({row["step"]: row["rows"] for row in df.collect()})
 
 
 def run_booking(
@@ -60,99 +64,126 @@ def run_booking(
     out: str,
     period: Period | None = None,
     details: bool = False,
+    every_month: bool = False,
 ) -> BookingResult:
-    """Book one period, or every month at once if none is given.
+    """Book one period: by default the calendar month before today's, or with ``every_month``
+    each month there is, at once.
 
     ``tables`` are the source tables and maps by name. Invalid rows go to their reject file
-    and the run continues; a seller without beneficiary code or a missing ledger key is
-    logged and stops the run. Each file is written in every run, with only its heading if
-    there is nothing to tell, so none is left over from an earlier run. ``details`` also
-    exports the row-level tables.
+    and the run continues; a doubled map key, a seller without beneficiary code or a missing
+    ledger key is logged and stops the run, and so do postings that do not sum to zero. Each
+    log is written in every run, with only its heading if there is nothing to tell, so none is
+    left over from an earlier run. Postings and template are replaced only by a run that got
+    that far. ``details`` also exports the row-level tables.
     """
     spark = tables["transaction"].sparkSession
-    work = shared_folder(spark)
-    counts: dict[str, int] = {}
+    if period is None and not every_month:
+        period = Period.previous_month(date.today())
+    with work_folder(spark, out) as work:
+        return _book(tables, out, None if every_month else period, details, work)
+
+
+def _book(
+    tables: Mapping[str, DataFrame], out: str, period: Period | None, details: bool, work: str
+) -> BookingResult:
+    counts = _Counts()
 
     ledger_map = maps.checked_map(
-        maps.read_ledger_map(tables["ledger_map"]), ["ledger_map_key"], "ledger map"
+        maps.read_ledger_map(tables["ledger_map"]),
+        ["ledger_map_key"],
+        f"{work}/ledger_map",
+        f"{out}/{DOUBLED_KEYS}/ledger_map",
+        "ledger map",
     )
     beneficiary_map = maps.checked_map(
-        maps.read_beneficiary_map(tables["beneficiary_code_map"]), ["short_code"], "beneficiary map"
+        maps.read_beneficiary_map(tables["beneficiary_code_map"]),
+        ["short_code"],
+        f"{work}/beneficiary_map",
+        f"{out}/{DOUBLED_KEYS}/beneficiary_code_map",
+        "beneficiary map",
     )
     retail = maps.read_retail_list(tables["retail_short_code"])
 
     # Seller rows.
-    counts["extracted"] = in_period(tables["transaction"], "created_at", period).count()
     extract = seller_extract(tables, period, retail)
     checked = stage(check_seller_rows(extract), f"{work}/seller_rows")
-    valid, invalid = _valid_and_invalid(checked)
-    counts["without_retail"] = valid + invalid
-    counts["seller_rows_valid"], counts["seller_rows_invalid"] = valid, invalid
+    extracted = in_period(tables["transaction"], "created_at", period)
+    steps = {"extracted": extracted, "beneficiary_map": beneficiary_map, "ledger_map": ledger_map}
+    counts.add(step_counts(steps), checked_counts(checked, "seller_rows"))
+    counts["without_retail"] = counts.pop("seller_rows")
     files.write_csv(invalid_rows(checked), f"{out}/{REJECTED_SELLER_ROWS}", SELLER_REJECT_COLUMNS)
     sc = valid_rows(checked).select(*STAGED_COLUMNS)
 
     # Every seller needs a beneficiary code.
-    missing = matching.missing_beneficiary(sc, beneficiary_map)
-    counts["missing_beneficiary"] = missing.count()
+    missing = stage(matching.missing_beneficiary(sc, beneficiary_map), f"{work}/no_code")
+    counts.add(step_counts({"missing_beneficiary": missing}))
     log = f"{out}/{MISSING_SHORT_CODES}"
     files.write_missing_short_codes(missing, log)
     if counts["missing_beneficiary"]:
         raise MissingBeneficiaryCodes("sellers without beneficiary code", log)
 
-    # Item prices with their orders. Without a period the ids would name nearly all items.
-    ids = matching.unique_item_ids(sc) if period else None
-    oms = order_extract(tables, ids)
+    # Item prices with their orders.
+    oms = stage(order_extract(tables, matching.unique_item_ids(sc)), f"{work}/orders")
     matched = check_item_price_rows(matching.match_orders(sc, oms))
     checked_prices = stage(matched, f"{work}/item_prices")
-    valid, invalid = _valid_and_invalid(checked_prices)
-    counts["item_prices"] = valid + invalid
-    counts["item_prices_valid"], counts["item_prices_invalid"] = valid, invalid
+    counts.add(step_counts({"orders": oms}), checked_counts(checked_prices, "item_prices"))
     files.write_csv(
         invalid_rows(checked_prices), f"{out}/{REJECTED_ITEM_PRICES}", ITEM_PRICE_REJECT_COLUMNS
     )
     item_prices = valid_rows(checked_prices)
 
     # Every item price needs a ledger.
-    lacking = matching.missing_ledger_keys(item_prices, ledger_map)
-    counts["missing_ledger_keys"] = lacking.count()
+    lacking = stage(matching.missing_ledger_keys(item_prices, ledger_map), f"{work}/no_ledger")
+    counts.add(step_counts({"missing_ledger_keys": lacking}))
     log = f"{out}/{MISSING_KEYS}"
     files.write_missing_ledger_keys(lacking, log)
     if counts["missing_ledger_keys"]:
         raise MissingLedgerKeys("item prices without ledger", log)
 
-    # Postings. The written table is the result; the file and the check read it back.
-    booked = postings.book_checked(item_prices, sc, ledger_map, beneficiary_map)
-    template = stage(postings.posting_template(booked), f"{out}/{POSTINGS}", "booking_period")
+    # Postings: checked on the written sums, then published.
+    booked = postings.book(item_prices, sc, ledger_map, beneficiary_map)
+    sums = stage(postings.posting_sums(booked), f"{work}/sums")
+    balances = stage(postings.balance(sums), f"{work}/balance")
+    log = f"{out}/{BALANCE}"
+    files.write_csv(balances.where("NOT balanced"), log)
+    if not balances.where("NOT balanced").isEmpty():
+        raise NotBalanced("postings do not sum to zero", log)
+    template = stage(postings.amounts(sums), f"{out}/{POSTINGS}", "booking_period")
     files.write_template(template, f"{out}/{TEMPLATE}")
-    unbalanced = postings.balance(template).where("NOT balanced")
-    if not unbalanced.isEmpty():
-        raise NotBalanced("postings do not sum to zero", f"{out}/{POSTINGS}")
-    counts["posting_lines"] = template.count()
+    counts.add(step_counts({"posting_lines": template}))
 
     if details:
-        _write_details(out, sc, oms, item_prices, template, ledger_map, beneficiary_map)
-    return BookingResult(template, out, counts)
+        prices = enrich.price_rows(item_prices, ledger_map, beneficiary_map)
+        _write_details(
+            out,
+            sc,
+            oms,
+            checked_prices.drop("error"),
+            item_prices,
+            stage(prices, f"{work}/prices"),
+            enrich.commission_rows(sc, beneficiary_map),
+            template,
+        )
+    return BookingResult(template, out, dict(counts))
 
 
 def _write_details(
     out: str,
     sc: DataFrame,
     oms: DataFrame,
+    matched: DataFrame,
     item_prices: DataFrame,
+    prices: DataFrame,
+    commissions: DataFrame,
     template: DataFrame,
-    ledger_map: DataFrame,
-    beneficiary_map: DataFrame,
 ) -> None:
     """Row-level tables and single postings as files, for checks by hand."""
     folder = f"{out}/details"
-    prices = enrich.price_rows(item_prices, ledger_map, beneficiary_map)
-    commissions = enrich.commission_rows(sc, beneficiary_map)
     files.write_ids(sc, f"{folder}/sc")
     files.write_ids(oms, f"{folder}/oms")
-    files.write_ids(
-        routing.bucket(item_prices, "item_price_credit"), f"{folder}/item_price_credit_valid"
-    )
-    files.write_ids(routing.bucket(item_prices, "item_price"), f"{folder}/item_price_valid")
+    for kind in ("item_price_credit", "item_price"):
+        files.write_ids(routing.bucket(matched, kind), f"{folder}/{kind}_oms")
+        files.write_ids(routing.bucket(item_prices, kind), f"{folder}/{kind}_valid")
     files.write_csv(enrich.ipc_final(prices), f"{folder}/ipc_final", files.PRICE_EXPORT)
     files.write_csv(enrich.ipt_final(prices), f"{folder}/ipt_final", files.PRICE_EXPORT)
     files.write_csv(commissions, f"{folder}/commission_final", files.COMMISSION_EXPORT)

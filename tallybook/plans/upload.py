@@ -13,7 +13,7 @@ from tallybook.operators.uploads import UPLOADS, Upload, check_upload, plan_appe
 from tallybook.sinks.files import write_csv
 from tallybook.sources.readers import Location, conform, read_upload
 from tallybook.sources.schemas import MAP_TABLES
-from tallybook.storage import shared_folder, stage
+from tallybook.storage import stage, work_folder
 
 
 @dataclass(frozen=True)
@@ -39,17 +39,35 @@ def _stored(spark: SparkSession, upload: Upload, target: Location) -> DataFrame:
 
 
 def run_upload(
-    spark: SparkSession, kind: str, path: str, target: Location, log: str
+    spark: SparkSession,
+    kind: str,
+    path: str,
+    target: Location,
+    log: str,
+    multi_line: bool = True,
 ) -> UploadResult:
     """Check the CSV at ``path`` and append its rows to the map at ``target``.
 
     ``kind`` is ``benef_code_map``, ``retail_supplier`` or ``ledger_map``. If any row is
     invalid, all invalid rows go to ``log`` and nothing is stored. Rows whose key is stored
-    already, or came earlier in the file, are refused one by one and logged.
+    already, or came earlier in the file, are refused one by one and logged. Turn ``multi_line``
+    off to read a large file in pieces; its values must then hold no line breaks.
     """
-    upload = UPLOADS[kind]
-    work = shared_folder(spark)
-    checked = stage(check_upload(read_upload(spark, path, upload.columns), upload), f"{work}/rows")
+    with work_folder(spark, log.rstrip("/").rpartition("/")[0]) as work:
+        return _upload(spark, UPLOADS[kind], path, target, log, multi_line, work)
+
+
+def _upload(
+    spark: SparkSession,
+    upload: Upload,
+    path: str,
+    target: Location,
+    log: str,
+    multi_line: bool,
+    work: str,
+) -> UploadResult:
+    rows = read_upload(spark, path, upload.columns, multi_line)
+    checked = stage(check_upload(rows, upload), f"{work}/rows")
     shown = ["error", *upload.columns]
     wrong = invalid_rows(checked)
     refused = wrong.count()

@@ -17,9 +17,6 @@ SETTINGS = {
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
     # Plans are built from many small expressions; do not record a call site for each.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
-    # Let one month's ids prune the scans of the far larger order tables.
-    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
-    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "1g",
 }
 
 
@@ -27,9 +24,9 @@ PARTITION_BYTES = 128 * 1024 * 1024
 
 
 def shuffle_partitions(shuffled_bytes: int) -> int:
-    """Partitions that keep about 128 MiB each, between Spark's default and 100,000. Adaptive
+    """Partitions that keep about 128 MiB each, and Spark's default of 200 at least. Adaptive
     execution merges those that turn out small, but cannot add more."""
-    return min(100_000, max(200, -(-shuffled_bytes // PARTITION_BYTES)))
+    return max(200, -(-shuffled_bytes // PARTITION_BYTES))
 
 
 def build_session(
@@ -41,7 +38,8 @@ def build_session(
     """A session with the settings above; ``settings`` override them (dots as ``__``).
 
     ``shuffled_bytes`` is the expected size of the largest shuffle, about the columns of one
-    period's transactions that the extract keeps.
+    period's transactions that the extract keeps. Without it Spark's default of 200 partitions
+    holds, which suits shuffles of up to about 25 GB.
     """
     builder = SparkSession.builder.appName(name)
     if master:

@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallybook import fixed
+from tallybook.operators.postings import POSTINGS
 
-# Categories and tables whose item ids can be exported for checks by hand.
+# The columns of the detail exports, in their printed order.
 PRICE_EXPORT = (
     "oms_id_sales_order_item",
     "order_nr",
@@ -46,21 +47,37 @@ COMMISSION_EXPORT = (
 def write_csv(
     df: DataFrame, path: str, columns: Iterable[str] | None = None, by: Iterable[str] = ()
 ) -> None:
-    """All rows, always with a header, also when there are none."""
+    """All rows, always with a header, also when there are none. Blanks stay as they are."""
     rows = df.select(*columns) if columns else df
-    rows.write.mode("overwrite").partitionBy(*by).option("header", True).option(
-        "escape", '"'
+    writer = rows.write.mode("overwrite").partitionBy(*by).option("header", True)
+    writer.option("escape", '"').option("ignoreLeadingWhiteSpace", False).option(
+        "ignoreTrailingWhiteSpace", False
     ).csv(path)
 
 
 def plain_number(amount: Column) -> Column:
-    """Digits without exponent and without trailing zeros."""
-    digits = amount.cast("decimal(38,10)").cast("string")
-    return F.regexp_replace(F.regexp_replace(digits, r"0+\z", ""), r"\.\z", "")
+    """All digits of a double, without exponent and without trailing zeros.
+
+    A double has at most 17 digits, so a large one has few after the point and a small one few
+    zeros before them: one of the two decimals holds it whole.
+    """
+    text = amount.cast("string")
+    digits = (
+        F.when(text.contains("E-"), amount.cast("decimal(38,37)").cast("string"))
+        .when(text.contains("E"), amount.cast("decimal(38,10)").cast("string"))
+        .otherwise(text)
+    )
+    return F.regexp_replace(F.regexp_replace(digits, r"(\.[0-9]*?)0+\z", "$1"), r"\.\z", "")
 
 
 def template_rows(template: DataFrame) -> DataFrame:
-    """The template as text under its printed heading, an empty text for no value."""
+    """The template as text under its printed heading, an empty text for no value.
+
+    Months follow each other, and in a month the postings, in the order in which they are
+    defined; only their place tells apart two lines of one account.
+    """
+    place = F.array_position(F.array(*[F.lit(name) for name in POSTINGS]), F.col("posting"))
+    template = template.orderBy("booking_period", place, "account_code", "account_free")
     values = (
         F.col("account_code").cast("string"),
         F.col("account_free").cast("string"),
@@ -84,10 +101,14 @@ def write_ids(df: DataFrame, path: str) -> None:
     write_csv(df, path, ["oms_id_sales_order_item"])
 
 
-def write_missing_ledger_keys(missing: DataFrame, path: str) -> None:
+def with_empty_codes(missing: DataFrame) -> DataFrame:
     """The missing keys with empty codes, ready to be filled in."""
     zero = F.lit(0).cast("bigint")
-    write_csv(missing.withColumn("ledger", zero).withColumn("subledger", zero), path)
+    return missing.withColumn("ledger", zero).withColumn("subledger", zero)
+
+
+def write_missing_ledger_keys(missing: DataFrame, path: str) -> None:
+    write_csv(with_empty_codes(missing), path)
 
 
 def write_missing_short_codes(missing: DataFrame, path: str) -> None:

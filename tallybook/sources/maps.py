@@ -8,14 +8,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallybook.functions.keys import MAP_KEY
-
-# A map of more rows than this is joined by shuffle instead of being broadcast. An
-# uploaded ledger map cannot reach it: its four key parts allow 2 x 16 x 7 x 13 keys.
-BROADCAST_ROWS = 200_000
-
+from tallybook.sinks.files import write_csv
+from tallybook.storage import stage
 
 class DuplicateKeys(ValueError):
-    """A reference map that would book some rows twice."""
+    """A reference map that would book some rows twice; ``log`` lists every doubled key."""
+
+    def __init__(self, reason: str, log: str) -> None:
+        super().__init__(f"{reason}, see {log}")
+        self.log = log
 
 
 def read_ledger_map(ledger_map: DataFrame) -> DataFrame:
@@ -36,17 +37,19 @@ def duplicate_keys(df: DataFrame, keys: Iterable[str]) -> DataFrame:
     return counted.where("rows > 1")
 
 
-def checked_map(df: DataFrame, keys: Iterable[str], name: str = "map") -> DataFrame:
-    """Count the map once: refuse doubled keys, and broadcast it only if it is small."""
+def checked_map(
+    df: DataFrame, keys: Iterable[str], path: str, log: str, name: str = "map"
+) -> DataFrame:
+    """The rows of a map that can match, written once to ``path`` and checked there.
+
+    What is checked is what later steps join, even if the store changes meanwhile. All doubled
+    keys go to ``log``, and the map is refused if there are any. Rows with a NULL key match
+    nothing and are left out. Whether the map is broadcast is Spark's choice, by its size.
+    """
     keys = list(keys)
-    counts = (
-        df.dropna(subset=keys)
-        .groupBy(*keys)
-        .agg(F.count("*").alias("rows"))
-        .agg(F.sum("rows").alias("rows"), F.max("rows").alias("most"))
-        .first()
-    )
-    if (counts["most"] or 0) > 1:
-        some = [tuple(r)[:-1] for r in duplicate_keys(df, keys).limit(5).collect()]
-        raise DuplicateKeys(f"{name}: several rows for one key, such as {some}")
-    return F.broadcast(df) if (counts["rows"] or 0) <= BROADCAST_ROWS else df
+    staged = stage(df.dropna(subset=keys), path)
+    write_csv(duplicate_keys(staged, keys), log)
+    doubled = staged.sparkSession.read.option("header", True).csv(log)
+    if not doubled.isEmpty():
+        raise DuplicateKeys(f"{name}: several rows for one key", log)
+    return staged

@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tallybook.sources.schemas import ALL_TABLES
 
@@ -28,13 +28,19 @@ def conform(df: DataFrame, schema: str) -> DataFrame:
 
 
 def read_table(spark: SparkSession, name: str, location: Location) -> DataFrame:
-    """One source table. Text formats get the schema up front, so nothing is inferred."""
+    """One source table. Text formats get the schema up front, so nothing is inferred.
+
+    Over jdbc, give ``partitionColumn``, ``lowerBound``, ``upperBound`` and ``numPartitions`` in
+    the options; without them one task reads the whole table.
+    """
     schema = ALL_TABLES[name]
     reader = spark.read.format(location.format).options(**location.options)
     if location.format == "json":
         reader = reader.schema(schema)
     if location.format == "csv":
-        reader = reader.option("header", True)
+        # A row of more or fewer fields than the header fails the read, as nothing is guessed.
+        reader = reader.option("header", True).option("mode", "FAILFAST")
+        reader = reader.option("columnPruning", False)
     return conform(reader.load(location.path) if location.path else reader.load(), schema)
 
 
@@ -51,6 +57,10 @@ def read_folder(
     )
 
 
+# The column of an upload that holds a row with a wrong number of fields.
+BROKEN = "broken"
+
+
 class UploadError(ValueError):
     """An upload file that cannot be read at all."""
 
@@ -60,22 +70,22 @@ def read_upload(
 ) -> DataFrame:
     """An upload CSV: columns by header name, all text, plus ``row_no`` in file order.
 
-    A column the header lacks is NULL, further columns are ignored. ``multi_line`` allows
-    line breaks inside quotes and then reads each file in one task; turn it off for large
-    files without such breaks.
+    A column the header lacks is NULL, further columns are ignored. ``broken`` is the text of a
+    row that has more or fewer fields than the header. ``multi_line`` allows line breaks inside
+    quotes and then reads each file in one task; turn it off for large files without such breaks.
     """
     columns = list(columns)
-    rows = (
-        spark.read.option("header", True)
-        .option("multiLine", multi_line)
-        .option("escape", '"')
-        .csv(path)
-    )
-    if not set(columns) & set(rows.columns):
+    options = {"header": True, "multiLine": multi_line, "escape": '"', "columnPruning": False}
+    heading = spark.read.options(**options).csv(path).columns
+    if not set(columns) & set(heading):
         raise UploadError(f"{path}: no column of {', '.join(columns)} in the header")
+    broken = BROKEN
+    while broken in heading:
+        broken += "_"
+    schema = StructType([StructField(c, StringType()) for c in [*heading, broken]])
+    rows = spark.read.options(**options, columnNameOfCorruptRecord=broken).schema(schema).csv(path)
     text = [
-        F.col(f"`{c}`").cast("string").alias(c) if c in rows.columns
-        else F.lit(None).cast("string").alias(c)
+        F.col(f"`{c}`").alias(c) if c in heading else F.lit(None).cast("string").alias(c)
         for c in columns
     ]
     place = F.struct(
@@ -83,4 +93,4 @@ def read_upload(
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("row"),
     )
-    return rows.select(*text, place.alias("row_no"))
+    return rows.select(*text, place.alias("row_no"), F.col(f"`{broken}`").alias(BROKEN))

@@ -61,8 +61,12 @@ def seller_extract(
     out = lookup(transactions, sellers, "fk_seller", "id_seller", row)
     if retail is not None:
         out = out.where("is_retail IS NULL")
-    out = lookup(out, items, "ref", "id_sales_order_item", row)
-    out = lookup(out, orders, "fk_sales_order", "id_sales_order", row)
+    # Items get their order before they meet the transactions, and only those are read on that
+    # a transaction names: so the wide rows are shuffled once, by item.
+    named = transactions.selectExpr("ref AS id_sales_order_item").distinct()
+    items = items.join(named, "id_sales_order_item", "left_semi")
+    placed = lookup(items, orders, "fk_sales_order", "id_sales_order", "id_sales_order_item")
+    out = lookup(out, placed, "ref", "id_sales_order_item", row)
     out = lookup(out, types, "fk_type", "id_type", row)
     out = lookup(out, statements, "fk_statement", "id_statement", row)
     return out.select(*SELLER_COLUMNS, "booking_period")

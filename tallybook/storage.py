@@ -2,23 +2,27 @@
 
 from __future__ import annotations
 
-import tempfile
+import contextlib
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """A new folder under the cluster's shared one (``spark.checkpoint.dir``).
+@contextlib.contextmanager
+def work_folder(spark: SparkSession, beside: str) -> Iterator[str]:
+    """A new folder for one run, deleted when the run ends, also when it stops.
 
-    Only a local session may go without that setting; it then gets a temporary folder.
+    It lies in the cluster's shared folder (``spark.checkpoint.dir``), or in the folder
+    ``beside``, which all executors reach as the results go there.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="tallybook-")
-    return f"{root.rstrip('/')}/tallybook-{uuid.uuid4().hex}"
+    root = spark.conf.get("spark.checkpoint.dir", None) or beside
+    folder = f"{root.rstrip('/')}/_work-{uuid.uuid4().hex}"
+    try:
+        yield folder
+    finally:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stage(df: DataFrame, path: str, *partition_by: str) -> DataFrame:

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from datetime import date
+from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from tallybook.functions.periods import Period
-from tallybook.operators.gates import MissingBeneficiaryCodes, MissingLedgerKeys
+from tallybook.operators.gates import MissingBeneficiaryCodes, MissingLedgerKeys, NotBalanced
 from tallybook.plans.booking import run_booking
+from tallybook.sinks.files import plain_number, write_csv
 from tallybook.sources.maps import DuplicateKeys
 from tests.tables import ROWS, source_tables
 
@@ -48,6 +51,9 @@ def test_postings(run):
 def test_counts(run):
     assert run.counts == {
         "extracted": 11,
+        "beneficiary_map": 2,
+        "ledger_map": len(ROWS["ledger_map"]),
+        "orders": 4,
         "without_retail": 10,
         "seller_rows_valid": 8,
         "seller_rows_invalid": 2,
@@ -107,7 +113,7 @@ def test_details(spark, run):
 
 
 def test_all_months_book_each_month_as_if_alone(spark, tmp_path):
-    whole = run_booking(source_tables(spark), str(tmp_path / "all")).template
+    whole = run_booking(source_tables(spark), str(tmp_path / "all"), every_month=True).template
     months = {r["booking_period"] for r in whole.select("booking_period").collect()}
     assert months == {date(2018, 3, 1), date(2018, 4, 1), date(2018, 5, 1)}
     april = whole.where(whole.booking_period == date(2018, 4, 1))
@@ -138,10 +144,53 @@ def test_missing_ledger_key_stops_and_is_logged(spark, tmp_path):
 
 def test_doubled_map_key_is_refused(spark, tmp_path):
     doubled = [*ROWS["beneficiary_code_map"], ("IR00001", 3000000009)]
-    with pytest.raises(DuplicateKeys, match="IR00001"):
+    with pytest.raises(DuplicateKeys) as refused:
         run_booking(
             source_tables(spark, beneficiary_code_map=doubled), str(tmp_path / "out"), APRIL
         )
+    assert [r["short_code"] for r in read_csv(spark, refused.value.log).collect()] == ["IR00001"]
+
+
+def test_orders_are_those_of_booked_items_in_any_period(spark, tmp_path):
+    result = run_booking(source_tables(spark), str(tmp_path / "out"), details=True, every_month=True)
+    booked = {r[0] for r in read_csv(spark, f"{result.out}/details/sc").collect()}
+    assert {r[0] for r in read_csv(spark, f"{result.out}/details/oms").collect()} <= booked
+
+
+def test_postings_out_of_balance_leave_the_earlier_ones(spark, tmp_path):
+    out = str(tmp_path / "out")
+    before = sorted(map(str, run_booking(source_tables(spark), out, APRIL).template.collect()))
+    unlisted = [(*row[:4], 99999, None) for row in ROWS["ledger_map"]]
+    with pytest.raises(NotBalanced) as stop:
+        run_booking(source_tables(spark, ledger_map=unlisted), out, APRIL)
+    assert read_csv(spark, stop.value.log).count() == 1
+    assert sorted(map(str, spark.read.parquet(f"{out}/postings").collect())) == before
+    rows = read_csv(spark, f"{out}/posting_template/booking_period=2018-04-01")
+    assert rows.count() == len(before)
+
+
+def test_a_run_leaves_no_intermediate_tables(spark, tmp_path):
+    shared = spark.conf.get("spark.checkpoint.dir")
+    run_booking(source_tables(spark), str(tmp_path / "out"), APRIL)
+    assert not list(Path(shared).glob("_work-*")) and not list(tmp_path.glob("**/_work-*"))
+
+
+def test_the_default_is_the_previous_month(spark, tmp_path):
+    result = run_booking(source_tables(spark), str(tmp_path / "out"))
+    assert result.counts["extracted"] == 0
+
+
+def test_amounts_keep_all_their_digits(spark):
+    values = [0.1, 30.0, -90.0, 1e-7, 0.00012345678901234567, 123456789012.34567, 1.5e15, 0.0]
+    df = spark.createDataFrame([(v,) for v in values], "amount double")
+    printed = [r[0] for r in df.select(plain_number(F.col("amount"))).collect()]
+    assert [float(p) for p in printed] == values
+    assert printed[:3] == ["0.1", "30", "-90"] and not any("E" in p for p in printed)
+
+
+def test_blanks_survive_in_logs(spark, tmp_path):
+    write_csv(spark.createDataFrame([("  x ",)], "v string"), str(tmp_path / "log"))
+    assert read_csv(spark, tmp_path / "log").first()["v"] == "  x "
 
 
 def test_empty_input_gives_an_empty_template_with_heading(spark, tmp_path):

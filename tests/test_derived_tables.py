@@ -33,8 +33,7 @@ def test_counts_of_one_month(month):
     assert matched.where("item_status IS NULL").count() == 5
     assert valid.count() == 10
     assert month.sc.where(F.col("id_transaction_type").isin(*fixed.COMMISSION_TYPES)).count() == 13
-    booked = postings.book(month.sc, month.oms, month.ledger_map, month.beneficiary_map)
-    template = postings.posting_template(booked)
+    template = postings.posting_template(month.booked)
     assert template.count() == 26
     assert template.agg(F.sum("amount")).first()[0] == pytest.approx(0, abs=1e-6)
 
@@ -96,12 +95,3 @@ def test_revenue_and_vat_make_up_the_commission(whole):
 def test_voucher_and_paid_price_make_up_the_value(whole):
     odd = whole.prices.where("voucher + paid_price <> transaction_value")
     assert odd.isEmpty()
-
-
-def test_both_ways_to_book_agree(whole):
-    booked = postings.book_checked(
-        whole.item_prices_valid, whole.sc, whole.ledger_map, whole.beneficiary_map
-    )
-    one, other = (postings.posting_template(b) for b in (booked, whole.booked))
-    assert one.exceptAll(other).isEmpty()
-    assert other.exceptAll(one).isEmpty()

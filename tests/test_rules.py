@@ -6,7 +6,7 @@ from decimal import Decimal
 
 import pytest
 
-from tallybook.functions.rules import is_valid, with_error
+from tallybook.functions.rules import with_error
 from tallybook.operators.row_checks import (
     BENEFICIARY_UPLOAD,
     ITEM_PRICE_ROW,
@@ -18,9 +18,7 @@ from tallybook.operators.row_checks import (
 
 def errors(spark, rows, schema, rules):
     df = spark.createDataFrame(rows, schema)
-    checked = with_error(df, rules).withColumn("valid", is_valid(rules)).collect()
-    assert all(bool(row["valid"]) == (row["error"] is None) for row in checked)
-    return [row["error"] for row in checked]
+    return [row["error"] for row in with_error(df, rules).collect()]
 
 
 @pytest.mark.parametrize(

@@ -12,9 +12,11 @@ from pyspark.sql import functions as F
 
 from checks.fixture import Sources
 from tallybook.functions.joins import first_per_key, lookup
+from tallybook.functions.keys import LEDGER_KEY_PARTS
 from tallybook.functions.periods import Period
 from tallybook.operators import matching, postings, routing
 from tallybook.sources import maps
+from tallybook.sources.orders import order_extract
 from tallybook.sources.readers import Location, read_folder, read_table
 from tallybook.sources.schemas import STAGED_COLUMNS
 from tallybook.sources.seller import seller_extract
@@ -40,6 +42,7 @@ def plan_of(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+LEDGERS = "ledger_map_key string, ledger bigint, subledger bigint"
 SHUFFLED = {
     "spark__sql__autoBroadcastJoinThreshold": "-1",
     "spark__sql__adaptive__autoBroadcastJoinThreshold": "-1",
@@ -86,19 +89,29 @@ def test_retail_rows_are_gone_before_the_order_joins(spark, written):
         assert rows.exceptAll(same).isEmpty()
         assert same.exceptAll(rows).isEmpty()
     gone = next(i for i, line in enumerate(lines) if "Filter isnull(is_retail" in line)
-    orders = next(i for i, line in enumerate(lines) if re.search(r"Join .*id_sales_order#", line))
+    orders = next(i for i, line in enumerate(lines) if "Join [ref_probe" in line)
     assert gone > orders  # deeper in the tree, so earlier in the run
 
 
-def test_the_months_keys_prune_the_large_item_table(spark, written):
-    with settings(
-        spark,
-        **SHUFFLED,
-        spark__sql__optimizer__runtime__bloomFilter__applicationSideScanSizeThreshold="0",
-    ):
+def test_wide_rows_meet_items_once_and_only_named_items_are_joined(spark, written):
+    with settings(spark, **SHUFFLED):
         plan = plan_of(seller_extract(written, Period.month(1996, 12)))
-    assert re.search(r"might_contain\(.*xxhash64\(id_sales_order_item#", plan)
-    assert re.search(r"might_contain\(.*xxhash64\(id_seller#", plan)
+    assert re.search(r"Join \[id_sales_order_item#\w+\], \[id_sales_order_item#\w+\], LeftSemi", plan)
+    # Orders join the items, so the transactions are not shuffled by order.
+    assert not re.search(r"hashpartitioning\(fk_sales_order_probe.*\n.*transaction_value", plan)
+    placed = next(line for line in plan.splitlines() if "Join [fk_sales_order_probe" in line)
+    facts = next(line for line in plan.splitlines() if "Join [ref_probe" in line)
+    assert len(placed) - len(placed.lstrip(" :+-")) > len(facts) - len(facts.lstrip(" :+-"))
+
+
+def test_only_doubled_items_are_ranked(spark, written):
+    """The one aggregate that sorts gets the rows of ids that occur twice, and no others."""
+    with settings(spark, **SHUFFLED):
+        lines = plan_of(order_extract(written)).splitlines()
+    depth = [len(line) - len(line.lstrip(" :+-")) for line in lines]
+    first = next(i for i, line in enumerate(lines) if "SortAggregate" in line)
+    below = [line for i, line in enumerate(lines) if i > first and depth[i] > depth[first]]
+    assert any("LeftSemi" in line for line in below)
 
 
 def test_missing_keys_are_spread_over_the_partitions(spark):
@@ -170,46 +183,42 @@ def test_a_hot_item_is_split_in_the_row_level_join(spark):
     assert all(r["paid_price"] is not None for r in rows)
 
 
-def test_postings_sum_before_they_shuffle(spark, written):
+def test_postings_sum_before_they_shuffle(spark):
     """One task sends one row per group, however many rows share the hot item or seller."""
-    sc = spark.range(90_000, numPartitions=4).select(
+    prices = spark.range(90_000, numPartitions=4).select(
         F.lit(date(2018, 4, 1)).alias("booking_period"),
-        F.lit(7).cast("bigint").alias("oms_id_sales_order_item"),
         F.lit("IR00001").alias("short_code"),
-        F.when(F.col("id") % 3 == 0, 17).when(F.col("id") % 3 == 1, 78).otherwise(2)
-        .cast("bigint").alias("id_transaction_type"),
-        F.lit("t").alias("transaction_type"),
+        F.when(F.col("id") % 3 == 0, 17).otherwise(18).cast("bigint").alias("id_transaction_type"),
+        *[F.when(F.col("id") >= 0, "x").alias(c) for c in LEDGER_KEY_PARTS],
         F.lit(Decimal("1.0900")).cast("decimal(18,4)").alias("transaction_value"),
+        F.lit(Decimal("1.0000")).cast("decimal(18,4)").alias("paid_price"),
     )
-    sums = postings.seller_sums(sc)
-    assert "partial_sum(" in plan_of(sums)
-    got = {(r["kind"], r["rows"], str(r["value"])) for r in sums.collect()}
-    assert got == {(17, 30_000, "32700.0000"), (None, 60_000, "65400.0000")}
-    by_task = sums.select(F.spark_partition_id()).distinct().count()
-    assert by_task <= 2
-
-
-def test_maps_meet_sums_not_rows(spark, written):
-    booked = postings.book(
-        written_sc(written),
-        first_per_key(
-            written_sc(written).selectExpr(
-                "oms_id_sales_order_item",
-                "'closed' AS item_status",
-                "'SEP' AS payment_method",
-                "'NA' AS shipment_provider_name",
-                "CAST(1 AS decimal(18,4)) AS paid_price",
-            ),
-            "oms_id_sales_order_item",
-            ["item_status", "payment_method", "shipment_provider_name", "paid_price"],
-        ),
-        maps.read_ledger_map(written["ledger_map"]),
-        maps.read_beneficiary_map(written["beneficiary_code_map"]),
-    )
+    ledgers = spark.createDataFrame([("x-x-x-x", 13004, None)], LEDGERS)
+    sellers = spark.createDataFrame([("IR00001", 3000000001)], "short_code string, beneficiary_code bigint")
+    booked = postings.book_item_prices(prices, ledgers, sellers)
     lines = plan_of(booked).splitlines()
+    assert any("partial_sum(" in line for line in lines)
     ledger_join = next(i for i, line in enumerate(lines) if "Join [ledger_map_key" in line)
-    final_sum = next(i for i, line in enumerate(lines) if "functions=[sum(value" in line)
-    assert ledger_join < final_sum
+    final_sum = next(i for i, line in enumerate(lines) if "HashAggregate(" in line)
+    assert ledger_join < final_sum  # the maps meet sums, not rows
+    got = {(r["kind"], r["ledger"], str(r["value"])) for r in booked.collect()}
+    assert got == {(17, 13004, "32700.0000"), (18, 13004, "65400.0000")}
+
+
+def test_one_wrong_cent_is_seen_in_any_turnover(spark):
+    def sums(off):
+        goods = Decimal("1000000000000.0000")
+        lines = [("voucher", goods / 4, 0), ("ipc_paid_price", goods * 3 / 4 + off, 0), ("total", goods, 0)]
+        lines += [(p, 0, 7) for p in ("commission_vat", "commission_revenue", "total")]
+        rows = [(date(2018, 4, 1), p, 1, i, Decimal(g), Decimal(c)) for i, (p, g, c) in enumerate(lines)]
+        return spark.createDataFrame(
+            rows,
+            "booking_period date, posting string, account_code bigint, account_free bigint, "
+            "goods decimal(38,4), commission decimal(38,4)",
+        )
+
+    assert postings.balance(sums(Decimal(0))).first()["balanced"] is True
+    assert postings.balance(sums(Decimal("0.01"))).first()["balanced"] is False
 
 
 def test_same_result_whichever_join_spark_picks(spark):
@@ -238,13 +247,19 @@ def test_first_per_key_puts_nulls_last(spark):
     assert got == {(1, "b", 2), (2, None, None)}
 
 
-def test_large_maps_are_not_broadcast(spark, monkeypatch):
-    small = spark.createDataFrame([("a", 1), ("b", 2)], "short_code string, code int")
-    hinted = maps.checked_map(small, ["short_code"])
-    assert "ResolvedHint" in hinted._jdf.queryExecution().analyzed().toString()
-    monkeypatch.setattr(maps, "BROADCAST_ROWS", 1)
-    plain = maps.checked_map(small, ["short_code"])
-    assert "ResolvedHint" not in plain._jdf.queryExecution().analyzed().toString()
+def test_maps_carry_no_hint_and_no_null_keys(spark, tmp_path):
+    rows = [("a", 1), ("b", 2), *[(None, i) for i in range(2000)]]
+    codes = spark.createDataFrame(rows, "short_code string, code int")
+    checked = maps.checked_map(codes, ["short_code"], str(tmp_path / "map"), str(tmp_path / "log"))
+    assert "ResolvedHint" not in checked._jdf.queryExecution().analyzed().toString()
+    assert {tuple(r) for r in checked.collect()} == {("a", 1), ("b", 2)}
+
+
+def test_every_doubled_key_is_logged(spark, tmp_path):
+    codes = spark.range(2000).selectExpr("concat('c', id % 1000) AS short_code", "id AS code")
+    with pytest.raises(maps.DuplicateKeys) as refused:
+        maps.checked_map(codes, ["short_code"], str(tmp_path / "map"), str(tmp_path / "log"))
+    assert spark.read.option("header", True).csv(refused.value.log).count() == 1000
 
 
 @pytest.mark.parametrize("fmt", ["parquet", "orc", "json", "csv"])
@@ -261,4 +276,4 @@ def test_source_formats(spark, tmp_path, fmt):
 def test_shuffle_partitions_follow_the_data():
     assert shuffle_partitions(10**6) == 200
     assert shuffle_partitions(10**12) == 7451
-    assert shuffle_partitions(10**14) == 100_000
+    assert shuffle_partitions(10**14) == 745_059

@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 
 from tallybook.plans.upload import run_upload
-from tallybook.sources.readers import Location, UploadError, read_upload
+from tallybook.sources.readers import Location, UploadError, read_table, read_upload
 
 HEAD = "short_code,beneficiary_code\n"
 
@@ -24,7 +24,7 @@ def test_columns_are_found_by_name(spark, tmp_path):
         tmp_path / "a.csv", 'error,beneficiary_code,note,short_code\nold,3000000001,"a,b",IR00001\n'
     )
     rows = read_upload(spark, path, ["short_code", "beneficiary_code"])
-    assert rows.columns == ["short_code", "beneficiary_code", "row_no"]
+    assert rows.columns == ["short_code", "beneficiary_code", "row_no", "broken"]
     assert [tuple(r)[:2] for r in rows.collect()] == [("IR00001", "3000000001")]
 
 
@@ -50,6 +50,32 @@ def test_one_bad_row_keeps_everything_out(spark, tmp_path):
     assert not (tmp_path / "map").exists()
 
 
+@pytest.mark.parametrize("multi_line", [True, False])
+@pytest.mark.parametrize("row", ["IR00001,3000000001,EXTRA", "IR00001"])
+def test_a_row_with_a_wrong_number_of_fields_keeps_everything_out(spark, tmp_path, row, multi_line):
+    path = write(tmp_path / "a.csv", f"{HEAD}IR00002,3000000002\n{row}\n")
+    target = Location(str(tmp_path / "map"))
+    result = run_upload(spark, "benef_code_map", path, target, str(tmp_path / "log"), multi_line)
+    assert (result.accepted, result.stored, result.refused) == (False, 0, 1)
+    assert logged(spark, result.log)[0][0] == f"row has a wrong number of fields: {row}"
+    assert not (tmp_path / "map").exists()
+
+
+def test_a_blank_that_makes_a_row_invalid_is_logged(spark, tmp_path):
+    path = write(tmp_path / "a.csv", "short_code\n IR12ABC\n")
+    result = run_upload(
+        spark, "retail_supplier", path, Location(str(tmp_path / "map")), str(tmp_path / "log")
+    )
+    assert logged(spark, result.log) == [("ShortCode: must be in a valid format.", " IR12ABC")]
+
+
+def test_ragged_source_tables_fail(spark, tmp_path):
+    write(tmp_path / "t.csv", "short_code\nIR00001,x\n")
+    rows = read_table(spark, "retail_short_code", Location(str(tmp_path / "t.csv"), "csv"))
+    with pytest.raises(Exception, match="MALFORMED|malformed"):
+        rows.collect()
+
+
 def test_line_break_inside_quotes_is_part_of_the_value(spark, tmp_path):
     path = write(tmp_path / "a.csv", 'short_code\n"IR12ABC\n"\nIR12ABC\n')
     result = run_upload(
