@@ -14,6 +14,8 @@ from itertools import product
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from tallybook import fixed
+
 GIVEN = ("lineitem", "orders", "supplier", "customer")
 
 
@@ -27,34 +29,36 @@ def _values(rows, columns: str) -> str:
     return f"SELECT * FROM (VALUES {body}) AS v({columns})"
 
 
-TYPES = [
-    (0, 17, "Item Price Credit", 1),
-    (1, 17, "Item Price Credit", 1),
-    (2, 18, "Item Price", -1),
-    (3, 18, "Item Price", -1),
-    (4, 78, "Commission Fee (No Discount)", -1),
-    (5, 77, "Commission Fee (Discounted)", -1),
-    (6, 2, "Commission", -1),
-    (7, 19, "Commission Credit", 1),
-    (8, 1, "Shipping Fee (Order Level)", -1),
-    (9, 4, "Shipping Fee (Order Level) Credit", 1),
-    (10, 74, "Cancellation Penalty - (Within 24 Hrs)", -1),
-    (11, 75, "Cancellation Penalty (After 24 Hrs)", -1),
-    (12, 76, "Consigned Order Items handling Fee", -1),
-    (13, 60, "Down Payment Credit", 1),
-    (14, 43, "Lost or Damaged (Product Level) Credit", 1),
-    (15, 13, "Storage Fee", -1),
-]
-STATUSES = ["delivered", "closed", "shipped", "returned", "canceled", "refund_completed"]
+_PRICE_NAMES = {fixed.ITEM_PRICE: "Item Price", fixed.ITEM_PRICE_CREDIT: "Item Price Credit"}
+
+
+def _types():
+    """(number, type id, name, sign); item prices are twice as frequent, credits positive.
+
+    Only the names of the two price types matter, as ledger maps use them.
+    """
+    number = 0
+    for bucket, ids in fixed.BUCKETS.items():
+        for kind in ids * (2 if ids[0] in _PRICE_NAMES else 1):
+            name = _PRICE_NAMES.get(kind, f"{bucket.replace('_', ' ')} no. {kind}")
+            yield number, kind, name, 1 if bucket.endswith("credit") else -1
+            number += 1
+
+
+TYPES = list(_types())
+STATUSES = [fixed.ITEM_STATUSES[i] for i in (0, 1, 8, 11, 5, 4)]
 PAYMENTS = [
-    ("1-URGENT", "CashOnDelivery"),
-    ("2-HIGH", "SEP"),
-    ("3-MEDIUM", "BankDeposit"),
-    ("4-NOT SPECIFIED", "PEC"),
-    ("5-LOW", "Irankish"),
+    (priority, fixed.PAYMENT_METHODS[i])
+    for priority, i in (
+        ("1-URGENT", 0),
+        ("2-HIGH", 1),
+        ("3-MEDIUM", 2),
+        ("4-NOT SPECIFIED", 3),
+        ("5-LOW", 6),
+    )
 ]
-PROVIDERS = ["Tipax", "Post", "Chaapaar", "NA", "TPG"]
-LEDGERS = [13004, 94001, 33001, 33002, 84006]
+PROVIDERS = [fixed.SHIPMENT_PROVIDERS[i] for i in (0, 2, 4, 6, 10)]
+LEDGERS = [int(x) for x in fixed.LEDGERS]
 SUBLEDGERS = [4000000001, 4000000002, 4000000003, None, 4000000006]
 
 

@@ -9,7 +9,8 @@ from tallybook import fixed
 from tallybook.functions.money import MONEY, commission_revenue, commission_vat
 from tallybook.operators.routing import commission_type_rows
 
-_PRICE_COLUMNS = (
+# The columns of the row-level results, in their order.
+PRICE_COLUMNS = (
     "booking_period",
     "oms_id_sales_order_item",
     "order_nr",
@@ -29,7 +30,7 @@ _PRICE_COLUMNS = (
     "subledger",
     "beneficiary_code",
 )
-_COMMISSION_COLUMNS = (
+COMMISSION_COLUMNS = (
     "booking_period",
     "oms_id_sales_order_item",
     "order_nr",
@@ -60,7 +61,7 @@ def price_rows(
         .withColumn("voucher", F.expr("transaction_value - paid_price"))
         .join(ledger_map, "ledger_map_key", "left")
         .join(beneficiary_map, "short_code", "left")
-        .select(*_PRICE_COLUMNS)
+        .select(*PRICE_COLUMNS)
     )
 
 
@@ -79,4 +80,4 @@ def commission_rows(sc: DataFrame, beneficiary_map: DataFrame) -> DataFrame:
         f"{commission_revenue('transaction_value')} AS commission_revenue",
         f"{commission_vat('transaction_value')} AS commission_vat",
     )
-    return split.join(beneficiary_map, "short_code", "left").select(*_COMMISSION_COLUMNS)
+    return split.join(beneficiary_map, "short_code", "left").select(*COMMISSION_COLUMNS)

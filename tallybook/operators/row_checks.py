@@ -75,7 +75,7 @@ LEDGER_MAP_UPLOAD = (
     Field("subledger", (IS_INTEGER, one_of(fixed.SUBLEDGERS)), label="Subledger"),
 )
 
-# Columns shown for a rejected row.
+# The columns shown for a rejected row.
 SELLER_REJECT_COLUMNS = (
     "error",
     "oms_id_sales_order_item",

@@ -8,40 +8,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallybook import fixed
+from tallybook.operators.enrich import COMMISSION_COLUMNS, PRICE_COLUMNS
 from tallybook.operators.postings import POSTINGS
 
-# The columns of the detail exports, in their printed order.
-PRICE_EXPORT = (
-    "oms_id_sales_order_item",
-    "order_nr",
-    "id_supplier",
-    "short_code",
-    "supplier_name",
-    "transaction_type",
-    "transaction_value",
-    "comment",
-    "item_status",
-    "payment_method",
-    "shipment_provider_name",
-    "paid_price",
-    "voucher",
-    "ledger",
-    "subledger",
-    "beneficiary_code",
-)
-COMMISSION_EXPORT = (
-    "oms_id_sales_order_item",
-    "order_nr",
-    "id_supplier",
-    "short_code",
-    "supplier_name",
-    "transaction_type",
-    "transaction_value",
-    "commission_revenue",
-    "commission_vat",
-    "comment",
-    "beneficiary_code",
-)
+# The detail exports are the row-level results of one month and one price type each.
+PRICE_EXPORT = [c for c in PRICE_COLUMNS if c not in ("booking_period", "id_transaction_type")]
+COMMISSION_EXPORT = [c for c in COMMISSION_COLUMNS if c != "booking_period"]
 
 
 def write_csv(

@@ -39,10 +39,10 @@ ROWS = {
     "tre2_account_statement_group": [
         (17, "Item Price Credit"),
         (18, "Item Price"),
-        (78, "Commission Fee (No Discount)"),
-        (2, "Commission"),
-        (19, "Commission Credit"),
-        (13, "Storage Fee"),
+        (78, "fee 78"),
+        (2, "fee 2"),
+        (19, "fee 19"),
+        (13, "fee 13"),
     ],
     "seller": [(1, "IR00001", "One"), (2, "IR00002", "Two"), (3, "IR00003", "Retail")],
     "sales_order_item": [(i, i, 100 + i) for i in (11, 12, 13, 14, 15)],
