@@ -109,6 +109,44 @@ def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dartminhash.classes(documents, Staging(spark)).select("doc_id", "class_id")
 
 
+_STOP_WORDS = ", ".join(f"'{w}'" for w in sorted(set(quality.STOP_WORDS)))
+_RATIOS = {
+    "word_length": "word_chars / greatest(n_words, 1)",
+    "symbol_share": "n_symbols / greatest(n_words, 1)",
+    "stop_share": "n_stop / greatest(n_words, 1)",
+    "exclaim_share": "n_exclaim / greatest(n_words, 1)",
+    "upper_share": "n_upper / greatest(n_words, 1)",
+    "dup_line_share": "n_dup_lines / greatest(n_lines, 1)",
+}
+ORACLE_SQL["op5_quality"] = rf"""
+WITH words AS (
+    SELECT doc_id, coalesce(text, '') AS t,
+           list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w,
+           list_filter(string_split(t, chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines
+    FROM documents
+), windows AS (
+    SELECT doc_id, i, md5(array_to_string(w[i:i + 7], ' ')) AS content FROM words, unnest(range(1, len(w) - 6)) AS x(i)
+), repeated AS (
+    SELECT doc_id, i FROM windows QUALIFY count(*) OVER (PARTITION BY doc_id, content) > 1
+), covered AS (
+    SELECT doc_id, count(DISTINCT i + k) AS n FROM repeated, range(8) AS x(k) GROUP BY doc_id
+), counts AS (
+    SELECT doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
+           length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+           (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, len(lines) AS n_lines,
+           coalesce(covered.n, 0)::BIGINT AS n_repeat_words,
+           len(list_filter(w, lambda x: lower(x) IN ({_STOP_WORDS}))) AS n_stop,
+           len(list_filter(w, lambda x: ends_with(x, '!'))) AS n_exclaim,
+           len(list_filter(w, lambda x: x = upper(x) AND x <> lower(x) AND length(x) > 1)) AS n_upper
+    FROM words LEFT JOIN covered USING (doc_id)
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+       NOT base_failed AND {" AND ".join(f"{_RATIOS[n]} BETWEEN {low} AND {high}" for n, low, high in quality.THRESHOLDS)} AS kept
+FROM counts
+"""
+
+
 @query
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every document: those of the base patterns, and strings that look random."""
