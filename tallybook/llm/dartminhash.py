@@ -148,9 +148,9 @@ def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([part.column(i).filter(good) for i in (0, 1)], ["a", "b"])
 
 
-def _pairs(members: DataFrame, leaders: DataFrame) -> DataFrame:
-    """Each member with the leader of its bucket, once."""
-    pair = members.join(leaders, "bucket").where("node <> leader")
+def _pairs(led: DataFrame) -> DataFrame:
+    """Each member of (bucket, node, leader) with its leader, once."""
+    pair = led.where("node <> leader")
     return pair.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
 
 
@@ -162,10 +162,11 @@ def content(text: Column) -> Column:
 class Linker:
     """Links between similar texts that share a bucket, found without comparing all members of it.
 
-    Every member is compared with the bucket's leader, its least node. What isn't like the leader stays
-    open. Buckets with open members are divided by each further band that their members share; in each
-    part one open member leads and is compared with all members there, then two of those still open,
-    then four, and so on until none is: so copies of one text are done with after a round, and texts that
+    Every member is compared with the bucket's leader: the node whose buckets hold most members, as the
+    text that others were copied from shares more with them than they do with each other. What isn't
+    like the leader, nor in its class by then, stays open. Buckets with open members are divided by each
+    further band that their members share; in each part one open member leads and is compared with all
+    members of other classes there, then two of those still open, then four, and so on until none is: so copies of one text are done with after a round, and texts that
     are like no other take a number of rounds that is the logarithm of theirs. No pair is compared twice.
     A text that two unlike leaders are both compared with ties their classes together.
     """
@@ -173,9 +174,12 @@ class Linker:
     def __init__(self, nodes: DataFrame, documents: DataFrame, staging: Staging):
         self.staging, self.nodes, self.round = staging, nodes, 0
         band = nodes.select("node", F.explode("bands").alias("bucket"))
-        shared = band.groupBy("bucket").agg(F.min("node").alias("leader"), F.count(F.lit(1)).alias("n")).where("n > 1")
-        leaders = staging.table(shared.select("bucket", "leader"), "leaders")
-        self.members = staging.table(band.join(leaders, "bucket").select("bucket", "node", "leader"), "members")
+        shared = staging.table(band.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "shared")
+        sized = staging.table(band.join(shared, "bucket").select("bucket", "node", "n"), "sized")
+        degree = sized.groupBy("node").agg(F.sum("n").alias("degree"))
+        first = F.min(F.struct((-F.col("degree")).alias("degree"), "node"))["node"].alias("leader")
+        leaders = staging.table(sized.join(degree, "node").groupBy("bucket").agg(first), "leaders")
+        self.members = staging.table(sized.join(leaders, "bucket").select("bucket", "node", "leader"), "members")
         wanted = nodes.join(self.members.select("node").distinct(), "node", "left_semi").select("node", "doc_id", "content")
         texts = documents.select("doc_id", content(F.col("text")).alias("content"), "text")
         same = (texts["content"] == wanted["content"]) & texts["doc_id"].eqNullSafe(wanted["doc_id"])
@@ -196,31 +200,35 @@ class Linker:
         return members.join(done, ["bucket", "node"], "left_anti")
 
     def links(self) -> DataFrame:
-        leaders = self.members.select("bucket", "leader").distinct()
-        everyone = self.members.select("bucket", "node")
-        compared = self.staging.table(_pairs(everyone, leaders), "compared_0")
+        compared = self.staging.table(_pairs(self.members), "compared_0")
         links = self.alike(compared)
-        left = self.staging.table(self.still_open(everyone, leaders, links), "open_0")
-        if left.isEmpty():
+        roots = components(links, self.staging, "early")
+        rooted = self.members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        rooted = self.staging.table(rooted, "rooted")
+        led = rooted.where("node = leader").select("bucket", F.col("root").alias("leader_root"))
+        flagged = rooted.join(led, "bucket").withColumn("open", F.col("root") != F.col("leader_root"))
+        busy = flagged.groupBy("bucket").agg(F.max("open").alias("any")).where("any")
+        flagged = flagged.join(busy.select("bucket"), "bucket", "left_semi").select("bucket", "node", "root", "open")
+        flagged = self.staging.table(flagged, "flagged")
+        if flagged.isEmpty():
             return links
-        again = self.members.join(left.select("bucket").distinct(), "bucket", "left_semi").select("bucket", "node")
-        flagged = again.join(left.withColumn("open", F.lit(True)), ["bucket", "node"], "left")
         other = F.explode("bands").alias("other")
-        parts = flagged.join(self.nodes.select("node", "bands"), "node").select("bucket", "node", "open", other).where("bucket <> other")
-        parts = parts.groupBy(F.xxhash64(F.least("bucket", "other"), F.greatest("bucket", "other")).alias("bucket"), "node").agg(
+        parts = flagged.join(self.nodes.select("node", "bands"), "node").select("bucket", "node", "root", "open", other).where("bucket <> other")
+        parts = parts.groupBy(F.xxhash64(F.least("bucket", "other"), F.greatest("bucket", "other")).alias("bucket"), "node", "root").agg(
             F.max("open").alias("open")
         )
-        busy = parts.groupBy("bucket").agg(F.max("open").alias("any"), F.count(F.lit(1)).alias("n")).where("any and n > 1")
-        parts = self.staging.table(parts.join(busy.select("bucket"), "bucket", "left_semi"), "parts")
-        left, members, turn = parts.where("open").select("bucket", "node"), parts.select("bucket", "node"), 0
+        busy = parts.groupBy("bucket").agg(F.max("open").alias("any"), F.min("root").alias("low"), F.max("root").alias("high"))
+        parts = self.staging.table(parts.join(busy.where("any and low <> high").select("bucket"), "bucket", "left_semi"), "parts")
+        left, turn = parts.where("open").drop("open"), 0
         place = F.row_number().over(Window.partitionBy("bucket").orderBy(F.xxhash64("node"), "node"))
         while not left.isEmpty():
-            leaders = left.withColumn("place", place).where(F.col("place") <= 2**turn).select("bucket", F.col("node").alias("leader"))
+            leaders = left.withColumn("place", place).where(F.col("place") <= 2**turn)
+            leaders = leaders.select("bucket", F.col("node").alias("leader"), F.col("root").alias("leader_root"))
             turn += 1
-            fresh = _pairs(members, leaders).join(compared, ["a", "b"], "left_anti")
-            fresh = self.staging.table(fresh, f"compared_{turn}")
+            fresh = _pairs(parts.join(leaders, "bucket").where("root <> leader_root"))
+            fresh = self.staging.table(fresh.join(compared, ["a", "b"], "left_anti"), f"compared_{turn}")
             compared, links = compared.unionAll(fresh), links.unionAll(self.alike(fresh))
-            left = self.staging.table(self.still_open(left, leaders, links), f"open_{turn}")
+            left = self.staging.table(self.still_open(left, leaders.drop("leader_root"), links), f"open_{turn}")
         return links
 
 
