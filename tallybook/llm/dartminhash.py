@@ -120,7 +120,9 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 ends = np.append(0, np.cumsum(some * BANDS)).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(hashes[some].ravel().view(np.int64)))
                 own = slice(rows.start + low, rows.start + high)
-                yield pa.RecordBatch.from_arrays([batch.column(0)[own], batch.column(1)[own], lists], ["doc_id", "content", "bands"])
+                weight = pa.array(np.diff(bounds[low : high + 1]))
+                columns = [batch.column(0)[own], batch.column(1)[own], weight, lists]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "content", "weight", "bands"])
 
 
 def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -149,8 +151,13 @@ def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _pairs(led: DataFrame) -> DataFrame:
-    """Each member of (bucket, node, leader) with its leader, once."""
-    pair = led.where("node <> leader")
+    """Each member of (bucket, node, weight, leader, leader_weight) with its leader, once.
+
+    Their similarity is no more than the smaller weight divided by the larger, so pairs for which that is
+    under SIMILARITY need no look at their texts.
+    """
+    near = F.least("weight", "leader_weight") >= SIMILARITY * F.greatest("weight", "leader_weight") - 1e-6
+    pair = led.where(near & (F.col("node") != F.col("leader")))
     return pair.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
 
 
@@ -173,13 +180,16 @@ class Linker:
 
     def __init__(self, nodes: DataFrame, documents: DataFrame, staging: Staging):
         self.staging, self.nodes, self.round = staging, nodes, 0
-        band = nodes.select("node", F.explode("bands").alias("bucket"))
+        band = nodes.select("node", "weight", F.explode("bands").alias("bucket"))
         shared = staging.table(band.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "shared")
-        sized = staging.table(band.join(shared, "bucket").select("bucket", "node", "n"), "sized")
+        sized = staging.table(band.join(shared, "bucket").select("bucket", "node", "weight", "n"), "sized")
         degree = sized.groupBy("node").agg(F.sum("n").alias("degree"))
-        first = F.min(F.struct((-F.col("degree")).alias("degree"), "node"))["node"].alias("leader")
-        leaders = staging.table(sized.join(degree, "node").groupBy("bucket").agg(first), "leaders")
-        self.members = staging.table(sized.join(leaders, "bucket").select("bucket", "node", "leader"), "members")
+        first = F.min(F.struct((-F.col("degree")).alias("degree"), "node", "weight")).alias("first")
+        leaders = sized.join(degree, "node").groupBy("bucket").agg(first)
+        leaders = leaders.select("bucket", F.col("first.node").alias("leader"), F.col("first.weight").alias("leader_weight"))
+        leaders = staging.table(leaders, "leaders")
+        members = sized.join(leaders, "bucket").select("bucket", "node", "weight", "leader", "leader_weight")
+        self.members = staging.table(members, "members")
         wanted = nodes.join(self.members.select("node").distinct(), "node", "left_semi").select("node", "doc_id", "content")
         texts = documents.select("doc_id", content(F.col("text")).alias("content"), "text")
         same = (texts["content"] == wanted["content"]) & texts["doc_id"].eqNullSafe(wanted["doc_id"])
@@ -208,13 +218,13 @@ class Linker:
         led = rooted.where("node = leader").select("bucket", F.col("root").alias("leader_root"))
         flagged = rooted.join(led, "bucket").withColumn("open", F.col("root") != F.col("leader_root"))
         busy = flagged.groupBy("bucket").agg(F.max("open").alias("any")).where("any")
-        flagged = flagged.join(busy.select("bucket"), "bucket", "left_semi").select("bucket", "node", "root", "open")
+        flagged = flagged.join(busy.select("bucket"), "bucket", "left_semi").select("bucket", "node", "weight", "root", "open")
         flagged = self.staging.table(flagged, "flagged")
         if flagged.isEmpty():
             return links
         other = F.explode("bands").alias("other")
-        parts = flagged.join(self.nodes.select("node", "bands"), "node").select("bucket", "node", "root", "open", other).where("bucket <> other")
-        parts = parts.groupBy(F.xxhash64(F.least("bucket", "other"), F.greatest("bucket", "other")).alias("bucket"), "node", "root").agg(
+        parts = flagged.join(self.nodes.select("node", "bands"), "node").select(*flagged.columns, other).where("bucket <> other")
+        parts = parts.groupBy(F.xxhash64(F.least("bucket", "other"), F.greatest("bucket", "other")).alias("bucket"), "node", "weight", "root").agg(
             F.max("open").alias("open")
         )
         busy = parts.groupBy("bucket").agg(F.max("open").alias("any"), F.min("root").alias("low"), F.max("root").alias("high"))
@@ -223,12 +233,12 @@ class Linker:
         place = F.row_number().over(Window.partitionBy("bucket").orderBy(F.xxhash64("node"), "node"))
         while not left.isEmpty():
             leaders = left.withColumn("place", place).where(F.col("place") <= 2**turn)
-            leaders = leaders.select("bucket", F.col("node").alias("leader"), F.col("root").alias("leader_root"))
+            leaders = leaders.select("bucket", *[F.col(c).alias(x) for c, x in (("node", "leader"), ("weight", "leader_weight"), ("root", "leader_root"))])
             turn += 1
             fresh = _pairs(parts.join(leaders, "bucket").where("root <> leader_root"))
             fresh = self.staging.table(fresh.join(compared, ["a", "b"], "left_anti"), f"compared_{turn}")
             compared, links = compared.unionAll(fresh), links.unionAll(self.alike(fresh))
-            left = self.staging.table(self.still_open(left, leaders.drop("leader_root"), links), f"open_{turn}")
+            left = self.staging.table(self.still_open(left, leaders.select("bucket", "leader"), links), f"open_{turn}")
         return links
 
 
@@ -244,13 +254,13 @@ def classes(documents: DataFrame, staging: Staging) -> DataFrame:
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     signed = staging.table(
         rows.select("doc_id", content(F.col("text")).alias("content"), F.coalesce("text", F.lit("")).alias("text"))
-        .mapInArrow(_sign, "doc_id long, content binary, bands array<long>")
+        .mapInArrow(_sign, "doc_id long, content binary, weight long, bands array<long>")
         .withColumn("row", F.monotonically_increasing_id()),
         "signed",
     )
     same = staging.table(signed.groupBy("content").agg(F.min("row").alias("node")), "same")
     nodes = signed.join(same.select(F.col("node").alias("row")), "row", "left_semi").select(
-        F.col("row").alias("node"), "doc_id", "content", "bands"
+        F.col("row").alias("node"), "doc_id", "content", "weight", "bands"
     )
     links = Linker(staging.table(nodes, "nodes"), rows, staging).links()
     roots = components(links, staging, "component")
