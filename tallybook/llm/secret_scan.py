@@ -24,7 +24,7 @@ ALPHABET = string.ascii_letters + string.digits + "+/_=-"
 CANDIDATE = "[A-Za-z0-9+/_=-]+"
 LEAST_LENGTH = 20
 #: A candidate is a secret if its log-likelihood ratio, random to ordinary, is this much or more.
-LEAST_RATIO = 12.0
+LEAST_RATIO = 6.0
 #: Bounds of the samples: strings that the base patterns found, and documents that give ordinary words.
 RANDOM_ROWS = 20_000
 ORDINARY_DOCUMENTS = 2_000
@@ -49,7 +49,11 @@ def _matches(text: Column, number: int, pattern: str, group: int, least: int, hi
 
 
 def extracted(documents: DataFrame) -> DataFrame:
-    """One row per match of each kind, or one without a match: row, doc_id, kind, start, end, value."""
+    """One row per match that stays, of each kind: row, doc_id, kind, start, end, value.
+
+    A document keeps the first match of each kind even if it is dropped (its kind is then null), or a row
+    without any, so it is in the result.
+    """
     text = F.coalesce(F.col("text"), F.lit(""))
     kinds = [*((k, p, g, n, HINT[k]) for k, p, g, n in BASE), ("random", CANDIDATE, 0, LEAST_LENGTH, f"{CANDIDATE[:-1]}{{{LEAST_LENGTH}}}")]
     matches = [_matches(text, number, *rest) for number, (_, *rest) in enumerate(kinds)]
@@ -58,6 +62,7 @@ def extracted(documents: DataFrame) -> DataFrame:
     so_far = Window.partitionBy("row", "kind").orderBy("i").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     end = F.sum(F.col("gap").cast("long") + F.col("length")).over(so_far)
     placed = rows.withColumn("end", end).withColumn("start", F.col("end") - F.col("length"))
+    placed = placed.where(F.col("good") | F.coalesce(F.col("i") == 0, F.lit(True)))
     return placed.select("row", "doc_id", F.when(F.col("good"), F.col("kind")).alias("kind"), "start", "end", "value")
 
 
@@ -127,7 +132,8 @@ def scan(documents: DataFrame, staging: Staging) -> DataFrame:
     base = F.col("kind") < 3
     order = Window.partitionBy("row").orderBy("start", "kind")
     before = F.max(F.when(base, F.col("end"))).over(order.rowsBetween(Window.unboundedPreceding, -1))
-    after = F.min(F.when(base, F.col("start"))).over(order.rowsBetween(1, Window.unboundedFollowing))
+    back = Window.partitionBy("row").orderBy(F.desc("start"), F.desc("kind"))  # a running frame, as the other
+    after = F.min(F.when(base, F.col("start"))).over(back.rowsBetween(Window.unboundedPreceding, -1))
     free = (F.coalesce(before, F.lit(0)) <= F.col("start")) & (F.coalesce(after, F.col("end")) >= F.col("end"))
     good = good.withColumn("kind", F.when(base | free, F.col("kind")))
     span = F.when(F.col("kind").isNotNull(), F.struct("start", "kind", "end"))
