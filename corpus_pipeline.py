@@ -2,8 +2,8 @@
 
 toxicity drops the documents that its classifier rejects; near_duplicates keeps one document of each
 class; personal_data masks what it finds; mixing puts the documents in the order of the mixture, file by
-file; packing gives the pieces of all of them with their sequences. All but the last return the columns
-of documents.
+file; packing gives the pieces of all of them with their sequences, which follow the mixture. All but the
+last return the columns of documents.
 """
 
 from __future__ import annotations
@@ -16,6 +16,10 @@ from tallybook.llm.queries import importable, table
 from tallybook.llm.staging import Staging
 
 
+#: Weights of the sources; None: the root of their row counts.
+WEIGHTS: dict[str, float] | None = None
+
+
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents with a toxicity score below 0.5."""
     importable(spark)
@@ -48,18 +52,26 @@ def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     return changed.select(docs.columns)
 
 
+def in_mixture(docs: DataFrame) -> DataFrame:
+    """The columns of ``docs`` and ``__position``, which depends on the rows alone and not on their files."""
+    mixture = mixing.mixed(docs, WEIGHTS, order=F.struct("doc_id", F.xxhash64("text")))
+    place = mixing.place_column(docs, mixture)
+    return mixture.select(*docs.columns, F.col(f"{place}.position").alias("__position"))
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents in the order of the mixture: later files hold later positions."""
-    order = F.struct("doc_id", F.xxhash64("text"))
-    mixture = mixing.mixed(docs, order=order)
-    place = mixing.place_column(docs, mixture)
-    return mixture.orderBy(f"{place}.position").select(docs.columns)
+    importable(spark)
+    return in_mixture(docs).orderBy("__position").select(docs.columns)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents and their places in training sequences."""
+    """The pieces of all documents and their places in training sequences, in the order of the mixture.
+
+    Files that are read again keep no order, so the positions are computed again, to the same numbers.
+    """
     importable(spark)
-    return packing.pack(docs, Staging(spark))
+    return packing.pack(in_mixture(docs.select("doc_id", "text", "source")), Staging(spark), position="__position")
 
 
 STAGES = [

@@ -26,6 +26,8 @@ _BATCH_PIECES = 512
 _MARK = "\0"
 _SYMBOLS = string.punctuation.replace("'", "")
 _RESERVED = "<|"
+#: Multiples of it, without their whole part, lie evenly between 0 and 1 however many there are.
+_SPREAD = (5**0.5 - 1) / 2
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -113,20 +115,22 @@ def encoder(path: str) -> Encoder:
 
 
 def pieces_of(batches: Iterator[pa.RecordBatch], path: str, sequence: int) -> Iterator[pa.RecordBatch]:
-    """(doc_id, piece, start, length, ids_crc32) of each piece of each document."""
+    """(doc_id, piece, start, length, ids_crc32) of each piece of each document, and its position if it has one."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     known, end = encoder(path), np.array([END_ID], "<u4").tobytes()
     for batch in batches:
-        out = []
-        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+        out, rows = [], []
+        for row, (doc_id, text) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1), strict=True)):
             ids = known.encode(text.as_py() or "") + end
             for piece, at in enumerate(range(0, len(ids), 4 * sequence)):
                 part = ids[at : at + 4 * sequence]
                 out.append((doc_id, piece, at // 4, len(part) // 4, zlib.crc32(part)))
+                rows.append(row)
         columns = list(zip(*out, strict=True)) or [[]] * 5
         yield pa.RecordBatch.from_arrays(
-            [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()), strict=True)],
-            ["doc_id", "piece", "start", "length", "ids_crc32"],
+            [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()), strict=True)]
+            + [c.take(pa.array(rows, pa.int64())) for c in batch.columns[2:]],
+            ["doc_id", "piece", "start", "length", "ids_crc32", *batch.schema.names[2:]],
         )
 
 
@@ -213,7 +217,37 @@ def put(batches: Iterator[pa.RecordBatch], where: np.ndarray) -> Iterator[pa.Rec
         )
 
 
-def pack(documents: DataFrame, staging: Staging, sequence: int = SEQUENCE, path: str | None = None) -> DataFrame:
+def in_order(pieces: DataFrame, bins: list[tuple[list[int], int]], staging: Staging) -> DataFrame:
+    """Add sequence_id and offset to pieces with a position, so that sequences follow the positions.
+
+    The bins are those of ``plan``. Alike bins are spread evenly over the stream, and each length's pieces go
+    to its places in the order of their positions, so a sequence holds pieces that stand at about the same
+    part of the stream. Sequences are numbered by the mean position of their ids.
+    """
+    rows, first = [], 0
+    for kind, (lengths, times) in enumerate(bins):
+        offset, shift = 0, (kind + 1) * _SPREAD % 1
+        for length in lengths:
+            rows.append((length, offset, first, times, shift))
+            offset += length
+        first += times
+    uses = pieces.sparkSession.createDataFrame(rows, "length long, offset long, first long, times long, shift double")
+    turns = uses.withColumn("turn", F.explode(F.sequence(F.lit(0).cast("long"), F.col("times") - 1)))
+    places = turns.select("length", "offset", (F.col("first") + F.col("turn")).alias("bin"), ((F.col("turn") + F.col("shift")) / F.col("times")).alias("at"))
+    places = ranked(staging.table(places, "places"), ["length"], F.struct("at", "bin", "offset"), "rank", F.col("at")).drop("at")
+    end = (pieces.agg(F.max("position")).first()[0] or 0) + 1
+    order = F.struct("position", "doc_id", "piece", "ids_crc32")
+    put = ranked(pieces, ["length"], order, "rank", F.col("position") / end).join(places, ["length", "rank"])
+    put = staging.table(put.drop("rank"), "put")
+    mean = (F.sum(F.col("position") * F.col("length")) / F.sum("length")).alias("mean")
+    means = staging.table(put.groupBy("bin").agg(mean), "means")
+    numbers = ranked(means, [], F.struct("mean", "bin"), "sequence_id", F.col("mean") / end)
+    return put.join(numbers.select("bin", "sequence_id"), "bin")
+
+
+def pack(
+    documents: DataFrame, staging: Staging, sequence: int = SEQUENCE, path: str | None = None, position: str | None = None
+) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
 
     A document is its ids and an end id; only longer ones are cut, into pieces of ``sequence`` ids. The
@@ -221,15 +255,23 @@ def pack(documents: DataFrame, staging: Staging, sequence: int = SEQUENCE, path:
     pieces find their place by their rank among pieces of their length, so the packing is one over all
     pieces and no task or driver holds them together.
 
+    ``position`` names a column of whole numbers from 0 that the sequences then follow, with the same bins;
+    without it they follow the plan and a hash.
+
     Null and empty texts are one end id. Repeated rows are packed each. No documents give no pieces.
     Other columns are not read.
     """
     path = path or tokenizer_path()
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long"
-    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
-    pieces = staging.table(rows.mapInArrow(lambda batches: pieces_of(batches, path, sequence), schema), "pieces")
+    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"), *([F.col(position).alias("position")] if position else []))
+    made = f"{schema}, position long" if position else schema
+    pieces = staging.table(rows.mapInArrow(lambda batches: pieces_of(batches, path, sequence), made), "pieces")
     counts = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}
-    where = places(plan(counts, sequence))
+    bins = plan(counts, sequence)
+    if position:
+        placed = in_order(pieces, bins, staging)
+        return placed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+    where = places(bins)
     return (
         ranked(pieces, ["length"], F.struct("doc_id", "piece", "ids_crc32"), "rank")
         .select(*pieces.columns, "rank")

@@ -11,18 +11,19 @@ def spread(frame: DataFrame) -> int:
     return max(1, int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
-def ranked(frame: DataFrame, group: list[str], order: Column | str, name: str) -> DataFrame:
+def ranked(frame: DataFrame, group: list[str], order: Column | str, name: str, at: Column | None = None) -> DataFrame:
     """Add ``name``: 0, 1, 2, ... inside each group, without gaps.
 
     Rows with equal ``order`` are equal as a whole, so it doesn't matter which comes first. Each group is dealt into parts by a hash of ``order``; rows are
     numbered inside their part and shifted by the rows of the parts before. So one group that holds most
     rows is numbered by all tasks, and a second run gives the same numbers. ``frame`` is read twice: pass
-    a written table.
+    a written table. With ``at``, a number from 0 to under 1 that never falls along ``order``, the parts are
+    ranges of it and the ranks follow ``order`` itself.
     """
     parts = spread(frame)
     order = F.col(order) if isinstance(order, str) else order
     part, before, inner = "__part", "__before", "__inner"
-    dealt = frame.withColumn(part, F.pmod(F.xxhash64(order), F.lit(parts)))
+    dealt = frame.withColumn(part, F.pmod(F.xxhash64(order), F.lit(parts)) if at is None else F.floor(at * parts))
     counts = dealt.groupBy(*group, part).agg(F.count(F.lit(1)).alias("__rows"))
     earlier = Window.partitionBy(*group).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
     shifts = counts.select(*group, part, F.coalesce(F.sum("__rows").over(earlier), F.lit(0)).alias(before))

@@ -71,6 +71,36 @@ def test_stages_of_an_empty_table(spark, folder, tmp_path):
         assert docs.count() == 0
 
 
+def test_sequences_follow_the_weights(spark, tmp_path, monkeypatch):
+    random.seed(20)
+    rows = [(i, " ".join(["alpha"] * random.choice([250, 430, 610, 900])), "abc"[i % 3]) for i in range(1800)]
+    spark.createDataFrame(rows, "doc_id long, text string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    docs, source = spark.read.parquet(f"{tmp_path}/documents.parquet"), {i: s for i, _, s in rows}
+    packed = {}
+    for heavy in "ab":
+        weights = {"a": 1, "b": 1, "c": 1, heavy: 4}
+        monkeypatch.setattr(corpus_pipeline, "WEIGHTS", weights)
+        packed[heavy] = corpus_pipeline.pack_sequences(spark, docs, str(tmp_path)).collect()
+        assert {r.doc_id for r in packed[heavy]} == set(source)
+        last = max(r.sequence_id for r in packed[heavy])
+        assert {r.sequence_id for r in packed[heavy]} == set(range(last + 1))
+        early = [r for r in packed[heavy] if r.sequence_id < last / 3]
+        total = sum(r.length for r in early)
+        for s, w in weights.items():
+            assert abs(sum(r.length for r in early if source[r.doc_id] == s) / total - w / 6) < 0.06
+    assert len({r.sequence_id for r in packed["a"]}) == len({r.sequence_id for r in packed["b"]})
+    assert sorted(packed["a"]) != sorted(packed["b"])
+
+
+def test_run_changes_with_the_weights(spark, folder, monkeypatch):
+    monkeypatch.setattr(corpus_pipeline, "STAGES", corpus_pipeline.STAGES[-2:])
+    found = []
+    for weights in ({"s0": 9, "s1": 1, None: 1}, {"s0": 1, "s1": 9, None: 1}):
+        monkeypatch.setattr(corpus_pipeline, "WEIGHTS", weights)
+        found.append({(r.doc_id, r.piece, r.ids_crc32): (r.sequence_id, r.offset) for r in corpus_pipeline.run(spark, folder).collect()})
+    assert found[0].keys() == found[1].keys() and found[0] != found[1]
+
+
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_queries_against_sql(spark, name):
     duck = connect(SF)
