@@ -3,17 +3,23 @@
 from __future__ import annotations
 
 import heapq
+from collections import defaultdict, deque
+from collections.abc import Iterator
+from fractions import Fraction
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallybook.llm.ranks import ranked
+from tallybook.llm.ranks import ranked, spread
 
-#: Slots of the period in which weights are whole numbers of blocks, or SLOTS_A_SOURCE for each source if
-#: that is more: a weight is met to within half a slot of the period.
+#: A source whose weight rounds to no block in PERIOD slots, or SLOTS_A_SOURCE for each source if that is
+#: more, gets one block in them; all others keep their weights in proportion.
 PERIOD = 1024
 SLOTS_A_SOURCE = 8
+#: Weights are whole numbers of 1 / FINE: over 2^30 slots that moves a source by a thousandth of a block.
+FINE = 2**40
 BLOCK_ROWS = 16
 TEMPER = 0.5
 
@@ -24,11 +30,27 @@ def tempered(sizes: dict[str, int], power: float = TEMPER) -> dict[str, float]:
     return {source: n**power / total for source, n in sizes.items()}
 
 
+def slots(sources: int, period: int = PERIOD) -> int:
+    """Slots of a period with so many sources."""
+    return max(period, SLOTS_A_SOURCE * sources)
+
+
+def lifted(weights: dict[str, float], period: int, least: float) -> dict[str, float]:
+    """Blocks in ``period`` slots: one for a source with under ``least``, the rest in proportion to the weights."""
+    raised: set[str] = set()
+    while True:
+        total = sum(w for s, w in weights.items() if s not in raised)
+        exact = {s: 1.0 if s in raised else (period - len(raised)) * w / total for s, w in sorted(weights.items())}
+        low = {s for s, x in exact.items() if x < least} - raised
+        if not low:
+            return exact
+        raised |= low
+
+
 def shares(weights: dict[str, float], period: int = PERIOD) -> dict[str, int]:
     """Blocks of each source in a period: whole numbers of at least 1 that sum to it (largest remainder)."""
-    period = max(period, SLOTS_A_SOURCE * len(weights))
-    total = sum(weights.values())
-    exact = {s: 1 + (period - len(weights)) * w / total for s, w in sorted(weights.items())}
+    period = slots(len(weights), period)
+    exact = lifted(weights, period, 1)
     parts = {s: int(x) for s, x in exact.items()}
     by_rest = sorted(exact, key=lambda s: (parts[s] - exact[s], s))
     for s in by_rest[: period - sum(parts.values())]:
@@ -36,29 +58,93 @@ def shares(weights: dict[str, float], period: int = PERIOD) -> dict[str, int]:
     return parts
 
 
-def schedule(parts: dict[str, int]) -> list[tuple[str, int, int, int, int]]:
-    """(source, block, release, deadline, slot) of each block of one period.
+def _window(share: int, whole: int, block: int) -> tuple[int, int]:
+    return block * whole // share, -(-(block + 1) * whole // share)
+
+
+def begun(parts: dict[str, int], slot: int) -> dict[str, int]:
+    """Blocks of each source that run before ``slot``: its quota rounded down or up, summing to ``slot``.
+
+    A source between two blocks has part of one due. Which of these blocks run before ``slot`` decides
+    whether all windows on both sides can be met: taken in the order of their windows' starts, and as well
+    in that of their ends, the chosen ones must never be fewer than the whole blocks due so far. So both
+    orders are cut into stretches of one whole block due, and a flow finds one block for each stretch of
+    either; a solution exists, as the due parts themselves are one in fractions.
+    """
+    whole = sum(parts.values())
+    out = {s: n * slot // whole for s, n in parts.items()}
+    due = {s: n * slot % whole for s, n in parts.items() if n * slot % whole}
+    ahead: dict[tuple, dict] = defaultdict(dict)  # keys in their order, the same in every process
+    for side in (0, 1):
+        at = 0
+        for s in sorted(due, key=lambda s: (Fraction(out[s] + side, parts[s]), s)):
+            for stretch in range(at // whole, (at + due[s] - 1) // whole + 1):
+                if side:
+                    ahead["out", s][side, stretch] = True
+                    ahead[side, stretch]["end",] = True
+                else:
+                    ahead["start",][side, stretch] = True
+                    ahead[side, stretch]["in", s] = True
+            at += due[s]
+    for s in due:
+        ahead["in", s]["out", s] = True
+    for _ in range(sum(due.values()) // whole):
+        came, queue = {("start",): None}, deque([("start",)])
+        while ("end",) not in came:
+            node = queue.popleft()
+            for then in ahead[node]:
+                if then not in came:
+                    came[then] = node
+                    queue.append(then)
+        node = ("end",)
+        while came[node] is not None:
+            del ahead[came[node]][node]
+            ahead[node][came[node]] = True
+            node = came[node]
+    for s in due:
+        out[s] += ("out", s) not in ahead["in", s]
+    return out
+
+
+def schedule(parts: dict[str, int], start: int = 0, length: int | None = None) -> list[tuple[str, int, int, int, int]]:
+    """(source, block, release, deadline, slot) of each block of ``length`` slots from ``start``; default: one period.
 
     Block i of a source with n of ``period`` slots may run from floor(i * period / n) and must have run by
     ceil((i + 1) * period / n). Each slot takes the released block of the earliest deadline. As the shares
     fill the period, every deadline holds, and a source is never a whole block ahead of or behind its weight.
+    Stretches that follow each other can be scheduled apart, as ``begun`` says which blocks are whose, if
+    no window is longer than a stretch.
     """
     period = sum(parts.values())
-    window = lambda s, i: (i * period // parts[s], -(-(i + 1) * period // parts[s]))
-    waiting = [(window(s, 0)[0], s, 0) for s in parts]
+    end = start + (period if length is None else length)
+    first, last = begun(parts, start), begun(parts, end)
+    waiting = [(_window(parts[s], period, first[s])[0], s, first[s]) for s in parts if first[s] < last[s]]
     heapq.heapify(waiting)
     ready, out = [], []
-    for slot in range(period):
+    for slot in range(start, end):
         while waiting and waiting[0][0] <= slot:
             release, source, block = heapq.heappop(waiting)
-            heapq.heappush(ready, (window(source, block)[1], source, block, release))
-        deadline, source, block, release = heapq.heappop(ready)
+            deadline = _window(parts[source], period, block)[1]
+            heapq.heappush(ready, (min(deadline, end), source, block, release, deadline))
+        _, source, block, release, deadline = heapq.heappop(ready)
         out.append((source, block, release, deadline, slot))
-        if block + 1 < parts[source]:
-            heapq.heappush(waiting, (window(source, block + 1)[0], source, block + 1))
+        if block + 1 < last[source]:
+            heapq.heappush(waiting, (_window(parts[source], period, block + 1)[0], source, block + 1))
     return out
 
 
+def _scheduled(batches: Iterator[pa.RecordBatch], parts: dict[str, int], length: int, blocks: dict[str, int]) -> Iterator[pa.RecordBatch]:
+    """The schedule of each stretch, as far as the sources have blocks."""
+    for batch in batches:
+        for stretch in batch.column(0).to_pylist():
+            plan = [p for p in schedule(parts, stretch * length, length) if p[1] < blocks[p[0]]]
+            columns = list(zip(*plan, strict=True)) or [[]] * 5
+            kinds = (pa.string(), *[pa.int64()] * 4)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], ["__source", "__block", "__release", "__deadline", "__slot"]
+            )
+
+
 def source_key(source: Column) -> Column:
     """A text that stands for a source; null is a source of its own."""
     return F.coalesce(F.concat(F.lit("+"), source.cast("string")), F.lit(""))
@@ -73,8 +159,9 @@ def mixed(
 ) -> DataFrame:
     """All rows and columns of ``documents`` and a struct column of their place in the mixture.
 
-    The struct has block, release, deadline, slot (whole periods included) and position, the order of the
-    mixture, in which a block's rows stand together. Rows of a source are taken in the order of a hash, so
+    The struct has block, release, deadline, slot and position, the order of the mixture, in which a block's
+    rows stand together. Windows follow from the weights over the whole stream, and tasks schedule stretches
+    of it apart, so a source is never a whole block off its weight, however long the stream. Rows of a source are taken in the order of a hash, so
     blocks are mixed; ``order`` is unique but for rows that are wholly equal (default: doc_id).
     ``weights`` maps sources to weights; default: the root of their row counts. A source that isn't in it
     gets the least of them. When a source runs out, its slots stay empty and the others keep their pace:
@@ -93,24 +180,24 @@ def mixed(
         target = {s: given.get(s, min(given.values())) for s in sizes}
     else:
         target = tempered(sizes)
-    parts = shares(target) if sizes else {}
-    period = sum(parts.values())
-    plan = [(s, b, parts[s], r, d, t) for s, b, r, d, t in (schedule(parts) if parts else [])]
-    table = spark.createDataFrame(plan, f"{key} string, __turn long, __share long, __release long, __deadline long, __slot long")
-    share = spark.createDataFrame([(s, n) for s, n in parts.items()], f"{key} string, __parts long")
-    numbered = ranked(keyed, [key], "__order", "__rank").join(share, key)
-    block = F.floor(F.col("__rank") / block_rows)
-    turned = numbered.withColumn("__block", block).withColumn("__turn", F.col("__block") % F.col("__parts"))
-    turned = turned.withColumn("__start", F.floor(F.col("__block") / F.col("__parts")) * period)
-    slot = F.col("__start") + F.col("__slot")
+    if not sizes:
+        target = {"": 1.0}
+    period = slots(len(target))
+    parts = shares(lifted(target, period, 0.5), FINE)
+    blocks, length = {s: -(-n // block_rows) for s, n in sizes.items()}, 2 * period  # a window has up to 2 periods
+    slot = max((_window(parts[s], FINE, n - 1)[1] for s, n in blocks.items()), default=0)
+    fields = f"{key} string, __block long, __release long, __deadline long, __slot long"
+    stretches = spark.range(-(-slot // length)).repartition(spread(documents))
+    table = stretches.mapInArrow(lambda batches: _scheduled(batches, parts, length, blocks), fields)
+    numbered = ranked(keyed, [key], "__order", "__rank").withColumn("__block", F.floor(F.col("__rank") / block_rows))
     place = F.struct(
         F.col("__block").alias("block"),
-        (F.col("__start") + F.col("__release")).alias("release"),
-        (F.col("__start") + F.col("__deadline")).alias("deadline"),
-        slot.alias("slot"),
-        (slot * block_rows + F.col("__rank") % block_rows).alias("position"),
+        F.col("__release").alias("release"),
+        F.col("__deadline").alias("deadline"),
+        F.col("__slot").alias("slot"),
+        (F.col("__slot") * block_rows + F.col("__rank") % block_rows).alias("position"),
     )
-    return turned.join(table, [key, "__turn"]).select(*documents.columns, place.alias(name))
+    return numbered.join(table, [key, "__block"]).select(*documents.columns, place.alias(name))
 
 
 def place_column(documents: DataFrame, mixture: DataFrame) -> str:

@@ -1,7 +1,7 @@
 import random
 from fractions import Fraction
 
-from tallybook.llm.mixing import mixed, schedule, shares
+from tallybook.llm.mixing import FINE, lifted, mixed, schedule, shares, slots
 
 
 def test_every_deadline_holds_and_no_source_strays_by_a_block():
@@ -20,6 +20,42 @@ def test_every_deadline_holds_and_no_source_strays_by_a_block():
         assert done == parts
 
 
+def test_no_source_strays_by_a_block_from_its_given_weight_over_many_periods():
+    random.seed(17)
+    heavy = {"s0": 19 / 2} | {f"s{i}": 1 for i in range(1, 20)}
+    cases = [heavy, {f"s{i}": 40.0 if i == 0 else 1 for i in range(140)}]
+    for _ in range(12):
+        cases.append({f"s{i}": random.choice([0.004, 0.1, 1, 7]) * (0.2 + random.random()) for i in range(random.randint(1, 30))})
+    for weights in cases:
+        period = slots(len(weights), 64)
+        exact = lifted(weights, period, 0.5)
+        parts = shares(exact, FINE)
+        unlifted = [s for s in weights if exact[s] != 1]
+        total = sum(weights[s] for s in unlifted)
+        for s in unlifted:
+            given = (period - len(weights) + len(unlifted)) * weights[s] / total / period
+            assert abs(parts[s] / FINE - given) < 1e-9
+        done, slot = dict.fromkeys(parts, 0), 0
+        for stretch in range(25):
+            for source, block, release, deadline, at in schedule(parts, stretch * 2 * period, 2 * period):
+                assert release <= at < deadline and block == done[source] and at == slot
+                done[source] += 1
+                slot += 1
+                assert all(abs(done[s] * FINE - parts[s] * slot) < FINE for s in (source, random.choice([*parts])))
+
+
+def test_a_long_stream_keeps_the_given_weights(documents):
+    weights = {"a": 0.5003, "b": 0.25, "c": 0.2497}
+    rows = [(i, "t", "aabc"[i % 4]) for i in range(60_000)]
+    found = mixed(documents(rows), weights, block_rows=1).collect()
+    check(rows, found, 1)
+    done = dict.fromkeys(weights, 0)
+    for slot, r in enumerate(sorted(found, key=lambda r: r.mixture.slot)[:59_000]):
+        assert r.mixture.slot == slot
+        done[r.source] += 1
+        assert all(abs(done[s] - w * (slot + 1)) < 1 for s, w in weights.items())
+
+
 def check(rows, found, block_rows):
     assert len(found) == len(rows)
     places = sorted((r.mixture.position, r.source) for r in found)
