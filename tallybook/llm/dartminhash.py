@@ -170,12 +170,13 @@ class Linker:
     """Links between similar texts that share a bucket, found without comparing all members of it.
 
     Every member is compared with the bucket's leader: the node whose buckets hold most members, as the
-    text that others were copied from shares more with them than they do with each other. What isn't
-    like the leader, nor in its class by then, stays open. Buckets with open members are divided by each
-    further band that their members share; in each part one open member leads and is compared with all
-    members of other classes there, then two of those still open, then four, and so on until none is: so copies of one text are done with after a round, and texts that
-    are like no other take a number of rounds that is the logarithm of theirs. No pair is compared twice.
-    A text that two unlike leaders are both compared with ties their classes together.
+    text that others were copied from shares more with them than they do with each other. Buckets with
+    members that are not in the leader's class by then are divided by each further band that their members
+    share. In each part one member leads and is compared with all members of other classes there, then two
+    more, then four, and so on; classes are found anew after each round. A part is done when it is one
+    class, or when all members outside its largest class have led: then every two of its members are of one
+    class or have been compared. So copies of one text are done with after a round, no link inside a part
+    is lost, and the rounds are the logarithm of a part's members. No pair is compared twice.
     """
 
     def __init__(self, nodes: DataFrame, documents: DataFrame, staging: Staging):
@@ -201,13 +202,20 @@ class Linker:
         joined = pairs.join(one, "a").join(two, "b").select("a", "b", "a_text", "b_text")
         return self.staging.table(joined.mapInArrow(_alike, "a long, b long").distinct(), f"links_{self.round}")
 
-    def still_open(self, members: DataFrame, leaders: DataFrame, links: DataFrame) -> DataFrame:
-        """The members (bucket, node) that neither lead their bucket nor are linked with a leader of it."""
-        both = links.unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        both = both.select(F.col("a").alias("node"), F.col("b").alias("leader"))
-        led = members.join(leaders, "bucket").join(both, ["node", "leader"], "left_semi").select("bucket", "node")
-        done = led.unionAll(leaders.select("bucket", F.col("leader").alias("node"))).distinct()
-        return members.join(done, ["bucket", "node"], "left_anti")
+    def regrouped(self, parts: DataFrame, fresh: DataFrame, turn: int) -> DataFrame:
+        """``parts`` with the roots that the links ``fresh`` give, without parts that are one class now."""
+        one, two = (parts.select(F.col("node").alias(x), F.col("root").alias(f"{x}_root")).distinct() for x in "ab")
+        tied = fresh.join(one, "a").join(two, "b").select(F.col("a_root").alias("a"), F.col("b_root").alias("b"))
+        moved = components(tied, self.staging, f"regrouped_{turn}").select(F.col("node").alias("root"), F.col("root").alias("least"))
+        parts = parts.join(moved, "root", "left").withColumn("root", F.coalesce("least", "root")).drop("least")
+        busy = parts.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
+        return self.staging.table(parts.join(busy.select("bucket"), "bucket", "left_semi"), f"parts_{turn}")
+
+    def waiting(self, parts: DataFrame) -> DataFrame:
+        """The members that have not led and are not of the largest class of their part."""
+        sizes = parts.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n"))
+        largest = sizes.groupBy("bucket").agg(F.max(F.struct("n", "root")).alias("most")).select("bucket", F.col("most.root").alias("root"))
+        return parts.where("not led").join(largest, ["bucket", "root"], "left_anti").select("bucket", "node", "weight", "root")
 
     def links(self) -> DataFrame:
         compared = self.staging.table(_pairs(self.members), "compared_0")
@@ -229,17 +237,22 @@ class Linker:
         )
         busy = parts.groupBy("bucket").agg(F.max("open").alias("any"), F.min("root").alias("low"), F.max("root").alias("high"))
         parts = self.staging.table(parts.join(busy.where("any and low <> high").select("bucket"), "bucket", "left_semi"), "parts")
-        left, turn = parts.where("open").drop("open"), 0
+        parts, turn = parts.select("bucket", "node", "weight", "root", F.lit(False).alias("led")), 0
         place = F.row_number().over(Window.partitionBy("bucket").orderBy(F.xxhash64("node"), "node"))
-        while not left.isEmpty():
-            leaders = left.withColumn("place", place).where(F.col("place") <= 2**turn)
+        while True:
+            leaders = self.waiting(parts).withColumn("place", place).where(F.col("place") <= 2**turn)
             leaders = leaders.select("bucket", *[F.col(c).alias(x) for c, x in (("node", "leader"), ("weight", "leader_weight"), ("root", "leader_root"))])
             turn += 1
+            leaders = self.staging.table(leaders, f"leaders_{turn}")
+            if leaders.isEmpty():
+                return links
             fresh = _pairs(parts.join(leaders, "bucket").where("root <> leader_root"))
             fresh = self.staging.table(fresh.join(compared, ["a", "b"], "left_anti"), f"compared_{turn}")
-            compared, links = compared.unionAll(fresh), links.unionAll(self.alike(fresh))
-            left = self.staging.table(self.still_open(left, leaders.select("bucket", "leader"), links), f"open_{turn}")
-        return links
+            found = self.alike(fresh)
+            compared, links = compared.unionAll(fresh), links.unionAll(found)
+            leading = leaders.select("bucket", F.col("leader").alias("node"), F.lit(True).alias("leads"))
+            parts = parts.join(leading, ["bucket", "node"], "left").withColumn("led", F.col("led") | F.coalesce("leads", F.lit(False))).drop("leads")
+            parts = self.regrouped(parts, found, turn)
 
 
 def classes(documents: DataFrame, staging: Staging) -> DataFrame:

@@ -4,9 +4,10 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import functions as F
 
 from tallybook.llm.components import components
-from tallybook.llm.dartminhash import buckets, classes, shingles, signatures, units
+from tallybook.llm.dartminhash import Linker, buckets, classes, content, shingles, signatures, units
 from tallybook.llm.wordhash import chunks
 
 
@@ -80,6 +81,35 @@ def test_a_member_that_the_leader_misses_still_links(documents, staging):
     assert {r.class_id for r in classes(documents(rows), staging).collect()} == set(brute(rows).values()) == {0}
 
 
+def test_members_linked_with_unlike_leaders_are_still_compared(spark, staging):
+    def text(word, places):
+        return " ".join(f"c{i}" if i in places else f"{word}{i}" for i in range(400))
+
+    # a chain one - a - b - two, whose ends lead before its middle
+    one, two, other, a, b = (r.id for r in spark.range(1, 6).orderBy(F.xxhash64("id"), "id").collect())
+    steps = {node: set(range(10, 10 + 120 * k, 20)) for k, node in enumerate((one, a, b, two))}
+    rows = [(0, text("x", ())), (other, text("y", ()))] + [(node, text("w", places)) for node, places in steps.items()]
+    assert len(set(brute(rows).values())) == 3
+    frame = spark.createDataFrame([(i, i, t, 396, [7, 8]) for i, t in rows], "node long, doc_id long, text string, weight long, bands array<long>")
+    nodes = staging.table(frame.withColumn("content", content(F.col("text"))).drop("text"), "nodes")
+    links = Linker(nodes, frame.select("doc_id", "text"), staging).links()
+    assert {r.node for r in components(links, staging, "found").collect()} == {one, two, a, b} - {min(one, two, a, b)}
+
+
+def test_drifting_families_in_shared_buckets(documents, staging):
+    random.seed(22)
+    rows = []
+    for family in range(4):
+        members = [[f"f{family}w{i}" for i in range(160)]]
+        while len(members) < 60:
+            words = list(random.choice(members))
+            for _ in range(random.randint(1, 3)):
+                words[random.randrange(160)] = f"n{random.random()}"
+            members.append(words)
+        rows += [(family * 60 + k, " ".join(words)) for k, words in enumerate(members)]
+    assert {r.doc_id: r.class_id for r in classes(documents(rows), staging).collect()} == brute(rows)
+
+
 def test_odd_rows(documents, staging, odd):
     found = classes(documents(odd), staging).collect()
     assert len(found) == len(odd)
