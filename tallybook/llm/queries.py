@@ -8,7 +8,8 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybook.llm import dartminhash, mixing, neighbours, packing, personal_data, quality, repeats, secret_scan, sharding, toxicity
+from tallybook.llm import dartminhash, divergence, fill_middle, mixing, neighbours, ngram_join, packing, personal_data, quality, repeats, secret_scan
+from tallybook.llm import sharding, toxicity
 from tallybook.llm.staging import Staging
 
 QUERIES: dict = {}
@@ -191,3 +192,115 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five nearest vectors of every 50th vector, against all rows."""
     return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, Staging(spark))
+
+
+@query
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far every source is from the others of its language, and its ten most telling terms."""
+    found = divergence.audit(table(spark, sf_dir, "documents"), Staging(spark))
+    return found.select("lang", "source", "part", "item", "value", "rank")
+
+
+ORACLE_SQL["op11_divergence"] = r"""
+WITH docs AS (
+    SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text
+    FROM documents
+), terms AS (
+    SELECT row, lang, source, translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term
+    FROM (SELECT row, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM docs)
+), kept AS (
+    SELECT lang, term FROM terms GROUP BY lang, term HAVING count(DISTINCT row) >= 10
+), groups AS (
+    SELECT DISTINCT lang, source FROM docs
+), counts AS (
+    SELECT lang, source, term, count(*) AS n FROM terms SEMI JOIN kept USING (lang, term) GROUP BY lang, source, term
+), cells AS (
+    SELECT g.lang, g.source, k.term, coalesce(c.n, 0)::HUGEINT AS n
+    FROM groups g JOIN kept k ON k.lang = g.lang LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+), p AS (
+    SELECT lang, source, term, n, 1 + (1000000000 * (n + 2)) // (sum(n) OVER w + 2 * count(*) OVER w) AS p
+    FROM cells WINDOW w AS (PARTITION BY lang, source)
+), whole AS (
+    SELECT lang, term, sum(n)::HUGEINT AS n FROM cells GROUP BY lang, term
+), q AS (
+    SELECT lang, term, 1 + (1000000000 * (n + 2)) // (sum(n) OVER w + 2 * count(*) OVER w) AS q
+    FROM whole WINDOW w AS (PARTITION BY lang)
+), pair AS (
+    SELECT a.lang, a.source, b.source AS item, coalesce(v.value, 0)::BIGINT AS value
+    FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN (
+        SELECT x.lang, x.source, y.source AS other, sum(((x.p - y.p) * (x.p - y.p)) // (x.p + y.p)) AS value
+        FROM p x JOIN p y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY ALL
+    ) v ON v.lang = a.lang AND v.source = a.source AND v.other = b.source
+), term AS (
+    SELECT p.lang, p.source, p.term AS item, (((p - q) * (p - q)) // (p + q))::BIGINT AS value
+    FROM p JOIN q ON q.lang = p.lang AND q.term = p.term WHERE n > 0 AND p > q
+), ranked AS (
+    SELECT lang, source, 'pair' AS part, item, value, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS rank FROM pair
+    UNION ALL
+    SELECT lang, source, 'term', item, value, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) FROM term
+)
+SELECT lang, source, part, item, value, rank::INTEGER AS rank FROM ranked WHERE part = 'pair' OR rank <= 10
+"""
+
+
+@query
+def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document rearranged for filling in its middle, and back."""
+    made = fill_middle.fill_middle(table(spark, sf_dir, "documents"))
+    back = fill_middle.restored(F.col("output"), F.col("form"))
+    digests = [F.sha2(F.encode(c, "UTF-8"), 256).alias(f"{name}_sha256") for name, c in (("output", F.col("output")), ("restored", back))]
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
+
+
+ORACLE_SQL["op12_fill_middle"] = r"""
+WITH units AS (
+    SELECT doc_id, coalesce(text, '') AS t, sha256('42:' || doc_id) AS h,
+           regexp_extract_all(t, '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS u
+    FROM documents
+), drawn AS (
+    SELECT doc_id, t, u, len(u) AS n, ('0x' || h[1:8])::BIGINT % (n + 1) AS one, ('0x' || h[9:16])::BIGINT % (n + 1) AS two,
+           t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR ('0x' || h[17:24])::BIGINT % 100 >= 50 AS plain,
+           ('0x' || h[25:32])::BIGINT % 100 < 80 AS spm
+    FROM units
+), cut AS (
+    SELECT *, array_to_string(u[1:least(one, two)], '') AS prefix, array_to_string(u[least(one, two) + 1:greatest(one, two)], '') AS middle,
+           array_to_string(u[greatest(one, two) + 1:n], '') AS suffix
+    FROM drawn
+)
+SELECT doc_id, n::BIGINT AS n, CASE WHEN plain THEN 'plain' WHEN spm THEN 'spm' ELSE 'psm' END AS form,
+       CASE WHEN NOT plain THEN length(prefix)::BIGINT END AS prefix_chars, CASE WHEN NOT plain THEN length(middle)::BIGINT END AS middle_chars,
+       sha256(CASE WHEN plain THEN t WHEN spm THEN '<S>' || suffix || '<P>' || prefix || '<M>' || middle
+                   ELSE '<P>' || prefix || '<S>' || suffix || '<M>' || middle END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM cut
+"""
+
+
+@query
+def op13_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The component of every document under links of 0.9 similarity on three-word shingles."""
+    return ngram_join.joined(table(spark, sf_dir, "documents"), Staging(spark))
+
+
+ORACLE_SQL["op13_ngram_join"] = r"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, list_filter(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
+    FROM documents
+), shingles AS (
+    SELECT DISTINCT doc_id, array_to_string(w[i:i + 2], ' ') AS s FROM words, unnest(range(1, greatest(len(w) - 1, 2))) AS t(i) WHERE len(w) > 0
+), sizes AS (
+    SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), shared AS (
+    SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY ALL
+), links AS (
+    SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * c >= 90 * (x.n + y.n - c)
+), reach AS (
+    SELECT doc_id AS a, doc_id AS b FROM documents
+    UNION
+    SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b
+)
+SELECT d.doc_id, coalesce(s.n, 0)::BIGINT AS n_shingles, min(r.b) AS component_id
+FROM documents d LEFT JOIN sizes s USING (doc_id) JOIN reach r ON r.a = d.doc_id GROUP BY ALL
+"""
