@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallybook.llm.components import components
@@ -16,9 +16,11 @@ from tallybook.llm.wordhash import Words, chunks, mix, range_hash
 SHINGLE = 3
 #: Two sets link when PARTS * shared >= LINKED * either, as whole numbers: a similarity of 0.9.
 LINKED, PARTS = 90, 100
-#: Sets and elements that one task multiplies at a time; larger clusters are cut into blocks.
+#: Sets and elements that one task multiplies at a time; larger groups are cut into blocks.
 BLOCK_SETS = 1024
 BLOCK_ELEMENTS = 1 << 22
+#: Up to so many blocks of a group all meet each other at once.
+FEW_BLOCKS = 8
 #: Columns multiplied at once, and the share of a block's sets from which a column is multiplied densely.
 _COLUMNS_AT_ONCE = 4096
 _DENSE = 1 / 32
@@ -175,17 +177,19 @@ def stars(links: np.ndarray) -> Iterator[tuple[int, int]]:
 
 
 def _multiply(table: pa.Table) -> pa.Table:
-    """The components of each cluster among the sets of a block, as links with their first sets."""
+    """The components of each group among the sets of a block, as links with their least sets."""
     found = []
     table = table.combine_chunks()
     if table.num_rows:
         parts = [(rows.start, *sets_of(words)) for rows, words in chunks(table.column("text"))]
         row = np.concatenate([d + at for at, d, _ in parts])
         element = np.concatenate([e for _, _, e in parts])
-        node, cluster = (table.column(c).to_numpy() for c in ("node", "cluster"))
-        order = np.argsort(cluster, kind="stable")
+        node, group = (table.column(c).to_numpy() for c in ("node", "group"))
+        order = np.lexsort((node, group))
+        new = np.append(True, (np.diff(node[order]) != 0) | (np.diff(group[order]) != 0))
+        order = order[new]  # rows that are repeated as a whole are one set
         bounds = np.searchsorted(row, np.arange(len(node) + 1))
-        for members in np.split(order, np.flatnonzero(np.diff(cluster[order])) + 1):
+        for members in np.split(order, np.flatnonzero(np.diff(group[order])) + 1):
             if len(members) < 2:
                 continue
             sizes = bounds[members + 1] - bounds[members]
@@ -196,7 +200,7 @@ def _multiply(table: pa.Table) -> pa.Table:
     return pa.table([pa.array(c, pa.int64()) for c in columns], ["a", "b"])
 
 
-def content_key(text: str = "text"):
+def content_key(text: str = "text") -> Column:
     """128 bits that stand for a text; null is like an empty one."""
     return F.unhex(F.md5(F.encode(F.coalesce(F.col(text), F.lit("")), "UTF-8")))
 
@@ -204,55 +208,72 @@ def content_key(text: str = "text"):
 class Joiner:
     """Links between different sets, found block by block.
 
-    Sets with a key in common lie in one cluster, so all links do. Clusters go to bins, as many as keep a bin to
-    about a block; one that is larger than a block is dealt at random into blocks, twice over, which ties
-    most of it together at a cost in proportion to its sets. What may still be linked then has one side
-    outside the cluster's largest component, so blocks of these meet all blocks of their cluster. Only
-    links with the first set of each component leave a task.
+    All sets that have a key in common with one leader are a group, so two sets that link have a group in
+    common. Groups go to bins, as many as keep a bin below a block. A group larger than a block is dealt
+    at random into blocks, and each two of its blocks meet in a task. A group of more than ``FEW_BLOCKS``
+    blocks is first only multiplied block by block, twice over with other blocks, which ties most of it
+    together at a cost in proportion to its sets; what may still be linked then has one side outside the
+    group's largest component, so blocks of these meet all blocks. Only links with the first set of each
+    component leave a task.
     """
 
-    def __init__(self, nodes: DataFrame, texts: DataFrame, staging: Staging):
-        """nodes: node, n, cluster; texts: node, text."""
+    def __init__(self, groups: DataFrame, documents: DataFrame, staging: Staging):
+        """groups: group, node, n, doc_id, content; documents: doc_id, content, text."""
         self.staging = staging
         weight = F.greatest(F.count(F.lit(1)) / BLOCK_SETS, F.sum("n") / BLOCK_ELEMENTS)
-        sizes = nodes.groupBy("cluster").agg(F.ceil(weight).cast("long").alias("blocks"), weight.alias("weight"))
+        sizes = groups.groupBy("group").agg(F.ceil(weight).cast("long").alias("blocks"), weight.alias("weight"))
         self.sizes = staging.table(sizes, "sizes")
-        self.texts = staging.table(nodes.join(texts, "node").join(self.sizes.select("cluster", "blocks"), "cluster"), "texts")
+        placed = groups.join(self.sizes, "group").select("group", "node", "doc_id", "content", "blocks")
+        # No broadcast: neither side has a bound.
+        same = (documents["content"] == placed["content"]) & documents["doc_id"].eqNullSafe(placed["doc_id"])
+        self.texts = documents.hint("merge").join(placed, same).select("group", "node", "blocks", "text")
 
     def product(self, dealt: DataFrame, name: str) -> DataFrame:
         """Links in each group of (bin, block)."""
-        links = dealt.select("bin", "block", "cluster", "node", "text").groupBy("bin", "block").applyInArrow(_multiply, "a long, b long")
-        return self.staging.table(links.distinct(), name)
+        links = dealt.select("bin", "block", "group", "node", "text").groupBy("bin", "block").applyInArrow(_multiply, "a long, b long")
+        return self.staging.table(links, name)
 
-    def dealt(self, seed: int) -> DataFrame:
-        """Sets of large clusters in random blocks."""
-        block = F.pmod(F.xxhash64("node", F.lit(seed)), F.col("blocks"))
-        return self.texts.where("blocks > 1").select(F.col("cluster").alias("bin"), block.alias("block"), "cluster", "node", "text", "blocks")
+    def block(self, seed: int) -> Column:
+        """A random block of each set of a group."""
+        return F.pmod(F.xxhash64("node", F.lit(seed)), F.col("blocks"))
 
     def links(self) -> DataFrame:
-        total = self.sizes.where("blocks = 1").agg(F.sum("weight")).first()[0] or 0
-        small = self.texts.where("blocks = 1").withColumn("bin", F.pmod(F.xxhash64("cluster"), F.lit(1 + int(4 * total))))
-        links = self.product(small.withColumn("block", F.lit(-1).cast("long")), "links_small")
-        if self.sizes.where("blocks > 1").isEmpty():
+        summed = self.sizes.agg(F.sum(F.when(F.col("blocks") == 1, F.col("weight"))), F.max("blocks")).first()
+        bins = 1 + int(4 * (summed[0] or 0))
+        mine = self.block(1)
+        beside = F.transform(
+            F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1), lambda other: F.least(mine, other) * F.col("blocks") + F.greatest(mine, other)
+        )
+        alone = F.array(F.lit(-1).cast("long"))
+        dealt = self.texts.where(F.col("blocks") <= FEW_BLOCKS).select(
+            F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("group"), F.lit(bins))).otherwise(F.col("group")).alias("bin"),
+            F.explode(F.when(F.col("blocks") == 1, alone).otherwise(beside)).alias("block"),
+            "group",
+            "node",
+            "text",
+        )
+        links = self.product(dealt, "links")
+        if (summed[1] or 0) <= FEW_BLOCKS:
             return links
-        for seed in (1, 2):
-            links = links.unionAll(self.product(self.dealt(seed), f"links_{seed}"))
-        roots = components(links, self.staging, "tied")
-        large = self.dealt(1).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        counted = large.groupBy("cluster", "root").agg(F.count(F.lit(1)).alias("sets"))
-        largest = counted.groupBy("cluster").agg(F.max(F.struct("sets", "root")).alias("most")).select("cluster", F.col("most.root").alias("most"))
-        large = self.staging.table(large.join(largest, "cluster").withColumn("open", F.col("root") != F.col("most")), "large")
-        asking = large.where("open").select("cluster", F.col("block").alias("asking")).distinct()
-        asking = self.staging.table(asking, "asking")
-        if asking.isEmpty():
-            return links
-        met = F.concat_ws("/", "cluster", "asking").alias("bin")
-        asked = large.join(asking, "cluster").where("not open or block > asking")
-        asked = asked.select(met, "block", "cluster", "node", "text")
-        own = large.where("open").withColumnRenamed("block", "asking")
+        return links.unionAll(self.large())
+
+    def large(self) -> DataFrame:
+        """The links of groups of many blocks."""
+        texts = self.texts.where(F.col("blocks") > FEW_BLOCKS)
+        seeded = [texts.select(F.col("group").alias("bin"), self.block(s).alias("block"), "group", "node", "text") for s in (1, 2)]
+        tied = self.product(seeded[0], "tied_1").unionAll(self.product(seeded[1], "tied_2"))
+        roots = components(tied, self.staging, "tied")
+        rooted = texts.withColumn("block", self.block(1)).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        counted = rooted.groupBy("group", "root").agg(F.count(F.lit(1)).alias("sets"))
+        largest = counted.groupBy("group").agg(F.max(F.struct("sets", "root")).alias("most")).select("group", F.col("most.root").alias("most"))
+        rooted = self.staging.table(rooted.join(largest, "group").withColumn("open", F.col("root") != F.col("most")), "rooted")
+        asking = self.staging.table(rooted.where("open").select("group", F.col("block").alias("asking")).distinct(), "asking")
+        asked = rooted.join(asking, "group").where("not open or block > asking")
+        own = rooted.where("open").withColumnRenamed("block", "asking")
         beside = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block")
-        own = own.select(met, beside, "cluster", "node", "text")
-        return links.unionAll(self.product(asked.unionAll(own), "links_open"))
+        met = F.concat_ws("/", "group", "asking").alias("bin")
+        dealt = asked.select(met, "block", "group", "node", "text").unionAll(own.select(met, beside, "group", "node", "text"))
+        return tied.unionAll(self.product(dealt, "links_open"))
 
 
 def joined(documents: DataFrame, staging: Staging) -> DataFrame:
@@ -277,16 +298,10 @@ def joined(documents: DataFrame, staging: Staging) -> DataFrame:
     firsts = signed.join(same.select(F.col("node").alias("row")), "row", "left_semi")
     firsts = staging.table(firsts.select(F.col("row").alias("node"), "doc_id", "content", "n", "parts"), "firsts")
     keyed = firsts.select("node", F.explode("parts").alias("part"))
-    leaders = keyed.groupBy("part").agg(F.min("node").alias("leader"), F.count(F.lit(1)).alias("sets")).where("sets > 1")
-    leaders = staging.table(leaders.select("part", "leader"), "leaders")
-    near = keyed.join(leaders, "part").where("node <> leader").select(F.col("node").alias("a"), F.col("leader").alias("b"))
-    clusters = components(near.distinct(), staging, "cluster")
-    clusters = staging.table(clusters.unionAll(clusters.select(F.col("root").alias("node"), "root").distinct()), "clusters")
-    nodes = firsts.join(clusters, "node").select("node", "n", "doc_id", "content", F.col("root").alias("cluster"))
-    nodes = staging.table(nodes, "nodes")
-    one = (rows["content"] == nodes["content"]) & rows["doc_id"].eqNullSafe(nodes["doc_id"])
-    texts = rows.join(nodes, one).select("node", rows["text"]).dropDuplicates(["node"])
-    links = Joiner(nodes.select("node", "n", "cluster"), texts, staging).links()
+    leaders = keyed.groupBy("part").agg(F.min("node").alias("group"), F.count(F.lit(1)).alias("sets")).where("sets > 1")
+    leaders = staging.table(leaders.select("part", "group"), "leaders")
+    groups = keyed.join(leaders, "part").select("group", "node").distinct().join(firsts.drop("parts"), "node")
+    links = Joiner(staging.table(groups, "groups"), rows, staging).links()
     roots = components(links, staging, "component")
     placed = staging.table(same.join(roots, "node", "left").select("set_key", "least", F.coalesce("root", "node").alias("root")), "placed")
     least = placed.groupBy("root").agg(F.min("least").alias("component_id"))

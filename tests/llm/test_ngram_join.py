@@ -69,11 +69,13 @@ def test_same_as_brute_force(documents, staging, corpus, odd):
     assert found(documents(rows), staging) == brute(rows)
 
 
+@pytest.mark.parametrize("few", [1, 8])
 @pytest.mark.parametrize("edits, copies", [(1, 60), (3, 60)])
-def test_a_cluster_of_many_blocks(documents, staging, monkeypatch, edits, copies):
+def test_a_group_of_many_blocks(documents, staging, monkeypatch, edits, copies, few):
     """Near copies without their first text: some link, some don't, and blocks of eight see few at once."""
     random.seed(edits)
     monkeypatch.setattr(join, "BLOCK_SETS", 8)
+    monkeypatch.setattr(join, "FEW_BLOCKS", few)
     text = " ".join(random.choices("abcdefghijklmnopqrstuvw", k=90))
     rows = [(i, near(text, random.randint(0, edits) + 1)) for i in range(copies)]
     want = brute(rows)
