@@ -261,7 +261,7 @@ class Joiner:
         """The links of groups of many blocks."""
         texts = self.texts.where(F.col("blocks") > FEW_BLOCKS)
         seeded = [texts.select(F.col("group").alias("bin"), self.block(s).alias("block"), "group", "node", "text") for s in (1, 2)]
-        tied = self.product(seeded[0], "tied_1").unionAll(self.product(seeded[1], "tied_2"))
+        tied = self.product(seeded[0], "links_first").unionAll(self.product(seeded[1], "links_second"))
         roots = components(tied, self.staging, "tied")
         rooted = texts.withColumn("block", self.block(1)).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
         counted = rooted.groupBy("group", "root").agg(F.count(F.lit(1)).alias("sets"))
