@@ -28,6 +28,7 @@ from tallybook.operators.row_checks import (
 from tallybook.sinks import files
 from tallybook.sources import maps, orders, seller
 from tallybook.sources.schemas import STAGED_COLUMNS
+from tallybook.storage import work_folder
 
 BOOKED_MONTH = Period.month(1996, 12)
 
@@ -160,21 +161,24 @@ def previous_month_window(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _step_counts(b: Booking) -> DataFrame:
-    """The counts of a run, by its own functions, on frames that were not written before."""
-    seller_rows = counts.checked_counts(b.checked, "seller_rows")
-    steps = {
-        "extracted": b.extract,
-        "beneficiary_map": b.beneficiary_map,
-        "ledger_map": b.ledger_map,
-        "missing_beneficiary": matching.missing_beneficiary(b.sc, b.beneficiary_map),
-        "orders": b.oms,
-        "missing_ledger_keys": matching.missing_ledger_keys(b.item_prices_valid, b.ledger_map),
-    }
-    return (
-        counts.step_counts(steps)
-        .unionByName(seller_rows.replace("seller_rows", "without_retail", "step"))
-        .unionByName(counts.checked_counts(b.item_prices_checked, "item_prices"))
-    )
+    """The counts of a run, taken as a run takes them: while its tables are written."""
+    spark = b.sources.spark
+    seen = counts.StepCounts()
+    with work_folder(spark, spark.conf.get("spark.sql.warehouse.dir")) as work:
+        for name in ("ledger_map", "beneficiary_map"):
+            setattr(b, name, seen.stage(getattr(b, name), f"{work}/{name}", counts.rows(name)))
+        extracted = in_period(b.tables["transaction"], "created_at", b.period)
+        seen["extracted"] = extracted.count()
+        both = counts.checked_rows("without_retail", "seller_rows")
+        b.checked = seen.stage(b.checked, f"{work}/seller_rows", both)
+        lacking = matching.missing_beneficiary(b.sc, b.beneficiary_map)
+        seen.stage(lacking, f"{work}/no_code", counts.rows("missing_beneficiary"))
+        b.oms = seen.stage(b.oms, f"{work}/orders", counts.rows("orders"))
+        both = counts.checked_rows("item_prices", "item_prices")
+        b.item_prices_checked = seen.stage(b.item_prices_checked, f"{work}/item_prices", both)
+        lacking = matching.missing_ledger_keys(b.item_prices_valid, b.ledger_map)
+        seen.stage(lacking, f"{work}/no_ledger", counts.rows("missing_ledger_keys"))
+    return spark.createDataFrame(list(seen.items()), "step string, rows bigint")
 
 
 def _named(rows: DataFrame) -> DataFrame:

@@ -28,6 +28,14 @@ class Period:
             return cls.month(as_of.year - 1, 12)
         return cls.month(as_of.year, as_of.month - 1)
 
+    def months(self) -> list[date]:
+        """The first days of the months that the period touches."""
+        out, month = [], self.start.replace(day=1)
+        while month < self.end:
+            out.append(month)
+            month = Period.month(month.year, month.month).end
+        return out
+
 
 def in_period(df: DataFrame, column: str, period: Period | None) -> DataFrame:
     """Rows of the period. A plain range on the column, so it prunes files and row groups."""

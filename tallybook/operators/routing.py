@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tallybook import fixed
 
@@ -28,6 +29,13 @@ def bucket(sc: DataFrame, name: str) -> DataFrame:
     return sc.where(_in(fixed.BUCKETS[name]))
 
 
+def category(written: DataFrame, name: str, commented: bool = False) -> DataFrame:
+    """One category of the written table of all; only its own files are read, and of the commented
+    subset only those."""
+    rows = written.where(F.col("bucket") == name)
+    return (rows.where("commented") if commented else rows).drop("bucket", "commented")
+
+
 def commented(rows: DataFrame) -> DataFrame:
     return rows.where("comment IS NOT NULL")
 

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tallybook.functions.periods import Period, in_period
 from tallybook.functions.rules import invalid_rows, valid_rows
 from tallybook.operators import enrich, matching, postings, routing
-from tallybook.operators.counts import checked_counts, step_counts
+from tallybook.operators.counts import StepCounts, checked_rows, rows
 from tallybook.operators.gates import MissingBeneficiaryCodes, MissingLedgerKeys, NotBalanced
 from tallybook.operators.row_checks import (
     ITEM_PRICE_REJECT_COLUMNS,
@@ -26,6 +26,7 @@ from tallybook.operators.row_checks import (
     check_seller_rows,
 )
 from tallybook.sinks import files
+from tallybook.sinks.publication import Publication, publication
 from tallybook.sources import maps
 from tallybook.sources.orders import order_extract
 from tallybook.sources.schemas import STAGED_COLUMNS
@@ -40,6 +41,7 @@ DOUBLED_KEYS = "doubled_map_keys"
 BALANCE = "unbalanced_months"
 POSTINGS = "postings"
 TEMPLATE = "posting_template"
+DETAILS = "details"
 
 
 @dataclass(frozen=True)
@@ -51,14 +53,6 @@ class BookingResult:
     counts: Mapping[str, int] = field(default_factory=dict)
 
 
-class _Counts(dict):
-    """Counts of a run, taken from written tables: a repeated task cannot count twice."""
-
-    def add(self, *counted: DataFrame) -> None:
-        for df in counted:
-            self.update({row["step"]: row["rows"] for row in df.collect()})
-
-
 def run_booking(
     tables: Mapping[str, DataFrame],
     out: str,
@@ -73,20 +67,28 @@ def run_booking(
     and the run continues; a doubled map key, a seller without beneficiary code or a missing
     ledger key is logged and stops the run, and so do postings that do not sum to zero. Each
     log is written in every run, with only its heading if there is nothing to tell, so none is
-    left over from an earlier run. Postings and template are replaced only by a run that got
-    that far. ``details`` also exports the row-level tables.
+    left over from an earlier run. ``details`` also exports the row-level tables.
+
+    Postings, template and details are published together by a run that got that far. A run
+    replaces the months it booked, also those that have no postings any more, and leaves the other
+    months that lie in ``out``. The template is one file for each month, in the order of the postings.
     """
     spark = tables["transaction"].sparkSession
     if period is None and not every_month:
         period = Period.previous_month(date.today())
-    with work_folder(spark, out) as work:
-        return _book(tables, out, None if every_month else period, details, work)
+    with work_folder(spark, out) as work, publication(spark, out) as new:
+        return _book(tables, out, None if every_month else period, details, work, new)
 
 
 def _book(
-    tables: Mapping[str, DataFrame], out: str, period: Period | None, details: bool, work: str
+    tables: Mapping[str, DataFrame],
+    out: str,
+    period: Period | None,
+    details: bool,
+    work: str,
+    new: Publication,
 ) -> BookingResult:
-    counts = _Counts()
+    counts = StepCounts()
 
     ledger_map = maps.checked_map(
         maps.read_ledger_map(tables["ledger_map"]),
@@ -94,6 +96,7 @@ def _book(
         f"{work}/ledger_map",
         f"{out}/{DOUBLED_KEYS}/ledger_map",
         "ledger map",
+        lambda df, path: counts.stage(df, path, rows("ledger_map")),
     )
     beneficiary_map = maps.checked_map(
         maps.read_beneficiary_map(tables["beneficiary_code_map"]),
@@ -101,40 +104,51 @@ def _book(
         f"{work}/beneficiary_map",
         f"{out}/{DOUBLED_KEYS}/beneficiary_code_map",
         "beneficiary map",
+        lambda df, path: counts.stage(df, path, rows("beneficiary_map")),
     )
     retail = maps.read_retail_list(tables["retail_short_code"])
 
-    # Seller rows.
-    extract = seller_extract(tables, period, retail)
-    checked = stage(check_seller_rows(extract), f"{work}/seller_rows")
-    extracted = in_period(tables["transaction"], "created_at", period)
-    steps = {"extracted": extracted, "beneficiary_map": beneficiary_map, "ledger_map": ledger_map}
-    counts.add(step_counts(steps), checked_counts(checked, "seller_rows"))
-    counts["without_retail"] = counts.pop("seller_rows")
+    # Seller rows. Those of retail sellers are gone before the joins, so all are counted at the source.
+    counts["extracted"] = in_period(tables["transaction"], "created_at", period).count()
+    checked = counts.stage(
+        check_seller_rows(seller_extract(tables, period, retail)),
+        f"{work}/seller_rows",
+        checked_rows("without_retail", "seller_rows"),
+    )
     files.write_csv(invalid_rows(checked), f"{out}/{REJECTED_SELLER_ROWS}", SELLER_REJECT_COLUMNS)
     sc = valid_rows(checked).select(*STAGED_COLUMNS)
 
     # Every seller needs a beneficiary code.
-    missing = stage(matching.missing_beneficiary(sc, beneficiary_map), f"{work}/no_code")
-    counts.add(step_counts({"missing_beneficiary": missing}))
+    missing = counts.stage(
+        matching.missing_beneficiary(sc, beneficiary_map),
+        f"{work}/no_code",
+        rows("missing_beneficiary"),
+    )
     log = f"{out}/{MISSING_SHORT_CODES}"
     files.write_missing_short_codes(missing, log)
     if counts["missing_beneficiary"]:
         raise MissingBeneficiaryCodes("sellers without beneficiary code", log)
 
     # Item prices with their orders.
-    oms = stage(order_extract(tables, matching.unique_item_ids(sc)), f"{work}/orders")
-    matched = check_item_price_rows(matching.match_orders(sc, oms))
-    checked_prices = stage(matched, f"{work}/item_prices")
-    counts.add(step_counts({"orders": oms}), checked_counts(checked_prices, "item_prices"))
+    oms = counts.stage(
+        order_extract(tables, matching.unique_item_ids(sc)), f"{work}/orders", rows("orders")
+    )
+    checked_prices = counts.stage(
+        check_item_price_rows(matching.match_orders(sc, oms)),
+        f"{work}/item_prices",
+        checked_rows("item_prices", "item_prices"),
+    )
     files.write_csv(
         invalid_rows(checked_prices), f"{out}/{REJECTED_ITEM_PRICES}", ITEM_PRICE_REJECT_COLUMNS
     )
     item_prices = valid_rows(checked_prices)
 
     # Every item price needs a ledger.
-    lacking = stage(matching.missing_ledger_keys(item_prices, ledger_map), f"{work}/no_ledger")
-    counts.add(step_counts({"missing_ledger_keys": lacking}))
+    lacking = counts.stage(
+        matching.missing_ledger_keys(item_prices, ledger_map),
+        f"{work}/no_ledger",
+        rows("missing_ledger_keys"),
+    )
     log = f"{out}/{MISSING_KEYS}"
     files.write_missing_ledger_keys(lacking, log)
     if counts["missing_ledger_keys"]:
@@ -148,14 +162,15 @@ def _book(
     files.write_csv(balances.where("NOT balanced"), log)
     if not balances.where("NOT balanced").isEmpty():
         raise NotBalanced("postings do not sum to zero", log)
-    template = stage(postings.amounts(sums), f"{out}/{POSTINGS}", "booking_period")
-    files.write_template(template, f"{out}/{TEMPLATE}")
-    counts.add(step_counts({"posting_lines": template}))
-
+    template = counts.stage(
+        postings.amounts(sums), new.path(POSTINGS), rows("posting_lines"), "booking_period"
+    )
+    months = None if period is None else period.months()
+    files.write_template(template, new.path(TEMPLATE), months or ())
     if details:
         prices = enrich.price_rows(item_prices, ledger_map, beneficiary_map)
         _write_details(
-            out,
+            new.path(DETAILS),
             sc,
             oms,
             checked_prices.drop("error"),
@@ -164,11 +179,20 @@ def _book(
             enrich.commission_rows(sc, beneficiary_map),
             template,
         )
-    return BookingResult(template, out, dict(counts))
+        new.replace_table(DETAILS)
+    booked_months = None if months is None else [str(month) for month in months]
+    new.replace_months(POSTINGS, booked_months)
+    new.replace_months(TEMPLATE, booked_months)
+    new.commit()
+
+    published = template.sparkSession.read.schema(template.schema).parquet(f"{out}/{POSTINGS}")
+    if months is not None:
+        published = published.where(F.col("booking_period").isin(months))
+    return BookingResult(published, out, dict(counts))
 
 
 def _write_details(
-    out: str,
+    folder: str,
     sc: DataFrame,
     oms: DataFrame,
     matched: DataFrame,
@@ -178,7 +202,7 @@ def _write_details(
     template: DataFrame,
 ) -> None:
     """Row-level tables and single postings as files, for checks by hand."""
-    folder = f"{out}/details"
+    files.write_categories(routing.route(sc), f"{folder}/{files.CATEGORIES}")
     files.write_ids(sc, f"{folder}/sc")
     files.write_ids(oms, f"{folder}/oms")
     for kind in ("item_price_credit", "item_price"):

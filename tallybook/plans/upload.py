@@ -4,16 +4,15 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from tallybook.functions.rules import invalid_rows
 from tallybook.operators.uploads import UPLOADS, Upload, check_upload, plan_append
 from tallybook.sinks.files import write_csv
-from tallybook.sources.readers import Location, conform, read_upload
-from tallybook.sources.schemas import MAP_TABLES
+from tallybook.sources.readers import Location, read_upload
 from tallybook.storage import stage, work_folder
+from tallybook.store import store
 
 
 @dataclass(frozen=True)
@@ -26,18 +25,6 @@ class UploadResult:
     log: str
 
 
-def _stored(spark: SparkSession, upload: Upload, target: Location) -> DataFrame:
-    """The rows stored so far; none before the first upload."""
-    reader = spark.read.format(target.format).options(**target.options)
-    try:
-        rows = reader.load(target.path) if target.path else reader.load()
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], upload.schema)
-    return conform(rows, MAP_TABLES[upload.table])
-
-
 def run_upload(
     spark: SparkSession,
     kind: str,
@@ -50,8 +37,8 @@ def run_upload(
 
     ``kind`` is ``benef_code_map``, ``retail_supplier`` or ``ledger_map``. If any row is
     invalid, all invalid rows go to ``log`` and nothing is stored. Rows whose key is stored
-    already, or came earlier in the file, are refused one by one and logged. Turn ``multi_line``
-    off to read a large file in pieces; its values must then hold no line breaks.
+    already, or came earlier in the file, are refused one by one and logged; so are those that another
+    upload stores at the same time. ``multi_line=False`` reads files faster whose values hold no line breaks.
     """
     with work_folder(spark, log.rstrip("/").rpartition("/")[0]) as work:
         return _upload(spark, UPLOADS[kind], path, target, log, multi_line, work)
@@ -75,13 +62,16 @@ def _upload(
     if refused:
         return UploadResult(False, 0, refused, log)
 
-    # Written before the append, which would otherwise turn its own rows into stored ones.
-    stored = _stored(spark, upload, target)
-    planned = stage(plan_append(checked.drop("error"), stored, upload), f"{work}/planned")
-    accepted = planned.where(F.col("error").isNull()).select(*upload.columns)
-    writer = accepted.write.format(target.format).options(**target.options).mode("append")
-    writer.save(target.path) if target.path else writer.save()
-    counted = planned.groupBy(F.col("error").isNull().alias("ok")).count().collect()
-    numbers = {row["ok"]: row["count"] for row in counted}
+    # What was planned is written first: after the append its own rows would be stored ones.
+    kept = store(spark, target, upload)
+    while True:
+        version = kept.version()
+        plan = plan_append(checked.drop("error"), kept.rows(), upload)
+        planned = stage(plan, f"{work}/planned")
+        counted = planned.groupBy(F.col("error").isNull().alias("ok")).count().collect()
+        numbers = {row["ok"]: row["count"] for row in counted}
+        accepted = planned.where(F.col("error").isNull()).select(*upload.columns)
+        if not numbers.get(True) or kept.append(accepted, version):
+            break
     write_csv(invalid_rows(planned), log, shown)
     return UploadResult(True, numbers.get(True, 0), numbers.get(False, 0), log)

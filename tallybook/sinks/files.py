@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallybook import fixed
+from tallybook.filesystem import FileSystem
 from tallybook.operators.enrich import COMMISSION_COLUMNS, PRICE_COLUMNS
 from tallybook.operators.postings import POSTINGS
 
@@ -15,13 +17,20 @@ from tallybook.operators.postings import POSTINGS
 PRICE_EXPORT = [c for c in PRICE_COLUMNS if c not in ("booking_period", "id_transaction_type")]
 COMMISSION_EXPORT = [c for c in COMMISSION_COLUMNS if c != "booking_period"]
 
+TEMPLATE_FILE = "posting_template.csv"
+CATEGORIES = "categories"
+
 
 def write_csv(
-    df: DataFrame, path: str, columns: Iterable[str] | None = None, by: Iterable[str] = ()
+    df: DataFrame,
+    path: str,
+    columns: Iterable[str] | None = None,
+    by: Iterable[str] = (),
+    header: bool = True,
 ) -> None:
-    """All rows, always with a header, also when there are none. Blanks stay as they are."""
+    """All rows, by default with a header, also when there are none. Blanks stay as they are."""
     rows = df.select(*columns) if columns else df
-    writer = rows.write.mode("overwrite").partitionBy(*by).option("header", True)
+    writer = rows.write.mode("overwrite").partitionBy(*by).option("header", header)
     writer.option("escape", '"').option("ignoreLeadingWhiteSpace", False).option(
         "ignoreTrailingWhiteSpace", False
     ).csv(path)
@@ -64,9 +73,40 @@ def template_rows(template: DataFrame) -> DataFrame:
     )
 
 
-def write_template(template: DataFrame, path: str) -> None:
-    """One folder per booking month."""
-    write_csv(template_rows(template), path, by=["booking_period"])
+def _part_number(name: str) -> tuple[int, str]:
+    """Parts of one sorted write in their order: part-00012-..., of which one may be cut in several."""
+    return int(name.split("-")[1]), name
+
+
+def write_template(template: DataFrame, path: str, months: Iterable[date] = ()) -> None:
+    """One folder per booking month with one file, in the order of ``template_rows``.
+
+    Tasks write the sorted rows as parts, and the parts of a month are joined byte by byte under one
+    heading. ``months`` get a file, with the heading alone, also when they have no rows.
+    """
+    parts, files = f"{path}/_parts", FileSystem(template.sparkSession, path)
+    write_csv(template_rows(template), parts, by=["booking_period"], header=False)
+    written = [name for name in files.names(parts) if name.startswith("booking_period=")]
+    for name in sorted({*written, *(f"booking_period={month}" for month in months)}):
+        inside = [n for n in files.names(f"{parts}/{name}") if n.startswith("part-")]
+        files.make(f"{path}/{name}")
+        files.join(
+            [f"{parts}/{name}/{part}" for part in sorted(inside, key=_part_number)],
+            f"{path}/{name}/{TEMPLATE_FILE}",
+            ",".join(fixed.TEMPLATE_HEADER) + "\n",
+        )
+    files.delete(parts)
+
+
+def write_categories(routed: DataFrame, path: str) -> None:
+    """All category tables by one pass: a folder for each category, and in it one for commented rows.
+
+    Rows are dealt by category before they are written, so that each has few files; Spark splits a large
+    category over many tasks and merges small ones.
+    """
+    rows = routed.withColumn("commented", F.col("comment").isNotNull())
+    by = ["bucket", "commented"]
+    rows.hint("rebalance", *by).write.mode("overwrite").partitionBy(*by).parquet(path)
 
 
 def write_ids(df: DataFrame, path: str) -> None:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,6 +11,7 @@ from tallybook.functions.keys import MAP_KEY
 from tallybook.sinks.files import write_csv
 from tallybook.storage import stage
 
+
 class DuplicateKeys(ValueError):
     """A reference map that would book some rows twice; ``log`` lists every doubled key."""
 
@@ -38,7 +39,12 @@ def duplicate_keys(df: DataFrame, keys: Iterable[str]) -> DataFrame:
 
 
 def checked_map(
-    df: DataFrame, keys: Iterable[str], path: str, log: str, name: str = "map"
+    df: DataFrame,
+    keys: Iterable[str],
+    path: str,
+    log: str,
+    name: str = "map",
+    write: Callable[[DataFrame, str], DataFrame] = stage,
 ) -> DataFrame:
     """The rows of a map that can match, written once to ``path`` and checked there.
 
@@ -47,7 +53,7 @@ def checked_map(
     nothing and are left out. Whether the map is broadcast is Spark's choice, by its size.
     """
     keys = list(keys)
-    staged = stage(df.dropna(subset=keys), path)
+    staged = write(df.dropna(subset=keys), path)
     write_csv(duplicate_keys(staged, keys), log)
     doubled = staged.sparkSession.read.option("header", True).csv(log)
     if not doubled.isEmpty():

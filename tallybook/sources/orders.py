@@ -54,29 +54,18 @@ def _with_provider(rows: DataFrame, tables: Mapping[str, DataFrame]) -> DataFram
     return lookup(rows, providers, "fk_shipment_provider", "id_shipment_provider", ITEM)
 
 
-def _doubled_ids(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Item ids with several rows, counted by a hash aggregate on the id alone."""
-    ids = tables["ims_sales_order_item"].selectExpr(f"id_sales_order_item AS {ITEM}")
-    return ids.groupBy(ITEM).count().where("count > 1").select(ITEM)
-
-
-def _first_of(items: DataFrame) -> DataFrame:
-    return first_per_key(items, ITEM, ["item_status", "payment_method", "paid_price"])
-
-
 def order_extract(tables: Mapping[str, DataFrame], ids: DataFrame | None = None) -> DataFrame:
     """One row per item id of ``ids`` that the order side knows (all items without ``ids``).
 
     An item may have many packages and a package many dispatches; the first row by
-    (status, method, provider id, paid price) is kept, NULLs last. Item ids are a primary key,
-    so only rows of ids that occur twice all the same are ranked; a NULL id is no item. Packages and dispatches
-    are reduced to their lowest provider id, a plain hash aggregate, before they are joined:
-    they multiply no rows, and the side that a join looks up always has unique keys.
+    (status, method, provider id, paid price) is kept, NULLs last; a NULL id is no item. The chain
+    of lookups stands in the plan once: ids that occur twice are settled behind it, by an aggregate
+    whose shuffle the join with the packages needs anyway. Packages and dispatches are reduced to
+    their lowest provider id, a plain hash aggregate, before they are joined: they multiply no
+    rows, and the side that a join looks up always has unique keys.
     """
-    items = _items(tables, ids)
-    doubled = _doubled_ids(tables)
-    attributes = items.join(doubled, ITEM, "left_anti").unionByName(
-        _first_of(items.join(doubled, ITEM, "left_semi")), allowMissingColumns=True
+    attributes = first_per_key(
+        _items(tables, ids), ITEM, ["item_status", "payment_method", "paid_price"]
     )
     lowest = F.min("fk_shipment_provider").alias("fk_shipment_provider")
     by_package = _dispatches(tables).groupBy("id_package").agg(lowest)

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from tallybook.sources.records import read_lines, read_records, unclosed
 from tallybook.sources.schemas import ALL_TABLES
 
 
@@ -65,32 +66,60 @@ class UploadError(ValueError):
     """An upload file that cannot be read at all."""
 
 
+def _heading(spark: SparkSession, path: str) -> list[str]:
+    options = {"header": True, "multiLine": True, "escape": '"', "columnPruning": False}
+    return spark.read.options(**options).csv(path).columns
+
+
+def _whole_records(
+    spark: SparkSession, path: str, schema: StructType, options: Mapping[str, str]
+) -> DataFrame:
+    """Rows whose values may hold line breaks, read in as many tasks as the files have pieces."""
+    lines = read_lines(spark, path)
+    open_ended = unclosed(lines).first()
+    if open_ended is not None:
+        raise UploadError(f"{open_ended['file']}: a quote is opened and not closed")
+    records = read_records(lines)
+    place = F.struct("file", "block", "row")
+    heads = records.groupBy("file").agg(F.min(place).alias("head")).select("head")
+    body = records.join(heads, place == F.col("head"), "left_anti")
+    ddl = ", ".join(f"`{f.name.replace('`', '``')}` string" for f in schema)
+    parsed = F.from_csv("text", ddl, options | {"multiLine": "true"})
+    return body.select(parsed.alias("fields"), place.alias("row_no"))
+
+
 def read_upload(
     spark: SparkSession, path: str, columns: Iterable[str], multi_line: bool = True
 ) -> DataFrame:
     """An upload CSV: columns by header name, all text, plus ``row_no`` in file order.
 
     A column the header lacks is NULL, further columns are ignored. ``broken`` is the text of a
-    row that has more or fewer fields than the header. ``multi_line`` allows line breaks inside
-    quotes and then reads each file in one task; turn it off for large files without such breaks.
+    row that has more or fewer fields than the header. Large files are read in pieces. Values may hold
+    line breaks inside quotes; a file that ends inside quotes is an error. ``multi_line=False`` saves
+    looking for them, where it is known that there are none.
     """
     columns = list(columns)
-    options = {"header": True, "multiLine": multi_line, "escape": '"', "columnPruning": False}
-    heading = spark.read.options(**options).csv(path).columns
+    heading = _heading(spark, path)
     if not set(columns) & set(heading):
         raise UploadError(f"{path}: no column of {', '.join(columns)} in the header")
     broken = BROKEN
     while broken in heading:
         broken += "_"
     schema = StructType([StructField(c, StringType()) for c in [*heading, broken]])
-    rows = spark.read.options(**options, columnNameOfCorruptRecord=broken).schema(schema).csv(path)
+    options = {"escape": '"', "columnNameOfCorruptRecord": broken, "columnPruning": "false"}
+    if multi_line:
+        rows = _whole_records(spark, path, schema, options)
+        fields, place = "fields.", F.col("row_no")
+    else:
+        reader = spark.read.options(**options, header=True)
+        rows = reader.schema(schema).csv(path)
+        fields, place = "", F.struct(
+            F.col("_metadata.file_path").alias("file"),
+            F.col("_metadata.file_block_start").alias("block"),
+            F.monotonically_increasing_id().alias("row"),
+        )
     text = [
-        F.col(f"`{c}`").alias(c) if c in heading else F.lit(None).cast("string").alias(c)
+        F.col(f"{fields}`{c}`").alias(c) if c in heading else F.lit(None).cast("string").alias(c)
         for c in columns
     ]
-    place = F.struct(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("row"),
-    )
-    return rows.select(*text, place.alias("row_no"), F.col(f"`{broken}`").alias(BROKEN))
+    return rows.select(*text, place.alias("row_no"), F.col(f"{fields}`{broken}`").alias(BROKEN))

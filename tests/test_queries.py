@@ -6,15 +6,19 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from checks.compare import differences
+from checks.oracle import ORACLE_SQL as SQL
+from checks.queries import QUERIES
 from tests.conftest import SF
 
-QUERIES, SQL = queries(), oracle_sql()
-
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
 
 
+def test_every_query_is_registered():
+    assert QUERIES.items() <= queries().items() and SQL.items() <= oracle_sql().items()
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_same_as_sql(spark, duck, name):
     df = QUERIES[name](spark, SF)
