@@ -8,9 +8,10 @@ from math import exp, log
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallybook.llm.blocks import Rule, links
 from tallybook.llm.components import components
 from tallybook.llm.staging import Staging
 from tallybook.llm.wordhash import Words, chunks, mix, range_hash
@@ -125,144 +126,27 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "content", "weight", "bands"])
 
 
-def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Keep the pairs whose weighted Jaccard similarity is SIMILARITY or more."""
-    for batch in batches:
-        for low in range(0, batch.num_rows, _DOCUMENTS_AT_ONCE):
-            part = batch.slice(low, _DOCUMENTS_AT_ONCE)
-            sides = []
-            for column in (2, 3):
-                found = [(rows.start, *units(*shingles(words))) for rows, words in chunks(part.column(column))]
-                owner = np.concatenate([d + start for start, d, _ in found])
-                sides.append((owner, np.concatenate([u for _, _, u in found])))
-            (first, mine), (second, theirs) = sides
-            n = part.num_rows
-            bounds = [np.searchsorted(x, np.arange(n + 1)) for x in (first, second)]
-            shared = np.array(
-                [
-                    len(np.intersect1d(mine[bounds[0][k] : bounds[0][k + 1]], theirs[bounds[1][k] : bounds[1][k + 1]], assume_unique=True))
-                    for k in range(n)
-                ],
-                float,
-            )
-            either = np.diff(bounds[0]) + np.diff(bounds[1]) - shared
-            good = pa.array(shared >= SIMILARITY * either)
-            yield pa.RecordBatch.from_arrays([part.column(i).filter(good) for i in (0, 1)], ["a", "b"])
-
-
-def _pairs(led: DataFrame) -> DataFrame:
-    """Each member of (bucket, node, weight, leader, leader_weight) with its leader, once.
-
-    Their similarity is no more than the smaller weight divided by the larger, so pairs for which that is
-    under SIMILARITY need no look at their texts.
-    """
-    near = F.least("weight", "leader_weight") >= SIMILARITY * F.greatest("weight", "leader_weight") - 1e-6
-    pair = led.where(near & (F.col("node") != F.col("leader")))
-    return pair.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
-
-
 def content(text: Column) -> Column:
     """128 bits that stand for a text; null is a text of its own."""
     return F.unhex(F.md5(F.encode(F.coalesce(F.concat(F.lit("+"), text), F.lit("")), "UTF-8")))
 
 
-class Linker:
-    """Links between similar texts that share a bucket, found without comparing all members of it.
-
-    Every member is compared with the bucket's leader: the node whose buckets hold most members, as the
-    text that others were copied from shares more with them than they do with each other. Buckets with
-    members that are not in the leader's class by then are divided by each further band that their members
-    share. In each part one member leads and is compared with all members of other classes there, then two
-    more, then four, and so on; classes are found anew after each round. A part is done when it is one
-    class, or when all members outside its largest class have led: then every two of its members are of one
-    class or have been compared. So copies of one text are done with after a round, no link inside a part
-    is lost, and the rounds are the logarithm of a part's members. No pair is compared twice.
-    """
-
-    def __init__(self, nodes: DataFrame, documents: DataFrame, staging: Staging):
-        self.staging, self.nodes, self.round = staging, nodes, 0
-        band = nodes.select("node", "weight", F.explode("bands").alias("bucket"))
-        shared = staging.table(band.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "shared")
-        sized = staging.table(band.join(shared, "bucket").select("bucket", "node", "weight", "n"), "sized")
-        degree = sized.groupBy("node").agg(F.sum("n").alias("degree"))
-        first = F.min(F.struct((-F.col("degree")).alias("degree"), "node", "weight")).alias("first")
-        leaders = sized.join(degree, "node").groupBy("bucket").agg(first)
-        leaders = leaders.select("bucket", F.col("first.node").alias("leader"), F.col("first.weight").alias("leader_weight"))
-        leaders = staging.table(leaders, "leaders")
-        members = sized.join(leaders, "bucket").select("bucket", "node", "weight", "leader", "leader_weight")
-        self.members = staging.table(members, "members")
-        wanted = nodes.join(self.members.select("node").distinct(), "node", "left_semi").select("node", "doc_id", "content")
-        texts = documents.select("doc_id", content(F.col("text")).alias("content"), "text")
-        same = (texts["content"] == wanted["content"]) & texts["doc_id"].eqNullSafe(wanted["doc_id"])
-        self.texts = staging.table(texts.join(wanted, same).select("node", "text"), "texts")
-
-    def alike(self, pairs: DataFrame) -> DataFrame:
-        self.round += 1
-        one, two = (self.texts.select(F.col("node").alias(x), F.col("text").alias(f"{x}_text")) for x in "ab")
-        joined = pairs.join(one, "a").join(two, "b").select("a", "b", "a_text", "b_text")
-        return self.staging.table(joined.mapInArrow(_alike, "a long, b long").distinct(), f"links_{self.round}")
-
-    def regrouped(self, parts: DataFrame, fresh: DataFrame, turn: int) -> DataFrame:
-        """``parts`` with the roots that the links ``fresh`` give, without parts that are one class now."""
-        one, two = (parts.select(F.col("node").alias(x), F.col("root").alias(f"{x}_root")).distinct() for x in "ab")
-        tied = fresh.join(one, "a").join(two, "b").select(F.col("a_root").alias("a"), F.col("b_root").alias("b"))
-        moved = components(tied, self.staging, f"regrouped_{turn}").select(F.col("node").alias("root"), F.col("root").alias("least"))
-        parts = parts.join(moved, "root", "left").withColumn("root", F.coalesce("least", "root")).drop("least")
-        busy = parts.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
-        return self.staging.table(parts.join(busy.select("bucket"), "bucket", "left_semi"), f"parts_{turn}")
-
-    def waiting(self, parts: DataFrame) -> DataFrame:
-        """The members that have not led and are not of the largest class of their part."""
-        sizes = parts.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n"))
-        largest = sizes.groupBy("bucket").agg(F.max(F.struct("n", "root")).alias("most")).select("bucket", F.col("most.root").alias("root"))
-        return parts.where("not led").join(largest, ["bucket", "root"], "left_anti").select("bucket", "node", "weight", "root")
-
-    def links(self) -> DataFrame:
-        compared = self.staging.table(_pairs(self.members), "compared_0")
-        links = self.alike(compared)
-        roots = components(links, self.staging, "early")
-        rooted = self.members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        rooted = self.staging.table(rooted, "rooted")
-        led = rooted.where("node = leader").select("bucket", F.col("root").alias("leader_root"))
-        flagged = rooted.join(led, "bucket").withColumn("open", F.col("root") != F.col("leader_root"))
-        busy = flagged.groupBy("bucket").agg(F.max("open").alias("any")).where("any")
-        flagged = flagged.join(busy.select("bucket"), "bucket", "left_semi").select("bucket", "node", "weight", "root", "open")
-        flagged = self.staging.table(flagged, "flagged")
-        if flagged.isEmpty():
-            return links
-        other = F.explode("bands").alias("other")
-        parts = flagged.join(self.nodes.select("node", "bands"), "node").select(*flagged.columns, other).where("bucket <> other")
-        parts = parts.groupBy(F.xxhash64(F.least("bucket", "other"), F.greatest("bucket", "other")).alias("bucket"), "node", "weight", "root").agg(
-            F.max("open").alias("open")
-        )
-        busy = parts.groupBy("bucket").agg(F.max("open").alias("any"), F.min("root").alias("low"), F.max("root").alias("high"))
-        parts = self.staging.table(parts.join(busy.where("any and low <> high").select("bucket"), "bucket", "left_semi"), "parts")
-        parts, turn = parts.select("bucket", "node", "weight", "root", F.lit(False).alias("led")), 0
-        place = F.row_number().over(Window.partitionBy("bucket").orderBy(F.xxhash64("node"), "node"))
-        while True:
-            leaders = self.waiting(parts).withColumn("place", place).where(F.col("place") <= 2**turn)
-            leaders = leaders.select("bucket", *[F.col(c).alias(x) for c, x in (("node", "leader"), ("weight", "leader_weight"), ("root", "leader_root"))])
-            turn += 1
-            leaders = self.staging.table(leaders, f"leaders_{turn}")
-            if leaders.isEmpty():
-                return links
-            fresh = _pairs(parts.join(leaders, "bucket").where("root <> leader_root"))
-            fresh = self.staging.table(fresh.join(compared, ["a", "b"], "left_anti"), f"compared_{turn}")
-            found = self.alike(fresh)
-            compared, links = compared.unionAll(fresh), links.unionAll(found)
-            leading = leaders.select("bucket", F.col("leader").alias("node"), F.lit(True).alias("leads"))
-            parts = parts.join(leading, ["bucket", "node"], "left").withColumn("led", F.col("led") | F.coalesce("leads", F.lit(False))).drop("leads")
-            parts = self.regrouped(parts, found, turn)
+def weighted(words: Words) -> tuple[np.ndarray, np.ndarray]:
+    """The weighted shingles of each document as a set of unit regions; two texts share the weight they share."""
+    document, unit = units(*shingles(words))
+    order = np.lexsort((unit, document))
+    return document[order], unit[order]
 
 
 def classes(documents: DataFrame, staging: Staging) -> DataFrame:
     """One row per document: doc_id, content, class_id (least doc_id of its class), first_of_class.
 
     Texts whose weighted Jaccard similarity of five-word shingles (weight: how often) is 0.8 or more are
-    linked, and a class is what links hold together. Equal texts are one node from the start. Texts of
-    fewer than five words have one shingle; texts without a word are like equal texts only, and null is
+    linked, and a class is what links hold together. Texts that share a bucket meet in blocks, where their
+    similarity is computed exactly. Equal texts are one node from the start. Texts of fewer than five words have one shingle; texts without a word are like equal texts only, and null is
     like null. ``first_of_class`` marks one content of each class, that of the least id (nulls last, then
-    least content). Rows that are wholly repeated are marked alike. Other columns are not read.
+    least content). Rows that are wholly repeated are marked alike. Very long texts are taken
+    whole. An empty table gives no rows. Other columns are not read.
     """
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     signed = staging.table(
@@ -273,10 +157,11 @@ def classes(documents: DataFrame, staging: Staging) -> DataFrame:
     )
     same = staging.table(signed.groupBy("content").agg(F.min("row").alias("node")), "same")
     nodes = signed.join(same.select(F.col("node").alias("row")), "row", "left_semi").select(
-        F.col("row").alias("node"), "doc_id", "content", "weight", "bands"
+        F.col("row").alias("node"), "doc_id", "content", F.col("weight").alias("n"), F.col("bands").alias("keys")
     )
-    links = Linker(staging.table(nodes, "nodes"), rows, staging).links()
-    roots = components(links, staging, "component")
+    texts = rows.select("doc_id", content(F.col("text")).alias("content"), "text")
+    found = links(staging.table(nodes, "nodes"), texts, Rule(weighted, round(100 * SIMILARITY)), staging)
+    roots = components(found, staging, "component")
     placed = (
         signed.select("doc_id", "content")
         .join(same, "content")

@@ -6,6 +6,7 @@ import heapq
 from collections import defaultdict, deque
 from collections.abc import Iterator
 from fractions import Fraction
+from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -14,13 +15,13 @@ from pyspark.sql import types as T
 
 from tallybook.llm.ranks import ranked, spread
 
-#: A source whose weight rounds to no block in PERIOD slots, or SLOTS_A_SOURCE for each source if that is
-#: more, gets one block in them; all others keep their weights in proportion.
+#: Slots that a task schedules at least, or SLOTS_A_SOURCE for each source if that is more.
 PERIOD = 1024
 SLOTS_A_SOURCE = 8
 #: Weights are whole numbers of 1 / FINE: over 2^30 slots that moves a source by a thousandth of a block.
 FINE = 2**40
 BLOCK_ROWS = 16
+_ROWS_AT_ONCE = 10_000
 TEMPER = 0.5
 
 
@@ -35,29 +36,32 @@ def slots(sources: int, period: int = PERIOD) -> int:
     return max(period, SLOTS_A_SOURCE * sources)
 
 
-def lifted(weights: dict[str, float], period: int, least: float) -> dict[str, float]:
-    """Blocks in ``period`` slots: one for a source with under ``least``, the rest in proportion to the weights."""
-    raised: set[str] = set()
-    while True:
-        total = sum(w for s, w in weights.items() if s not in raised)
-        exact = {s: 1.0 if s in raised else (period - len(raised)) * w / total for s, w in sorted(weights.items())}
-        low = {s for s, x in exact.items() if x < least} - raised
-        if not low:
-            return exact
-        raised |= low
-
-
 def shares(weights: dict[str, float], period: int = PERIOD) -> dict[str, int]:
-    """Blocks of each source in a period: whole numbers of at least 1 that sum to it (largest remainder)."""
+    """Blocks of each source in a period: whole numbers that sum to it, by the largest remainder.
+
+    A source has one at least, which one of the largest gives; with ``FINE`` blocks that moves no weight by more
+    than its share of 2 ** -40.
+    """
+    if min(weights.values()) <= 0:
+        raise ValueError("weights are over 0")
     period = slots(len(weights), period)
-    exact = lifted(weights, period, 1)
-    parts = {s: int(x) for s, x in exact.items()}
+    total = sum(map(Fraction, weights.values()))
+    exact = {s: period * Fraction(w) / total for s, w in sorted(weights.items())}
+    parts = {s: max(1, int(x)) for s, x in exact.items()}
     by_rest = sorted(exact, key=lambda s: (parts[s] - exact[s], s))
-    for s in by_rest[: period - sum(parts.values())]:
+    rest = period - sum(parts.values())
+    for s in by_rest[: max(rest, 0)]:
         parts[s] += 1
+    for s in sorted(exact, key=lambda s: (-parts[s], s))[: max(-rest, 0)]:
+        parts[s] -= 1
     return parts
 
 
+def stretch(parts: dict[str, int]) -> int:
+    """Slots that are scheduled apart from the others: as many as the longest window, or more."""
+    return max(2 * slots(len(parts)), sum(parts.values()) // min(parts.values()) + 2)
+
+
 def _window(share: int, whole: int, block: int) -> tuple[int, int]:
     return block * whole // share, -(-(block + 1) * whole // share)
 
@@ -106,43 +110,42 @@ def begun(parts: dict[str, int], slot: int) -> dict[str, int]:
     return out
 
 
-def schedule(parts: dict[str, int], start: int = 0, length: int | None = None) -> list[tuple[str, int, int, int, int]]:
+def schedule(parts: dict[str, int], start: int = 0, length: int | None = None) -> Iterator[tuple[str, int, int, int, int]]:
     """(source, block, release, deadline, slot) of each block of ``length`` slots from ``start``; default: one period.
 
     Block i of a source with n of ``period`` slots may run from floor(i * period / n) and must have run by
     ceil((i + 1) * period / n). Each slot takes the released block of the earliest deadline. As the shares
     fill the period, every deadline holds, and a source is never a whole block ahead of or behind its weight.
     Stretches that follow each other can be scheduled apart, as ``begun`` says which blocks are whose, if
-    no window is longer than a stretch.
+    no window is longer than a stretch (``stretch``).
     """
     period = sum(parts.values())
     end = start + (period if length is None else length)
     first, last = begun(parts, start), begun(parts, end)
     waiting = [(_window(parts[s], period, first[s])[0], s, first[s]) for s in parts if first[s] < last[s]]
     heapq.heapify(waiting)
-    ready, out = [], []
+    ready: list[tuple] = []
     for slot in range(start, end):
         while waiting and waiting[0][0] <= slot:
             release, source, block = heapq.heappop(waiting)
             deadline = _window(parts[source], period, block)[1]
             heapq.heappush(ready, (min(deadline, end), source, block, release, deadline))
         _, source, block, release, deadline = heapq.heappop(ready)
-        out.append((source, block, release, deadline, slot))
+        yield source, block, release, deadline, slot
         if block + 1 < last[source]:
             heapq.heappush(waiting, (_window(parts[source], period, block + 1)[0], source, block + 1))
-    return out
 
 
 def _scheduled(batches: Iterator[pa.RecordBatch], parts: dict[str, int], length: int, blocks: dict[str, int]) -> Iterator[pa.RecordBatch]:
     """The schedule of each stretch, as far as the sources have blocks."""
+    kinds = (pa.string(), *[pa.int64()] * 4)
     for batch in batches:
-        for stretch in batch.column(0).to_pylist():
-            plan = [p for p in schedule(parts, stretch * length, length) if p[1] < blocks[p[0]]]
-            columns = list(zip(*plan, strict=True)) or [[]] * 5
-            kinds = (pa.string(), *[pa.int64()] * 4)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], ["__source", "__block", "__release", "__deadline", "__slot"]
-            )
+        for number in batch.column(0).to_pylist():
+            plan = (p for p in schedule(parts, number * length, length) if p[1] < blocks[p[0]])
+            while some := list(islice(plan, _ROWS_AT_ONCE)):
+                columns = zip(*some, strict=True)
+                arrays = [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)]
+                yield pa.RecordBatch.from_arrays(arrays, ["source", "block", "release", "deadline", "slot"])
 
 
 def source_key(source: Column) -> Column:
@@ -160,44 +163,39 @@ def mixed(
     """All rows and columns of ``documents`` and a struct column of their place in the mixture.
 
     The struct has block, release, deadline, slot and position, the order of the mixture, in which a block's
-    rows stand together. Windows follow from the weights over the whole stream, and tasks schedule stretches
-    of it apart, so a source is never a whole block off its weight, however long the stream. Rows of a source are taken in the order of a hash, so
-    blocks are mixed; ``order`` is unique but for rows that are wholly equal (default: doc_id).
-    ``weights`` maps sources to weights; default: the root of their row counts. A source that isn't in it
-    gets the least of them. When a source runs out, its slots stay empty and the others keep their pace:
-    no row is dropped or repeated. Null is a source of its own. The struct is called ``mixture``, with
-    underscores until that is new. An empty table stays empty. ``documents`` is read more than once.
+    rows stand together. Windows follow from the given weights over the whole stream, and tasks schedule stretches
+    of it apart, each as long as the longest window: so a source is never a whole block off its weight, however
+    long the stream and small the weight. Rows of a source are taken in the order of a hash, so blocks are
+    mixed; ``order`` is unique but for rows that are wholly equal (default: doc_id), which take their places in
+    any order. ``weights`` maps sources to weights over 0; default: the root of their row counts. A source that
+    isn't in it gets the least of them. When a source runs out, its slots stay empty and the others keep their
+    pace: no row is dropped or repeated. Null is a source of its own. The struct is called ``mixture``, with
+    underscores until that is new; columns of any other name are kept as they are. Texts aren't looked at. An empty
+    table stays empty. ``documents`` is read more than once.
     """
     name = "mixture"
     while name in (c.lower() for c in documents.columns):
         name += "_"
-    spark, key = documents.sparkSession, "__source"
+    spark = documents.sparkSession
     hashed = F.col("doc_id") if order is None else order
-    keyed = documents.withColumn(key, source_key(F.col(source_col))).withColumn("__order", F.struct(F.xxhash64(hashed), hashed))
-    sizes = {r[key]: r["count"] for r in keyed.groupBy(key).count().collect()}
+    kept = F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row")
+    keyed = documents.select(kept, source_key(F.col(source_col)).alias("source"), F.struct(F.xxhash64(hashed), hashed).alias("order"))
+    sizes = {r["source"]: r["count"] for r in keyed.groupBy("source").count().collect()}
     if weights is not None:
         given = {f"+{s}" if s is not None else "": w for s, w in weights.items()}
         target = {s: given.get(s, min(given.values())) for s in sizes}
     else:
         target = tempered(sizes)
-    if not sizes:
-        target = {"": 1.0}
-    period = slots(len(target))
-    parts = shares(lifted(target, period, 0.5), FINE)
-    blocks, length = {s: -(-n // block_rows) for s, n in sizes.items()}, 2 * period  # a window has up to 2 periods
-    slot = max((_window(parts[s], FINE, n - 1)[1] for s, n in blocks.items()), default=0)
-    fields = f"{key} string, __block long, __release long, __deadline long, __slot long"
-    stretches = spark.range(-(-slot // length)).repartition(spread(documents))
-    table = stretches.mapInArrow(lambda batches: _scheduled(batches, parts, length, blocks), fields)
-    numbered = ranked(keyed, [key], "__order", "__rank").withColumn("__block", F.floor(F.col("__rank") / block_rows))
-    place = F.struct(
-        F.col("__block").alias("block"),
-        F.col("__release").alias("release"),
-        F.col("__deadline").alias("deadline"),
-        F.col("__slot").alias("slot"),
-        (F.col("__slot") * block_rows + F.col("__rank") % block_rows).alias("position"),
-    )
-    return numbered.join(table, [key, "__block"]).select(*documents.columns, place.alias(name))
+    parts = shares(target or {"": 1.0}, FINE)
+    blocks, length = {s: -(-n // block_rows) for s, n in sizes.items()}, stretch(parts)
+    last = max((_window(parts[s], FINE, n - 1)[1] for s, n in blocks.items()), default=0)
+    fields = "source string, block long, release long, deadline long, slot long"
+    stretches = -(-last // length)
+    numbers = spark.range(0, stretches, 1, max(1, min(stretches, 4 * spread(documents))))
+    table = numbers.mapInArrow(lambda batches: _scheduled(batches, parts, length, blocks), fields)
+    numbered = ranked(keyed, ["source"], "order", "rank").withColumn("block", F.floor(F.col("rank") / block_rows))
+    place = F.struct("block", "release", "deadline", "slot", (F.col("slot") * block_rows + F.col("rank") % block_rows).alias("position"))
+    return numbered.join(table, ["source", "block"]).select("row.*", place.alias(name))
 
 
 def place_column(documents: DataFrame, mixture: DataFrame) -> str:

@@ -6,9 +6,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallybook.llm.blocks import Rule, content_key, links
 from tallybook.llm.components import components
 from tallybook.llm.staging import Staging
 from tallybook.llm.wordhash import Words, chunks, mix, range_hash
@@ -16,14 +17,6 @@ from tallybook.llm.wordhash import Words, chunks, mix, range_hash
 SHINGLE = 3
 #: Two sets link when PARTS * shared >= LINKED * either, as whole numbers: a similarity of 0.9.
 LINKED, PARTS = 90, 100
-#: Sets and elements that one task multiplies at a time; larger groups are cut into blocks.
-BLOCK_SETS = 1024
-BLOCK_ELEMENTS = 1 << 22
-#: Up to so many blocks of a group all meet each other at once.
-FEW_BLOCKS = 8
-#: Columns multiplied at once, and the share of a block's sets from which a column is multiplied densely.
-_COLUMNS_AT_ONCE = 4096
-_DENSE = 1 / 32
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 _KEY_A, _KEY_B, _PART, _ELEMENT, _PREFIX = (np.uint64(0x100000001B3 * k + 1) for k in range(5))
 
@@ -122,89 +115,6 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def overlaps(row: np.ndarray, element: np.ndarray, rows: int) -> np.ndarray:
-    """How many elements each two sets share, above the diagonal: the incidence matrix times its transpose.
-
-    Columns that hold one set only add nothing. Columns of many sets are multiplied densely, some thousand at
-    a time; of the others each entry is paired with those below it in its column.
-    """
-    _, column, count = np.unique(element, return_inverse=True, return_counts=True)
-    shared = np.zeros((rows, rows), np.int64)
-    dense = np.flatnonzero((count > 1) & (count >= rows * _DENSE))
-    number = np.full(len(count), -1)
-    number[dense] = np.arange(len(dense))
-    place = number[column]
-    for low in range(0, len(dense), _COLUMNS_AT_ONCE):
-        here = (place >= low) & (place < low + _COLUMNS_AT_ONCE)
-        block = np.zeros((rows, min(_COLUMNS_AT_ONCE, len(dense) - low)), np.float32)
-        block[row[here], place[here] - low] = 1
-        shared += (block @ block.T).astype(np.int64)
-    sparse = (place < 0) & (count[column] > 1)
-    row, column = row[sparse], column[sparse]
-    order = np.lexsort((row, column))
-    row, column = row[order], column[order]
-    step = 1
-    while len(row) > step:
-        same = np.flatnonzero(column[step:] == column[:-step])
-        if not len(same):
-            break
-        np.add.at(shared, (row[same], row[same + step]), 1)
-        step += 1
-    return np.triu(shared, 1)
-
-
-def linked(row: np.ndarray, element: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """The symmetric matrix of links: pairs that share at least what their sizes ask for."""
-    shared = overlaps(row, element, len(sizes))
-    bound = LINKED * (sizes[:, None] + sizes[None, :])
-    links = (PARTS + LINKED) * shared >= bound
-    return links | links.T
-
-
-def stars(links: np.ndarray) -> Iterator[tuple[int, int]]:
-    """(member, first member) of each component of more than one set."""
-    free = np.ones(len(links), bool)
-    for first in range(len(links)):
-        if not free[first]:
-            continue
-        free[first] = False
-        edge = np.array([first])
-        while len(edge):
-            edge = np.flatnonzero(links[edge].any(axis=0) & free)
-            free[edge] = False
-            for member in edge.tolist():
-                yield member, first
-
-
-def _multiply(table: pa.Table) -> pa.Table:
-    """The components of each group among the sets of a block, as links with their least sets."""
-    found = []
-    table = table.combine_chunks()
-    if table.num_rows:
-        parts = [(rows.start, *sets_of(words)) for rows, words in chunks(table.column("text"))]
-        row = np.concatenate([d + at for at, d, _ in parts])
-        element = np.concatenate([e for _, _, e in parts])
-        node, group = (table.column(c).to_numpy() for c in ("node", "group"))
-        order = np.lexsort((node, group))
-        new = np.append(True, (np.diff(node[order]) != 0) | (np.diff(group[order]) != 0))
-        order = order[new]  # rows that are repeated as a whole are one set
-        bounds = np.searchsorted(row, np.arange(len(node) + 1))
-        for members in np.split(order, np.flatnonzero(np.diff(group[order])) + 1):
-            if len(members) < 2:
-                continue
-            sizes = bounds[members + 1] - bounds[members]
-            elements = np.concatenate([element[bounds[m] : bounds[m + 1]] for m in members])
-            links = linked(np.repeat(np.arange(len(members)), sizes), elements, sizes)
-            found += [(node[members[a]], node[members[b]]) for a, b in stars(links)]
-    columns = list(zip(*found, strict=True)) or [[], []]
-    return pa.table([pa.array(c, pa.int64()) for c in columns], ["a", "b"])
-
-
-def content_key(text: str = "text") -> Column:
-    """128 bits that stand for a text; null is like an empty one."""
-    return F.unhex(F.md5(F.encode(F.coalesce(F.col(text), F.lit("")), "UTF-8")))
-
-
 class Joiner:
     """Links between different sets, found block by block.
 
@@ -296,13 +206,9 @@ def joined(documents: DataFrame, staging: Staging) -> DataFrame:
     same = signed.where("n > 0").groupBy("set_key").agg(F.min("row").alias("node"), F.min("doc_id").alias("least"))
     same = staging.table(same, "same")
     firsts = signed.join(same.select(F.col("node").alias("row")), "row", "left_semi")
-    firsts = staging.table(firsts.select(F.col("row").alias("node"), "doc_id", "content", "n", "parts"), "firsts")
-    keyed = firsts.select("node", F.explode("parts").alias("part"))
-    leaders = keyed.groupBy("part").agg(F.min("node").alias("group"), F.count(F.lit(1)).alias("sets")).where("sets > 1")
-    leaders = staging.table(leaders.select("part", "group"), "leaders")
-    groups = keyed.join(leaders, "part").select("group", "node").distinct().join(firsts.drop("parts"), "node")
-    links = Joiner(staging.table(groups, "groups"), rows, staging).links()
-    roots = components(links, staging, "component")
+    firsts = staging.table(firsts.select(F.col("row").alias("node"), "doc_id", "content", "n", F.col("parts").alias("keys")), "firsts")
+    found = links(firsts, rows, Rule(sets_of, LINKED, PARTS), staging)
+    roots = components(found, staging, "component")
     placed = staging.table(same.join(roots, "node", "left").select("set_key", "least", F.coalesce("root", "node").alias("root")), "placed")
     least = placed.groupBy("root").agg(F.min("least").alias("component_id"))
     named = placed.join(least, "root").select("set_key", "component_id")

@@ -6,14 +6,14 @@ import functools
 import os
 import string
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallybook.llm.ranks import ranked
+from tallybook.llm.ranks import ranked, spread
 from tallybook.llm.staging import Staging
 
 SEQUENCE = 4096
@@ -52,7 +52,10 @@ class Encoder:
 
         byte_level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         blank = pre_tokenizers.WhitespaceSplit()
-        self.whole, self.latin, self.words, self.ascii = (Tokenizer.from_file(path) for _ in range(4))
+        self.whole = Tokenizer.from_file(path)
+        # One model, the largest part by far, for all four.
+        self.latin, self.words, self.ascii = (Tokenizer(self.whole.model) for _ in range(3))
+        self.latin.pre_tokenizer = self.whole.pre_tokenizer
         for tokenizer in (self.latin, self.words, self.ascii):
             tokenizer.normalizer = normalizers.Sequence([])
         self.words.pre_tokenizer = pre_tokenizers.Sequence([blank, byte_level])
@@ -217,6 +220,16 @@ def put(batches: Iterator[pa.RecordBatch], where: np.ndarray) -> Iterator[pa.Rec
         )
 
 
+def _expanded(batches: Iterator[pa.RecordBatch], uses: np.ndarray, shifts: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """The places of some numbers: (length, offset, bin, at) of the use that the number falls into."""
+    for batch in batches:
+        number = batch.column(0).to_numpy()
+        use = np.searchsorted(uses[:, 4], number, side="right") - 1
+        turn = number - uses[use, 4]
+        columns = [uses[use, 0], uses[use, 1], uses[use, 2] + turn, (turn + shifts[use]) / uses[use, 3]]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["length", "offset", "bin", "at"])
+
+
 def in_order(pieces: DataFrame, bins: list[tuple[list[int], int]], staging: Staging) -> DataFrame:
     """Add sequence_id and offset to pieces with a position, so that sequences follow the positions.
 
@@ -224,16 +237,17 @@ def in_order(pieces: DataFrame, bins: list[tuple[list[int], int]], staging: Stag
     to its places in the order of their positions, so a sequence holds pieces that stand at about the same
     part of the stream. Sequences are numbered by the mean position of their ids.
     """
-    rows, first = [], 0
+    rows, shifts, first, number = [], [], 0, 0
     for kind, (lengths, times) in enumerate(bins):
-        offset, shift = 0, (kind + 1) * _SPREAD % 1
+        offset = 0
         for length in lengths:
-            rows.append((length, offset, first, times, shift))
-            offset += length
+            rows.append((length, offset, first, times, number))
+            shifts.append((kind + 1) * _SPREAD % 1)
+            offset, number = offset + length, number + times
         first += times
-    uses = pieces.sparkSession.createDataFrame(rows, "length long, offset long, first long, times long, shift double")
-    turns = uses.withColumn("turn", F.explode(F.sequence(F.lit(0).cast("long"), F.col("times") - 1)))
-    places = turns.select("length", "offset", (F.col("first") + F.col("turn")).alias("bin"), ((F.col("turn") + F.col("shift")) / F.col("times")).alias("at"))
+    uses, shifts = np.array(rows, np.int64).reshape(-1, 5), np.array(shifts)
+    numbers = pieces.sparkSession.range(0, number, 1, spread(pieces))
+    places = numbers.mapInArrow(lambda batches: _expanded(batches, uses, shifts), "length long, offset long, bin long, at double")
     places = ranked(staging.table(places, "places"), ["length"], F.struct("at", "bin", "offset"), "rank", F.col("at")).drop("at")
     end = (pieces.agg(F.max("position")).first()[0] or 0) + 1
     order = F.struct("position", "doc_id", "piece", "ids_crc32")
@@ -246,7 +260,12 @@ def in_order(pieces: DataFrame, bins: list[tuple[list[int], int]], staging: Stag
 
 
 def pack(
-    documents: DataFrame, staging: Staging, sequence: int = SEQUENCE, path: str | None = None, position: str | None = None
+    documents: DataFrame,
+    staging: Staging,
+    sequence: int = SEQUENCE,
+    path: str | None = None,
+    positions: Callable[[DataFrame], DataFrame] | None = None,
+    positions_read: Sequence[str] = (),
 ) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
 
@@ -255,21 +274,29 @@ def pack(
     pieces find their place by their rank among pieces of their length, so the packing is one over all
     pieces and no task or driver holds them together.
 
-    ``position`` names a column of whole numbers from 0 that the sequences then follow, with the same bins;
-    without it they follow the plan and a hash.
+    ``positions`` gives an order that the sequences then follow, with the same bins; without it they follow
+    the plan and a hash. It gets one narrow row for each document, of ``row``, ``doc_id``, ``mark`` (a hash of
+    the text) and the columns ``positions_read``, and adds ``position``, a whole number from 0. Texts are
+    read once, by the tokenizer, and shuffled nowhere.
 
-    Null and empty texts are one end id. Repeated rows are packed each. No documents give no pieces.
-    Other columns are not read.
+    Null and empty texts are one end id. Repeated rows are packed each. Very long texts are tokenized whole.
+    No documents give no pieces. Other columns are not read.
     """
     path = path or tokenizer_path()
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long"
-    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"), *([F.col(position).alias("position")] if position else []))
-    made = f"{schema}, position long" if position else schema
+    rows, made = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text")), schema
+    if positions:
+        read = [F.monotonically_increasing_id().alias("row"), F.xxhash64("text").alias("mark"), *positions_read]
+        rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"), *read)
+        made = ", ".join([schema, "row long, mark long", *(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in positions_read)])
     pieces = staging.table(rows.mapInArrow(lambda batches: pieces_of(batches, path, sequence), made), "pieces")
     counts = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}
     bins = plan(counts, sequence)
-    if position:
-        placed = in_order(pieces, bins, staging)
+    if positions:
+        narrow = pieces.where("piece = 0").select("row", "doc_id", "mark", *positions_read)
+        placed = staging.table(positions(narrow).select("row", "position"), "positions")
+        placed = staging.table(pieces.drop("mark", *positions_read).join(placed, "row").drop("row"), "placed")
+        placed = in_order(placed, bins, staging)
         return placed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
     where = places(bins)
     return (

@@ -6,8 +6,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
+from tallybook.llm import blocks
 from tallybook.llm.components import components
-from tallybook.llm.dartminhash import Linker, buckets, classes, content, shingles, signatures, units
+from tallybook.llm.dartminhash import buckets, classes, content, shingles, signatures, units, weighted
 from tallybook.llm.wordhash import chunks
 
 
@@ -90,9 +91,8 @@ def test_members_linked_with_unlike_leaders_are_still_compared(spark, staging):
     steps = {node: set(range(10, 10 + 120 * k, 20)) for k, node in enumerate((one, a, b, two))}
     rows = [(0, text("x", ())), (other, text("y", ()))] + [(node, text("w", places)) for node, places in steps.items()]
     assert len(set(brute(rows).values())) == 3
-    frame = spark.createDataFrame([(i, i, t, 396, [7, 8]) for i, t in rows], "node long, doc_id long, text string, weight long, bands array<long>")
-    nodes = staging.table(frame.withColumn("content", content(F.col("text"))).drop("text"), "nodes")
-    links = Linker(nodes, frame.select("doc_id", "text"), staging).links()
+    frame = spark.createDataFrame([(i, i, t, 396, [7, 8]) for i, t in rows], "node long, doc_id long, text string, n long, keys array<long>").withColumn("content", content(F.col("text")))
+    links = blocks.links(frame.drop("text"), frame.select("doc_id", "content", "text"), blocks.Rule(weighted, 80), staging)
     assert {r.node for r in components(links, staging, "found").collect()} == {one, two, a, b} - {min(one, two, a, b)}
 
 
@@ -110,6 +110,14 @@ def test_drifting_families_in_shared_buckets(documents, staging):
     assert {r.doc_id: r.class_id for r in classes(documents(rows), staging).collect()} == brute(rows)
 
 
+def test_repeated_rows_are_one_set(documents, staging):
+    random.seed(23)
+    words = [f"w{i}" for i in range(100)]
+    rows = [(i, text) for i, text in enumerate((" ".join(words), " ".join([*words[:-1], "other"]))) for _ in range(40)]
+    found = classes(documents(rows), staging).collect()
+    assert len(found) == 80 and {r.class_id for r in found} == {0}
+
+
 def test_odd_rows(documents, staging, odd):
     found = classes(documents(odd), staging).collect()
     assert len(found) == len(odd)

@@ -1,7 +1,9 @@
 import random
 from fractions import Fraction
 
-from tallybook.llm.mixing import FINE, lifted, mixed, schedule, shares, slots
+import pytest
+
+from tallybook.llm.mixing import FINE, mixed, schedule, shares, slots, stretch
 
 
 def test_every_deadline_holds_and_no_source_strays_by_a_block():
@@ -10,7 +12,7 @@ def test_every_deadline_holds_and_no_source_strays_by_a_block():
         weights = {f"s{i}": random.choice([0.01, 0.3, 1, 7]) * random.random() + 1e-6 for i in range(random.randint(1, 12))}
         parts = shares(weights, random.choice([16, 128, 1024]))
         period, done = sum(parts.values()), dict.fromkeys(parts, 0)
-        plan = schedule(parts)
+        plan = list(schedule(parts))
         assert [p[4] for p in plan] == list(range(period)) and min(parts.values()) >= 1
         for source, block, release, deadline, slot in plan:
             assert release <= slot < deadline and block == done[source]
@@ -27,21 +29,32 @@ def test_no_source_strays_by_a_block_from_its_given_weight_over_many_periods():
     for _ in range(12):
         cases.append({f"s{i}": random.choice([0.004, 0.1, 1, 7]) * (0.2 + random.random()) for i in range(random.randint(1, 30))})
     for weights in cases:
-        period = slots(len(weights), 64)
-        exact = lifted(weights, period, 0.5)
-        parts = shares(exact, FINE)
-        unlifted = [s for s in weights if exact[s] != 1]
-        total = sum(weights[s] for s in unlifted)
-        for s in unlifted:
-            given = (period - len(weights) + len(unlifted)) * weights[s] / total / period
-            assert abs(parts[s] / FINE - given) < 1e-9
-        done, slot = dict.fromkeys(parts, 0), 0
-        for stretch in range(25):
-            for source, block, release, deadline, at in schedule(parts, stretch * 2 * period, 2 * period):
+        total, parts = sum(weights.values()), shares(weights, FINE)
+        assert all(abs(parts[s] / FINE - w / total) < 1e-9 for s, w in weights.items())
+        done, slot, length = dict.fromkeys(parts, 0), 0, stretch(parts)
+        for number in range(max(3, 30_000 // length)):
+            for source, block, release, deadline, at in schedule(parts, number * length, length):
                 assert release <= at < deadline and block == done[source] and at == slot
                 done[source] += 1
                 slot += 1
-                assert all(abs(done[s] * FINE - parts[s] * slot) < FINE for s in (source, random.choice([*parts])))
+                assert all(abs(done[s] - weights[s] / total * slot) < 1 + 1e-6 for s in (source, random.choice([*parts])))
+
+
+def test_a_small_source_moves_no_other_over_a_million_slots():
+    weights = {"a": 0.6, "b": 0.3999, "c": 0.0001}
+    parts = shares(weights, FINE)
+    length, done, slot = stretch(parts), dict.fromkeys(weights, 0), 0
+    assert 10_000 <= length < 20_000
+    while slot < 10**6:
+        for source, *_ in schedule(parts, slot, length):
+            done[source] += 1
+            slot += 1
+            assert all(abs(done[s] - w * slot) < 1 + 1e-6 for s, w in weights.items())
+
+
+def test_weights_are_over_zero():
+    with pytest.raises(ValueError):
+        shares({"a": 1, "b": 0})
 
 
 def test_a_long_stream_keeps_the_given_weights(documents):
@@ -78,7 +91,7 @@ def test_rows_follow_the_schedule_for_many_periods(documents):
 
 def test_odd_rows(documents):
     rows = [(1, None, None), (1, None, None), (None, "", ""), (2, "x", None), (3, "y" * 100_000, "new"), (4, "", "a")]
-    table = documents(rows).withColumnRenamed("place", "mixture")
+    table = documents(rows).withColumnsRenamed({"place": "mixture", "bytes": "block", "n_chars": "rank", "lang": "order"})
     found = mixed(table, {"a": 1.0, "b": 5.0})
     assert found.columns == [*table.columns, "mixture_"]
     assert len(found.collect()) == len(rows)

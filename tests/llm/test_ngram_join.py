@@ -3,6 +3,7 @@ import random
 import numpy as np
 import pytest
 
+from tallybook.llm import blocks
 from tallybook.llm import ngram_join as join
 from tallybook.llm.wordhash import words_of
 
@@ -74,8 +75,8 @@ def test_same_as_brute_force(documents, staging, corpus, odd):
 def test_a_group_of_many_blocks(documents, staging, monkeypatch, edits, copies, few):
     """Near copies without their first text: some link, some don't, and blocks of eight see few at once."""
     random.seed(edits)
-    monkeypatch.setattr(join, "BLOCK_SETS", 8)
-    monkeypatch.setattr(join, "FEW_BLOCKS", few)
+    monkeypatch.setattr(blocks, "BLOCK_SETS", 8)
+    monkeypatch.setattr(blocks, "FEW_BLOCKS", few)
     text = " ".join(random.choices("abcdefghijklmnopqrstuvw", k=90))
     rows = [(i, near(text, random.randint(0, edits) + 1)) for i in range(copies)]
     want = brute(rows)
@@ -120,7 +121,7 @@ def test_product_counts_shared_elements():
     rng = np.random.default_rng(2)
     sets = [np.unique(rng.integers(0, 300, 60)) if k % 2 else np.unique(rng.integers(0, 40_000, 60)) for k in range(90)]
     row = np.repeat(np.arange(90), [len(s) for s in sets])
-    got = join.overlaps(row, np.concatenate(sets).astype(np.uint64), 90)
+    got = blocks.overlaps(row, np.concatenate(sets).astype(np.uint64), 90)
     for i in range(90):
         for j in range(90):
             assert got[i, j] == (len(np.intersect1d(sets[i], sets[j])) if i < j else 0)
