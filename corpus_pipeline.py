@@ -8,7 +8,7 @@ last return the columns of documents.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallybook.llm import dartminhash, mixing, packing, personal_data, toxicity
@@ -52,26 +52,33 @@ def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     return changed.select(docs.columns)
 
 
-def in_mixture(docs: DataFrame) -> DataFrame:
-    """The columns of ``docs`` and ``__position``, which depends on the rows alone and not on their files."""
-    mixture = mixing.mixed(docs, WEIGHTS, order=F.struct("doc_id", F.xxhash64("text")))
-    place = mixing.place_column(docs, mixture)
-    return mixture.select(*docs.columns, F.col(f"{place}.position").alias("__position"))
+def in_mixture(docs: DataFrame, mark: Column) -> tuple[DataFrame, Column]:
+    """``docs`` with their place in the mixture, and their position in it, which depends on the rows alone and
+    not on their files. ``mark`` stands for a document's text."""
+    mixture = mixing.mixed(docs, WEIGHTS, order=F.struct("doc_id", mark.alias("mark")))
+    return mixture, F.col(f"{mixing.place_column(docs, mixture)}.position")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents in the order of the mixture: later files hold later positions."""
     importable(spark)
-    return in_mixture(docs).orderBy("__position").select(docs.columns)
+    mixture, position = in_mixture(docs, F.xxhash64("text"))
+    return mixture.orderBy(position).select(docs.columns)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents and their places in training sequences, in the order of the mixture.
 
-    Files that are read again keep no order, so the positions are computed again, to the same numbers.
+    Files that are read again keep no order, so the positions are computed again, to the same numbers, from
+    ids, sources and hashes of the texts.
     """
+
+    def positions(narrow: DataFrame) -> DataFrame:
+        mixture, position = in_mixture(narrow, F.col("mark"))
+        return mixture.select("row", position.alias("position"))
+
     importable(spark)
-    return packing.pack(in_mixture(docs.select("doc_id", "text", "source")), Staging(spark), position="__position")
+    return packing.pack(docs, Staging(spark), positions=positions, positions_read=["source"])
 
 
 STAGES = [
