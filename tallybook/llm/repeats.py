@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallybook.llm.staging import Staging
-from tallybook.llm.wordhash import Words, chunks, range_hash
+from tallybook.llm.wordhash import Words, chunks, mix, range_hash
 
 WINDOW = 20
 #: Words of a phrase: each window holds WINDOW - PHRASE + 1, and the one of least hash stands for it.
@@ -20,7 +20,7 @@ PHRASE = 8
 #: Text whose documents and automaton one task holds at a time.
 SHARD_BYTES = 8 << 20
 _OTHER_BASE = np.uint64(0xC2B2AE3D27D4EB4F)
-_NONE = ~np.uint64(0)
+_NONE, _BYTE = ~np.uint64(0), np.uint64(255)
 
 
 class Windows:
@@ -34,11 +34,14 @@ class Windows:
         self.words, self.hashes = words, words.hashes()
         self.start = words.runs(WINDOW)
         phrases = words.runs(PHRASE)
-        self.phrase_hash = np.full(len(self.hashes), _NONE)
-        self.phrase_hash[phrases] = range_hash(self.hashes, phrases, phrases + PHRASE)
-        least, self.at = self.phrase_hash[self.start], self.start.copy()
+        self.key = np.zeros(len(self.hashes), np.uint64)
+        for k in range(PHRASE):
+            self.key[phrases] |= (self.hashes[phrases + k] & _BYTE) << np.uint64(8 * k)
+        order = np.full(len(self.hashes), _NONE)
+        order[phrases] = mix(self.key[phrases])
+        least, self.at = order[self.start], self.start.copy()
         for offset in range(1, WINDOW - PHRASE + 1):
-            other = self.phrase_hash[self.start + offset]
+            other = order[self.start + offset]
             less = other < least
             least = np.where(less, other, least)
             self.at = np.where(less, self.start + offset, self.at)
@@ -48,15 +51,25 @@ class Windows:
         return np.unique(self.at)
 
     def letters(self) -> str:
-        """Two characters for each word, ten bits of its hash, from alphabets of 32 that don't overlap.
+        return _letters((self.hashes & _BYTE).astype(np.uint8)).decode("ascii")
 
-        The automaton looks its branches up one by one, so few letters make it fast, and the two alphabets
-        keep matches at the words' bounds. Phrases of eight words have 80 bits.
-        """
-        out = np.empty(2 * len(self.hashes), np.uint8)
-        out[0::2] = 48 + (self.hashes & np.uint64(31)).astype(np.uint8)
-        out[1::2] = 96 + ((self.hashes >> np.uint64(5)) & np.uint64(31)).astype(np.uint8)
-        return out.tobytes().decode("ascii")
+
+def _letters(words: np.ndarray) -> bytes:
+    """Two characters for the byte of each word, from alphabets of 16 that don't overlap.
+
+    The automaton looks its branches up one by one, so few letters make it fast, and the two alphabets
+    keep matches at the words' bounds.
+    """
+    out = np.empty(2 * words.size, np.uint8)
+    out[0::2] = 48 + (words.ravel() & 15)
+    out[1::2] = 96 + (words.ravel() >> 4)
+    return out.tobytes()
+
+
+def phrase_letters(keys: np.ndarray) -> list[str]:
+    """What the automaton looks for: the key of a phrase holds the bytes of its words."""
+    text = _letters(keys.astype("<u8").view(np.uint8)).decode("ascii")
+    return [text[i : i + 2 * PHRASE] for i in range(0, len(text), 2 * PHRASE)]
 
 
 def _signed(hashes: np.ndarray) -> pa.Array:
@@ -69,30 +82,25 @@ def _phrases(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             windows = Windows(words)
             at = windows.phrases()
             shard = batch.column(0)[rows].to_numpy()[np.searchsorted(words.first, at, side="right") - 1]
-            yield pa.RecordBatch.from_arrays([pa.array(shard), _signed(windows.phrase_hash[at])], ["shard", "phrase"])
+            yield pa.RecordBatch.from_arrays([pa.array(shard), _signed(windows.key[at])], ["shard", "phrase"])
 
 
 def _locate(key: tuple, recurring: pa.Table, documents: pa.Table) -> pa.Table:
-    """Compile the shard's recurring phrases and stream its documents through the automaton.
+    """Compile the recurring phrases of a shard and stream its documents through the automaton.
 
-    One row for each place where a phrase stands for windows: document, first window, the phrase, and a
-    hash of each of its windows, which start at consecutive words.
+    One row for each place where it finds a phrase that stands for windows: document, first window, the phrase,
+    and a hash of each of its windows, which start at consecutive words.
     """
-    wanted = np.unique(recurring.column("phrase").to_numpy().view(np.uint64))
     automaton = ahocorasick.Automaton(ahocorasick.STORE_LENGTH)
+    for letters in phrase_letters(np.unique(recurring.column("phrase").to_numpy().view(np.uint64))):
+        automaton.add_word(letters)
     ids, marks = (documents.column(c).to_numpy() for c in ("doc", "mark"))
-    texts = [(rows, Windows(words)) for rows, words in chunks(documents.column("text"))] if len(wanted) else []
-    for _, windows in texts:
-        at = windows.phrases()
-        at = at[np.isin(windows.phrase_hash[at], wanted)]
-        letters = windows.letters()
-        for place in at[np.unique(windows.phrase_hash[at], return_index=True)[1]].tolist():
-            automaton.add_word(letters[2 * place : 2 * (place + PHRASE)])
     parts: list[list[np.ndarray]] = []
     if len(automaton):
         automaton.make_automaton()
-        for rows, windows in texts:
-            words, letters = windows.words, windows.letters()
+        for rows, words in chunks(documents.column("text")):
+            windows = Windows(words)
+            letters = windows.letters()
             hit = np.zeros(len(windows.hashes), bool)
             for k in range(words.documents):
                 low, high = int(words.first[k]), int(words.first[k + 1])
@@ -110,7 +118,7 @@ def _locate(key: tuple, recurring: pa.Table, documents: pa.Table) -> pa.Table:
                     ids[rows][owner],
                     marks[rows][owner],
                     (start[new] - words.first[owner]).astype(np.int32),
-                    windows.phrase_hash[at[new]].view(np.int64),
+                    windows.key[at[new]].view(np.int64),
                     np.diff(np.append(new, len(start))),
                     range_hash(windows.hashes, start, start + WINDOW, _OTHER_BASE).view(np.int64),
                 ]
@@ -152,15 +160,15 @@ def without_repeats(documents: DataFrame, staging: Staging) -> DataFrame:
     earlier in the same document) is removed; windows are those of the input. Steps:
 
     1. Phrases that stand for windows are counted over all documents; those found twice recur.
-    2. Documents are dealt into shards of bounded text. Each shard compiles an automaton of the
-       recurring phrases that occur in it and streams its documents through it: every window that recurs
-       holds a hit.
+    2. Documents are dealt into shards of bounded text. Each shard gets the recurring phrases that occur in
+       it, compiles them to an automaton and streams its documents through it. Only what the automaton
+       finds goes on, and every window that recurs holds a hit.
     3. Hits with equal windows are folded to their first place, then single windows are. What isn't a
        first place is removed; phrase and window hash together are 128 bits.
 
     Null texts have no words. Null ids come before all others. Rows with one id but other texts are
     documents of their own, in the order of a hash of the text; rows equal in both are one document, and
-    each gets its result. Columns other than doc_id and text are not read.
+    each gets its result. Very long texts are taken whole. An empty table gives no rows. Columns other than doc_id and text are not read.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     least = -(2**63)
@@ -171,9 +179,11 @@ def without_repeats(documents: DataFrame, staging: Staging) -> DataFrame:
     )
     dealt = rows.withColumn("shard", F.pmod(F.xxhash64("doc", "mark"), F.lit(shards)))
     phrases = staging.table(dealt.select("shard", "text").mapInArrow(_phrases, "shard long, phrase long"), "phrases")
-    twice = phrases.groupBy("phrase").count().where("count > 1").select("phrase")
+    # Written, so that both sides of the join are read from files or shuffles and a hot phrase can be split.
+    twice = staging.table(phrases.groupBy("phrase").count().where("count > 1").select("phrase"), "twice")
     recurring = staging.table(phrases.join(twice, "phrase", "left_semi").select("shard", "phrase"), "recurring")
     staging.drop("phrases")
+    staging.drop("twice")
     places = staging.table(
         recurring.groupBy("shard")
         .cogroup(dealt.select("shard", "doc", "mark", "text").groupBy("shard"))

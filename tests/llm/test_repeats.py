@@ -1,6 +1,12 @@
 import random
 
-from tallybook.llm.repeats import WINDOW, without_repeats
+import ahocorasick
+import numpy as np
+import pyarrow as pa
+
+from tallybook.llm import repeats
+from tallybook.llm.repeats import WINDOW, Windows, phrase_letters, without_repeats
+from tallybook.llm.wordhash import words_of
 
 
 def brute(rows):
@@ -32,6 +38,46 @@ def test_against_brute_force(documents, staging):
     assert found == brute(rows)
 
 
+def shard(text):
+    """The tables that one shard's task gets, for documents of the same text."""
+    data = np.frombuffer(text.encode(), np.uint8)
+    windows = Windows(words_of(data, np.array([0, len(data)])))
+    recurring = pa.table({"phrase": pa.array(windows.key[windows.phrases()].view(np.int64))})
+    documents = pa.table({"doc": [1, 2], "mark": pa.array([7, 7], pa.int32()), "text": [text, text]})
+    return windows, recurring, documents
+
+
+def test_places_come_from_the_automaton(monkeypatch):
+    windows, recurring, documents = shard(" ".join(str(i) for i in range(200)))
+    found = repeats._locate((), recurring, documents)
+    assert sum(found.column("windows").combine_chunks().value_lengths().to_pylist()) == 2 * len(windows.start)
+    assert repeats._locate((), recurring.slice(0, 0), documents).num_rows == 0
+
+    real = ahocorasick.Automaton
+
+    class Blind:
+        def __init__(self, *args):
+            self.automaton = real(*args)
+
+        def __getattr__(self, name):
+            return getattr(self.__dict__["automaton"], name)
+
+        def __len__(self):
+            return len(self.automaton)
+
+        def iter(self, *args):
+            return iter(())
+
+    monkeypatch.setattr(repeats.ahocorasick, "Automaton", Blind)
+    assert repeats._locate((), recurring, documents).num_rows == 0
+
+
+def test_letters_of_a_key_are_those_of_its_words():
+    windows, _, _ = shard(" ".join(f"w{i}" for i in range(40)))
+    text, at = windows.letters(), windows.phrases()
+    assert phrase_letters(windows.key[at]) == [text[2 * i : 2 * (i + repeats.PHRASE)] for i in at.tolist()]
+
+
 def test_odd_rows(documents, staging, odd):
     found = without_repeats(documents(odd), staging).collect()
     assert len(found) == len(odd)
