@@ -25,6 +25,8 @@ CALIBRATION_ROWS = 512
 CALIBRATION_RECALL = 0.93
 #: Vectors of a leaf that one task compares at a time.
 GROUP_ROWS = 4_000
+#: Queries that visit a leaf and are compared with a part of it in one task.
+QUERY_ROWS = 20_000
 _QUERIES_AT_ONCE = 64
 
 
@@ -162,33 +164,38 @@ def _nearest_in_leaf(key: tuple, members: pa.Table, queries: pa.Table, keep: int
 def nearest(embeddings: DataFrame, is_query: Column, staging: Staging, neighbours: int = 5) -> DataFrame:
     """The ``neighbours`` nearest rows of each query row but itself: query_id, rank, vec_id, score.
 
-    Equal vectors are one entry of the index with its ``neighbours`` + 1 least ids, which is all that any
-    result can need of them; equal queries are searched once. Every entry lies in one leaf of a tree that
-    is built from a bounded sample; a search visits as many leaves as the calibration asks for. Leaves are
-    compared in parts of bounded size. Scores are computed from the original vectors.
+    Vectors are compared with those of their own size, for each of which there is an index. Equal vectors are
+    one entry of it with its ``neighbours`` + 1 least ids, which is all that any result can need of them; equal
+    queries are searched once. Every entry lies in one leaf of a tree that is built from a bounded sample; a
+    search visits as many leaves as the calibration asks for. Leaves are compared in parts, and their queries
+    in blocks, of bounded size. Scores are computed from the original vectors; ties go to the smaller vec_id.
 
-    Vectors that are null, zero, hold null or non-finite components or are not of the most frequent size
-    take no part, nor do rows with a null id. Repeated ids are rows of their own as candidates and one as
-    a query. Other columns are not read; an empty table gives no rows.
+    Vectors that are null, zero or hold null or non-finite components take no part, nor do rows with a null id.
+    Repeated ids are rows of their own as candidates and one as a query. Long vectors make the sample smaller.
+    Other columns are not read; an empty table gives no rows.
     """
-    spark, keep = embeddings.sparkSession, neighbours + 1
+    spark = embeddings.sparkSession
     rows = embeddings.where(F.col("vec_id").isNotNull() & usable(F.col("embedding"))).select(
         F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("vector"), is_query.alias("is_query")
     )
-    sizes = rows.groupBy(F.size("vector").alias("size")).count().orderBy(F.desc("count"), "size").first()
-    result = "query_id long, rank int, vec_id long, score double"
-    if sizes is None:
-        return spark.createDataFrame([], result)
-    size = sizes["size"]
+    sizes = [r["size"] for r in rows.select(F.size("vector").alias("size")).distinct().orderBy("size").collect()]
+    result = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    for size in sizes:
+        result = result.unionAll(_nearest_of_size(rows.where(F.size("vector") == size), size, staging, neighbours))
+    return result
+
+
+def _nearest_of_size(rows: DataFrame, size: int, staging: Staging, neighbours: int) -> DataFrame:
+    """``nearest`` for vectors that are all of one size."""
+    spark, keep = rows.sparkSession, neighbours + 1
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = rows.where(F.size("vector") == size)
     # The least ids of each vector, taken in two steps, so that a vector that fills the table is shared out.
     least = lambda ids: F.slice(F.array_sort(ids), 1, keep)
     some = rows.groupBy("vector", F.pmod(F.xxhash64("vec_id"), F.lit(parts)).alias("part")).agg(
         least(F.collect_list("vec_id")).alias("ids"), F.max("is_query").alias("searched")
     )
     entries = some.groupBy("vector").agg(least(F.flatten(F.collect_list("ids"))).alias("ids"), F.max("searched").alias("searched"))
-    entries = staging.table(entries.withColumn("entry", F.monotonically_increasing_id()), "entries")
+    entries = staging.table(entries.withColumn("entry", F.monotonically_increasing_id()), f"entries_{size}")
     bound = max(1, min(SAMPLE_ROWS, SAMPLE_NUMBERS // size))
     sample = _matrix(entries.select("vector", F.xxhash64("vector").alias("h")).orderBy("h").limit(bound).toArrow().column("vector"))
     tree = Tree(sample[::2])
@@ -209,16 +216,19 @@ def nearest(embeddings: DataFrame, is_query: Column, staging: Staging, neighbour
                 yield pa.RecordBatch.from_arrays(columns, ["query", "vector", "leaf"])
 
     indexed = entries.select("vector", "ids", "entry").mapInArrow(assign, "vector array<double>, ids array<long>, entry long, leaf long")
-    indexed = staging.table(indexed, "indexed")
+    indexed = staging.table(indexed, f"indexed_{size}")
     split = indexed.groupBy("leaf").agg(F.ceil(F.count(F.lit(1)) / GROUP_ROWS).cast("long").alias("parts"))
-    members = indexed.join(split, "leaf").withColumn("part", F.pmod(F.xxhash64("entry"), F.col("parts")))
     searches = entries.where("searched").select(F.col("entry").alias("query"), "vector")
-    searches = searches.mapInArrow(visit, "query long, vector array<double>, leaf long").join(split, "leaf")
-    searches = searches.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+    searches = staging.table(searches.mapInArrow(visit, "query long, vector array<double>, leaf long"), f"searches_{size}")
+    asked = searches.groupBy("leaf").agg(F.ceil(F.count(F.lit(1)) / QUERY_ROWS).cast("long").alias("blocks"))
+    each = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    split = staging.table(split.join(asked, "leaf"), f"split_{size}")
+    members = indexed.join(split, "leaf").withColumn("part", F.pmod(F.xxhash64("entry"), F.col("parts"))).withColumn("block", each("blocks"))
+    searches = searches.join(split, "leaf").withColumn("block", F.pmod(F.xxhash64("query"), F.col("blocks"))).withColumn("part", each("parts"))
     found = (
-        members.select("leaf", "part", "vector", "ids")
-        .groupBy("leaf", "part")
-        .cogroup(searches.select("leaf", "part", "query", "vector").groupBy("leaf", "part"))
+        members.select("leaf", "part", "block", "vector", "ids")
+        .groupBy("leaf", "part", "block")
+        .cogroup(searches.select(*[F.col(c).alias(c) for c in ("leaf", "part", "block")], "query", "vector").groupBy("leaf", "part", "block"))
         .applyInArrow(lambda k, one, two: _nearest_in_leaf(k, one, two, keep), "query long, score double, ids array<long>")
     )
     order = Window.partitionBy("query").orderBy(F.desc("score"), F.col("ids")[0])

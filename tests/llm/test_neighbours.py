@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tallybook.llm import neighbours
 from tallybook.llm.neighbours import Tree, cosine, nearest, unit, visits
 
 SCHEMA = "vec_id long, embedding array<float>, label int, leaf int, query string"
@@ -54,6 +55,17 @@ def test_recall(embeddings, staging):
     assert all(abs(s - dict((i, s) for _, i, s in want[q]).get(i, s)) < 1e-12 for q in got for _, i, s in got[q])
 
 
+@pytest.mark.parametrize("rows_at_once, queries_at_once", [(4000, 20_000), (7, 3)])
+def test_vectors_of_two_sizes_are_searched_among_their_own(embeddings, staging, monkeypatch, rows_at_once, queries_at_once):
+    monkeypatch.setattr(neighbours, "GROUP_ROWS", rows_at_once)
+    monkeypatch.setattr(neighbours, "QUERY_ROWS", queries_at_once)
+    random = np.random.default_rng(4)
+    three = [(i, random.normal(size=3).round(1).tolist()) for i in range(60)]
+    two = [(i, random.normal(size=2).round(1).tolist()) for i in range(100, 140)]
+    got = found(nearest(embeddings(three + two + [(500, [1.0])]), F.col("vec_id") % 5 == 0, staging))
+    assert got == brute(three, 5) | brute(two, 5)
+
+
 def test_fewer_candidates(embeddings, staging):
     got = found(nearest(embeddings([(0, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [1.0, 1.0])]), F.col("vec_id") % 50 == 0, staging))
     assert [x[1] for x in got[0]] == [2, 1]
