@@ -163,6 +163,65 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_KIND_PATTERNS = [(p, g) for _, p, g, _ in secret_scan.BASE] + [(f"{secret_scan.CANDIDATE}{{{secret_scan.LEAST_LENGTH},}}", 0)]
+_LEAST = [n for *_, n in secret_scan.BASE] + [secret_scan.LEAST_LENGTH]
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+# The samples that the models are fitted on hold all rows here: their bounds are not reached at this size.
+ORACLE_SQL["op10_secrets"] = rf"""
+WITH docs AS (
+    SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS text FROM documents
+), runs AS (
+    {" UNION ALL ".join(f"SELECT row, {k} AS kind, regexp_extract_all(text, {_quoted(p)}, 0) AS w, regexp_extract_all(text, {_quoted(p)}, {g}) AS v, regexp_split_to_array(text, {_quoted(p)}) AS gaps FROM docs" for k, (p, g) in enumerate(_KIND_PATTERNS))}
+), matches AS (
+    SELECT row, kind, v[i] AS value, (list_sum(list_transform(gaps[1:i], lambda x: length(x))) + list_sum(list_transform(w[1:i], lambda x: length(x))))::BIGINT AS stop,
+           stop - length(w[i]) AS start
+    FROM runs, unnest(range(1, len(w) + 1)) AS t(i) WHERE length(v[i]) >= [{", ".join(map(str, _LEAST))}][kind + 1]
+), base AS (
+    SELECT * FROM matches WHERE kind < 3
+), random AS (
+    SELECT DISTINCT value FROM base WHERE length(value) >= {secret_scan.LEAST_LENGTH} AND regexp_full_match(value, '{secret_scan.CANDIDATE}+')
+), ordinary AS (
+    SELECT value, count(*) AS times FROM (SELECT unnest(regexp_extract_all(text, '{secret_scan.CANDIDATE}{{8,}}')) AS value FROM docs)
+    WHERE NOT regexp_matches(value, '{secret_scan.HINT["hex"]}|{secret_scan.HINT["access"]}|^[0-9]+$') AND value NOT IN (SELECT value FROM base) GROUP BY value HAVING count(*) > 1
+), pairs AS (
+    SELECT model, value[i:i + 1] AS pair, sum(times) AS n
+    FROM (SELECT 1 AS model, value, 1 AS times FROM random UNION ALL SELECT 2, value, times FROM ordinary), unnest(range(1, length(value))) AS t(i) GROUP BY ALL
+), letters AS (
+    SELECT unnest(string_split('{secret_scan.ALPHABET}', '')) AS c
+), cells AS (
+    SELECT m.model, a.c AS one, b.c AS two, coalesce(n, 0)::DOUBLE AS n
+    FROM letters a, letters b, (VALUES (1), (2)) m(model) LEFT JOIN pairs ON pairs.model = m.model AND pairs.pair = a.c || b.c
+), single AS (
+    SELECT model, two, {secret_scan.BACKOFF} * (1 + sum(n)) / sum(1 + sum(n)) OVER (PARTITION BY model) AS share FROM cells GROUP BY model, two
+), chances AS (
+    SELECT model, one || two AS pair, (n + share) / (sum(n) OVER (PARTITION BY model, one) + {secret_scan.BACKOFF}) AS p
+    FROM cells JOIN single USING (model, two)
+), weights AS (
+    SELECT x.pair, ln(x.p / y.p) AS weight FROM chances x JOIN chances y ON x.pair = y.pair AND x.model = 1 AND y.model = 2
+), scored AS (
+    SELECT row, start, stop, sum(weight) AS score
+    FROM (SELECT row, start, stop, unnest(list_transform(range(1, length(value)), lambda i: value[i:i + 1])) AS pair FROM matches WHERE kind = 3 AND regexp_matches(value, '[A-Za-z]'))
+    JOIN weights USING (pair) GROUP BY row, start, stop
+), spans AS (
+    SELECT row, kind, start, stop FROM base
+    UNION ALL
+    SELECT s.row, 3, s.start, s.stop FROM scored s
+    WHERE score >= {secret_scan.LEAST_RATIO} AND NOT EXISTS (SELECT 1 FROM base b WHERE b.row = s.row AND b.start < s.stop AND s.start < b.stop)
+), texts AS (
+    SELECT *, ['assign', 'access', 'hex', 'random'][kind + 1] || ':' || start || ':' || stop AS text FROM spans
+)
+SELECT d.doc_id, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access, count(*) FILTER (kind = 2) AS n_hex,
+       sha256(coalesce(string_agg(x.text, ',' ORDER BY start, kind) FILTER (kind < 3), '')) AS base_sha256,
+       coalesce(string_agg(x.text, ',' ORDER BY start, kind), '') AS spans
+FROM docs d LEFT JOIN texts x USING (row) GROUP BY row, d.doc_id
+"""
+
+
 @query
 def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every document: that of the base patterns, and what the random field adds."""

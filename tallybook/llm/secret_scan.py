@@ -21,9 +21,12 @@ BASE = (
 HINT = {"assign": ASSIGN, "access": "AKIA[A-Z0-9]{16}", "hex": "[0-9a-f]{24}"}
 KINDS = [kind for kind, *_ in BASE] + ["random"]
 ALPHABET = string.ascii_letters + string.digits + "+/_=-"
-CANDIDATE = "[A-Za-z0-9+/_=-]+"
-LEAST_LENGTH = 20
-#: A candidate is a secret if its log-likelihood ratio, random to ordinary, is this much or more.
+CANDIDATE = "[A-Za-z0-9+/_=-]"
+#: Shorter runs are no candidates; from there on the ratio decides, which grows with the length.
+LEAST_LENGTH = 12
+#: Weight of a character's own frequency where few pairs are known.
+BACKOFF = 10.0
+#: A candidate with a letter is a secret if its log-likelihood ratio, random to ordinary, is this much or more.
 LEAST_RATIO = 6.0
 #: Bounds of the samples: strings that the base patterns found, and documents that give ordinary words.
 RANDOM_ROWS = 20_000
@@ -55,7 +58,7 @@ def extracted(documents: DataFrame) -> DataFrame:
     without any, so it is in the result.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
-    kinds = [*((k, p, g, n, HINT[k]) for k, p, g, n in BASE), ("random", CANDIDATE, 0, LEAST_LENGTH, f"{CANDIDATE[:-1]}{{{LEAST_LENGTH}}}")]
+    kinds = [*((k, p, g, n, HINT[k]) for k, p, g, n in BASE), ("random", f"{CANDIDATE}{{{LEAST_LENGTH},}}", 0, LEAST_LENGTH, f"{CANDIDATE}{{{LEAST_LENGTH}}}")]
     matches = [_matches(text, number, *rest) for number, (_, *rest) in enumerate(kinds)]
     rows = documents.select("doc_id", F.concat(*matches).alias("matches")).withColumn("row", F.monotonically_increasing_id())
     rows = rows.select("row", "doc_id", F.explode_outer("matches").alias("m")).select("row", "doc_id", "m.*")
@@ -67,30 +70,34 @@ def extracted(documents: DataFrame) -> DataFrame:
 
 
 def _pairs(strings: DataFrame) -> DataFrame:
-    """How often each pair of neighbouring characters occurs in the column ``value``."""
+    """How often each pair of neighbouring characters occurs in the column ``value``, each counted ``times``."""
     pair = F.explode(
         F.transform(F.sequence(F.lit(1), F.length("value") - 1), lambda i: F.substring(F.col("value"), i, F.lit(2)))
     )
-    return strings.where(F.length("value") > 1).select(pair.alias("pair")).groupBy("pair").count()
+    return strings.where(F.length("value") > 1).select(pair.alias("pair"), "times").groupBy("pair").agg(F.sum("times").alias("count"))
 
 
 def _chances(pairs: DataFrame) -> list[list[float]]:
-    """Transition probabilities, each count raised by one: at most len(ALPHABET) ** 2 rows are fetched."""
-    counts = [[1.0] * len(ALPHABET) for _ in ALPHABET]
+    """Transition probabilities: counts of pairs, and BACKOFF more spread as the second characters are; of
+    these each count is raised by one. At most len(ALPHABET) ** 2 rows are fetched."""
+    counts = [[0] * len(ALPHABET) for _ in ALPHABET]
     for row in pairs.collect():
         one, two = (ALPHABET.find(c) for c in row["pair"])
         counts[one][two] += row["count"]
-    return [[x / sum(line) for x in line] for line in counts]
+    single = [1 + sum(line[k] for line in counts) for k in range(len(ALPHABET))]
+    share = [BACKOFF * n / sum(single) for n in single]
+    return [[(n + x) / (sum(line) + BACKOFF) for n, x in zip(line, share, strict=True)] for line in counts]
 
 
 def trained(found: DataFrame, documents: DataFrame) -> list[float]:
     """The log ratio of the two models' transition probabilities, by character pair.
 
     Random strings are a sample of those that base patterns found and that are long enough; ordinary ones
-    are words of eight characters or more, of a sample of documents, without what those patterns take.
+    are words of eight characters or more that a sample of documents has at least twice, as a random string
+    hardly is, without what those patterns take.
     Without random strings their model is uniform.
     """
-    clean = f"^[{CANDIDATE[1:-2]}]+$"
+    clean = f"^{CANDIDATE}+$"
     random = (
         found.where(F.col("kind").isin(0, 1, 2) & (F.length("value") >= LEAST_LENGTH) & F.col("value").rlike(clean))
         .select("value")
@@ -100,10 +107,11 @@ def trained(found: DataFrame, documents: DataFrame) -> list[float]:
     )
     some = documents.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(ORDINARY_DOCUMENTS)
     texts = documents.join(F.broadcast(some), "doc_id", "left_semi")  # at most ORDINARY_DOCUMENTS ids
-    words = texts.select(F.explode(F.regexp_extract_all(F.col("text"), F.lit(f"{CANDIDATE[:-1]}{{8,}}"), F.lit(0))).alias("value"))
+    words = texts.select(F.explode(F.regexp_extract_all(F.col("text"), F.lit(f"{CANDIDATE}{{8,}}"), F.lit(0))).alias("value"))
     ordinary = words.where(~F.col("value").rlike(f"{HINT['hex']}|{HINT['access']}|^[0-9]+$"))
+    ordinary = ordinary.groupBy("value").agg(F.count(F.lit(1)).alias("times")).where("times > 1")
     ordinary = ordinary.join(found.where("kind in (0, 1, 2)").select("value").distinct(), "value", "left_anti")
-    one, two = _chances(_pairs(random)), _chances(_pairs(ordinary))
+    one, two = _chances(_pairs(random.withColumn("times", F.lit(1)))), _chances(_pairs(ordinary))
     return [log(x / y) for a, b in zip(one, two, strict=True) for x, y in zip(a, b, strict=True)]
 
 
@@ -122,13 +130,14 @@ def scan(documents: DataFrame, staging: Staging) -> DataFrame:
     """One row per document: doc_id, counts of each kind, and spans: array of (start, kind, end).
 
     Spans of a kind don't overlap; start and end count code points. Candidates of the Markov models are
-    runs of 20 or more of ALPHABET outside of all base spans. Null texts are empty; rows with repeated or
-    null ids get a row each. Columns other than doc_id and text are not read.
+    runs of LEAST_LENGTH or more of ALPHABET with a letter, outside of all base spans. Null texts are empty; rows with repeated
+    or null ids get a row each. Very long texts are scanned whole. An empty table gives no rows. Columns other
+    than doc_id and text are not read.
     """
     documents = documents.select("doc_id", "text")
     found = staging.table(extracted(documents), "found")
     score = ratio(F.col("value"), trained(found, documents))
-    good = found.withColumn("kind", F.when((F.col("kind") < 3) | (score >= LEAST_RATIO), F.col("kind")))
+    good = found.withColumn("kind", F.when((F.col("kind") < 3) | (F.col("value").rlike("[A-Za-z]") & (score >= LEAST_RATIO)), F.col("kind")))
     base = F.col("kind") < 3
     order = Window.partitionBy("row").orderBy("start", "kind")
     before = F.max(F.when(base, F.col("end"))).over(order.rowsBetween(Window.unboundedPreceding, -1))
