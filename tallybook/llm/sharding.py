@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from bisect import bisect_left, insort
+from dataclasses import dataclass
+from random import Random
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -16,11 +17,65 @@ from tallybook.llm.staging import Staging
 SIZE_BITS = 13
 
 
+@dataclass
+class _Node:
+    key: tuple[int, int]
+    weight: float
+    left: _Node | None = None
+    right: _Node | None = None
+
+
+def _split(node: _Node | None, key: tuple[int, int]) -> tuple[_Node | None, _Node | None]:
+    """The keys below ``key``, and the others."""
+    if node is None:
+        return None, None
+    if node.key < key:
+        node.right, high = _split(node.right, key)
+        return node, high
+    low, node.left = _split(node.left, key)
+    return low, node
+
+
+def _merge(low: _Node | None, high: _Node | None) -> _Node | None:
+    """Two trees, of which one has all smaller keys; the lighter root stays above."""
+    if low is None or high is None:
+        return low or high
+    if low.weight < high.weight:
+        low.right = _merge(low.right, high)
+        return low
+    high.left = _merge(low, high.left)
+    return high
+
+
+class RoomTree:
+    """Remaining capacities with their bins in a binary tree, which random weights keep balanced."""
+
+    def __init__(self):
+        self.root, self.random = None, Random(0)
+
+    def add(self, room: int, number: int) -> None:
+        low, high = _split(self.root, (room, number))
+        self.root = _merge(_merge(low, _Node((room, number), self.random.random())), high)
+
+    def take_tightest(self, size: int) -> tuple[int, int] | None:
+        """Take out the bin with the least room for ``size``, of equal ones that of the least number."""
+        low, high = _split(self.root, (size, -1))
+        if high is None:
+            self.root = low
+            return None
+        first = high
+        while first.left:
+            first = first.left
+        _, rest = _split(high, (first.key[0], first.key[1] + 1))
+        self.root = _merge(low, rest)
+        return first.key
+
+
 class Bins:
-    """Open bins in a balanced order by remaining capacity; equal ones by number."""
+    """Open bins in a balanced tree by remaining capacity; equal ones by number."""
 
     def __init__(self, capacity: int, bins: int):
-        self.capacity, self.most, self.used, self.rest = capacity, bins, 0, []
+        self.capacity, self.most, self.used, self.rest = capacity, bins, 0, RoomTree()
 
     def place(self, size: int, count: int) -> list[tuple[int, int]] | None:
         """Put ``count`` items of ``size`` one by one into the tightest bin each: (bin, items) in order.
@@ -30,16 +85,16 @@ class Bins:
         """
         placed = []
         while count:
-            at = bisect_left(self.rest, (size, -1))
-            if at < len(self.rest):
-                room, number = self.rest.pop(at)
+            tightest = self.rest.take_tightest(size)
+            if tightest:
+                room, number = tightest
             elif self.used < self.most and size <= self.capacity:
                 room, number = self.capacity, self.used
                 self.used += 1
             else:
                 return None
             taken = min(count, room // size) if size else count
-            insort(self.rest, (room - taken * size, number))
+            self.rest.add(room - taken * size, number)
             placed.append((number, taken))
             count -= taken
         return placed
@@ -90,7 +145,9 @@ def shard(documents: DataFrame, bins: int, staging: Staging, id_col: str = "doc_
     Groups are equal texts and are never divided. Their sizes, largest first, go into the bin with the
     least room that still takes them; the capacity is the least one that needs no more than ``bins``
     bins, so their sizes come out near equal. The driver sees only the table of group sizes, bounded by
-    ``SIZE_BITS``; groups find their bin by their rank among groups of that size.
+    ``SIZE_BITS``; groups find their bin by their rank among groups of that size. A size is planned
+    with less than 1 in 4,096 (2 ** (SIZE_BITS - 1)) more than it is, so a shard never holds more than its
+    planned capacity, and the planned sizes are larger than the true ones by less than that part.
 
     A null text has size 1 and the checksum of the empty text, but is a group apart from empty texts.
     Rows with equal ids are kept, all of them. An empty table gives none. Other columns are not read.

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,6 +22,20 @@ def shared_folder(spark: SparkSession) -> str:
     raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
 
 
+_opened: list[Staging] = []
+
+
+@contextlib.contextmanager
+def released() -> Iterator[None]:
+    """At its end all tables are deleted that were staged inside, so read no result of theirs after it."""
+    before = len(_opened)
+    try:
+        yield
+    finally:
+        while len(_opened) > before:
+            _opened.pop().clear()
+
+
 class Staging:
     """Intermediate tables of one run of an operator, under a folder of its own.
 
@@ -30,6 +46,7 @@ class Staging:
         self.spark = spark
         self.root = f"{(folder or shared_folder(spark)).rstrip('/')}/llm-{uuid.uuid4().hex}"
         atexit.register(self._at_exit)
+        _opened.append(self)
 
     def table(self, frame: DataFrame, name: str) -> DataFrame:
         """Write ``frame`` and return the written table, whose plan has no memory of how it was made.

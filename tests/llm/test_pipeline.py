@@ -1,4 +1,5 @@
 import random
+from pathlib import Path
 
 import corpus_pipeline
 import pytest
@@ -71,6 +72,28 @@ def test_stages_of_an_empty_table(spark, folder, tmp_path):
         assert docs.count() == 0
 
 
+def test_stages_keep_columns_of_clashing_names(spark, folder, tmp_path):
+    extra = "content row id kept own rank block order mark base_spans score mixture position label fold".split()
+    docs = spark.read.parquet(f"{folder}/documents.parquet").where("doc_id < 60 or doc_id >= 880 or doc_id is null")
+    docs = docs.select("*", *[F.lit(k).alias(name) for k, name in enumerate(extra)])
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        stage(spark, docs, folder).write.parquet(f"{tmp_path}/{name}")
+        docs = spark.read.parquet(f"{tmp_path}/{name}")
+        assert docs.columns == [*DOCUMENT, *extra]
+        assert docs.select(*extra).distinct().collect() == [tuple(range(len(extra)))]
+    ids = {r.doc_id for r in docs.select("doc_id").collect()}
+    assert {900, 901, 902, 903, None} <= ids
+    assert {r.doc_id for r in corpus_pipeline.pack_sequences(spark, docs, folder).collect()} == ids
+
+
+def test_a_run_leaves_only_its_results(spark, folder):
+    shared = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:"))
+    before = set(shared.iterdir())
+    corpus_pipeline.run(spark, folder).count()
+    (new,) = set(shared.iterdir()) - before
+    assert {p.name for p in new.iterdir()} == {name for name, _ in corpus_pipeline.STAGES}
+
+
 def test_sequences_follow_the_weights(spark, tmp_path, monkeypatch):
     random.seed(20)
     rows = [(i, " ".join(["alpha"] * random.choice([250, 430, 610, 900])), "abc"[i % 3]) for i in range(1800)]

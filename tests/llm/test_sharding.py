@@ -2,7 +2,9 @@ import random
 import zlib
 from collections import Counter, defaultdict
 
-from tallybook.llm.sharding import Bins, least_capacity, pack_classes, shard
+from pyspark.sql import functions as F
+
+from tallybook.llm.sharding import Bins, RoomTree, least_capacity, pack_classes, rounded_up, shard
 
 
 def test_best_fit_matches_one_item_at_a_time():
@@ -30,6 +32,27 @@ def test_best_fit_matches_one_item_at_a_time():
             assert sorted(load.values()) == sorted(capacity - r for r in rest)
 
 
+def test_tree_takes_the_tightest_room():
+    random.seed(2)
+    tree, rooms = RoomTree(), []
+    for number in range(3000):
+        if random.random() < 0.6 or not rooms:
+            rooms.append((random.randint(0, 500), number))
+            tree.add(*rooms[-1])
+        else:
+            size = random.randint(0, 520)
+            want = min((r for r in rooms if r[0] >= size), default=None)
+            assert tree.take_tightest(size) == want
+            if want:
+                rooms.remove(want)
+
+
+def test_sizes_are_rounded_by_less_than_the_stated_part(spark):
+    rows = spark.range(1, 200_000).select((F.col("id") * F.col("id") % 10**10 + 1).alias("size"))
+    worst = rows.select("size", rounded_up(F.col("size")).alias("up")).agg(F.min(F.expr("up - size")), F.max(F.expr("(up - size) / size"))).first()
+    assert worst[0] >= 0 and worst[1] < 1 / 4096
+
+
 def test_no_room():
     assert Bins(5, 2).place(6, 1) is None
     assert least_capacity([(7, 1)], 3) == [(7, 0, 1, 0)]
