@@ -3,7 +3,9 @@
 toxicity drops the documents that its classifier rejects; near_duplicates keeps one document of each
 class; personal_data masks what it finds; mixing puts the documents in the order of the mixture, file by
 file; packing gives the pieces of all of them with their sequences, which follow the mixture. All but the
-last return the columns of documents.
+last return the columns of documents. What the operators do with nulls, empty and very long texts, ties,
+repeated rows and empty tables holds for their stages: no row is lost but those that a stage rejects, and
+columns of other names, also clashing ones, come through to packing.
 """
 
 from __future__ import annotations
@@ -13,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tallybook.llm import dartminhash, mixing, packing, personal_data, toxicity
 from tallybook.llm.queries import importable, table
-from tallybook.llm.staging import Staging
+from tallybook.llm.staging import Staging, released
 
 
 #: Weights of the sources; None: the root of their row counts.
@@ -32,10 +34,11 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """One document of each near-duplicate class, that of the least id; of wholly repeated rows, one."""
     importable(spark)
     found = dartminhash.classes(docs, Staging(spark)).where("first_of_class")
-    kept = found.select(F.col("doc_id").alias("__id"), F.col("content").alias("__kept"))
-    marked = docs.withColumn("__content", dartminhash.content(F.col("text")))
-    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__content") == F.col("__kept"))
-    return marked.join(kept, same, "left_semi").dropDuplicates(["doc_id", "__content"]).select(docs.columns)
+    kept = found.select(F.col("doc_id").alias("id"), F.col("content").alias("kept"))
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    marked = docs.select(row, F.col("doc_id").alias("own"), dartminhash.content(F.col("text")).alias("content"))
+    same = F.col("own").eqNullSafe(F.col("id")) & (F.col("content") == F.col("kept"))
+    return marked.join(kept, same, "left_semi").dropDuplicates(["own", "content"]).select("row.*")
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -94,9 +97,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents of ``sf_dir``."""
+    """All stages over the documents of ``sf_dir``; what a stage staged goes when its result is written."""
     staging = Staging(spark)
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        docs = staging.table(stage(spark, docs, sf_dir), name)
-    return STAGES[-1][1](spark, docs, sf_dir)
+    for name, stage in STAGES:
+        with released():
+            docs = staging.table(stage(spark, docs, sf_dir), name)
+    return docs
