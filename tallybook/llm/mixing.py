@@ -52,8 +52,8 @@ def shares(weights: dict[str, float], period: int = PERIOD) -> dict[str, int]:
     rest = period - sum(parts.values())
     for s in by_rest[: max(rest, 0)]:
         parts[s] += 1
-    for s in sorted(exact, key=lambda s: (-parts[s], s))[: max(-rest, 0)]:
-        parts[s] -= 1
+    for _ in range(-rest):
+        parts[max(parts, key=lambda s: (parts[s], s))] -= 1
     return parts
 
 

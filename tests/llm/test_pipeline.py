@@ -3,7 +3,7 @@ from pathlib import Path
 
 import corpus_pipeline
 import pytest
-from checks.compare import connect
+from checks.compare import connect, differences
 from pyspark.sql import functions as F
 
 from tallybook.llm.queries import ORACLE_SQL, QUERIES
@@ -126,15 +126,10 @@ def test_run_changes_with_the_weights(spark, folder, monkeypatch):
 
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_queries_against_sql(spark, name):
-    duck = connect(SF)
-    got, want = QUERIES[name](spark, SF).toPandas(), duck.sql(ORACLE_SQL[name]).df()
-    columns = sorted(got.columns)
-    assert columns == sorted(want.columns)
-    got, want = (x[columns].sort_values("doc_id").astype(str).values.tolist() for x in (got, want))
-    assert got == want
+    assert differences(QUERIES[name](spark, SF), connect(SF), ORACLE_SQL[name]) is None
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"op6_neighbours"}))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"op6_neighbours", "op11_divergence"}))
 def test_queries_return_every_document(spark, name):
     ids = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id")
     got = QUERIES[name](spark, SF).groupBy("doc_id").agg(F.count("*").alias("n"))
