@@ -28,6 +28,13 @@ PRICE_COLUMNS = (
     "ledger, subledger, beneficiary_code"
 )
 
+EXPORT_COLUMNS = (
+    "oms_id_sales_order_item, order_nr, id_supplier, short_code, supplier_name, transaction_type, "
+    "CAST(transaction_value AS DOUBLE) AS transaction_value, comment, item_status, payment_method, "
+    "shipment_provider_name, CAST(paid_price AS DOUBLE) AS paid_price, "
+    "CAST(voucher AS DOUBLE) AS voucher, ledger, subledger, beneficiary_code"
+)
+
 
 def _blank_number(column: str) -> str:
     return (
@@ -90,23 +97,19 @@ def _extract(days: str = "true") -> str:
     """Each transaction of the days with what its four references name, or nothing."""
     return f"""
     SELECT id_transaction, placed.src_id AS oms_id_sales_order_item, placed.number AS order_nr,
-           merchant.id AS id_supplier, merchant.short_code, merchant.shop AS supplier_name,
-           kind.label AS transaction_type, kind.id AS id_transaction_type,
-           money AS transaction_value, paper.id AS id_transaction_statement,
-           paper.opened AS statement_start_date, paper.closed AS statement_end_date,
-           remark AS comment, strftime(day, '%Y-%m-01') AS booking_period
-    FROM (SELECT id_transaction, value AS money, description AS remark, created_at AS day, ref,
-                 fk_tre2_account_statement_group AS kind_ref, fk_seller AS merchant_ref,
-                 fk_transaction_statement AS paper_ref
-          FROM txn WHERE {days}) booked
-    LEFT JOIN ({_PLACED}) placed ON booked.ref = placed.item
-    LEFT JOIN (SELECT id_seller AS id, short_code, name AS shop FROM seller) merchant
-           ON merchant_ref = merchant.id
-    LEFT JOIN (SELECT id_tre2_account_statement_group AS id, name AS label
-               FROM statement_group) kind ON kind_ref = kind.id
-    LEFT JOIN (SELECT id_transaction_statement AS id, CAST(start_date AS VARCHAR) AS opened,
-                      CAST(end_date AS VARCHAR) AS closed FROM statement) paper
-           ON paper_ref = paper.id"""
+           id_seller AS id_supplier, short_code, seller.name AS supplier_name,
+           statement_group.name AS transaction_type,
+           id_tre2_account_statement_group AS id_transaction_type,
+           value AS transaction_value, id_transaction_statement,
+           CAST(start_date AS VARCHAR) AS statement_start_date,
+           CAST(end_date AS VARCHAR) AS statement_end_date,
+           description AS comment, strftime(created_at, '%Y-%m-01') AS booking_period
+    FROM (SELECT * FROM txn WHERE {days}) booked
+    LEFT JOIN ({_PLACED}) placed ON ref = placed.item
+    LEFT JOIN seller ON id_seller = fk_seller
+    LEFT JOIN statement_group
+           ON id_tre2_account_statement_group = fk_tre2_account_statement_group
+    LEFT JOIN statement ON id_transaction_statement = fk_transaction_statement"""
 
 
 _MONTH = "created_at >= DATE '1996-12-01' AND created_at < DATE '1997-01-01'"
@@ -388,6 +391,37 @@ def _append(rows: str, stored: str, keys: tuple[str, ...], codes: tuple[str, ...
 
 _PARTS = ("transaction_type", "item_status", "payment_method", "shipment_provider_name")
 
+_UPLOAD_COLUMNS = {
+    "up_beneficiary": ("short_code", "beneficiary_code"),
+    "up_retail": ("short_code",),
+    "up_ledger": (*_PARTS, "ledger", "subledger"),
+}
+_UPLOAD_ERRORS = {
+    "beneficiary": _BENEFICIARY_ERROR,
+    "retail": _upload_error(_SHORT_CODE),
+    "ledger": _LEDGER_ERROR,
+}
+_UPLOAD_NAMES = {"beneficiary": "benef_code_map", "retail": "retail_supplier", "ledger": "ledger_map"}
+
+
+def _csv(view: str) -> str:
+    columns = ", ".join(f"nullif({c}, '') AS {c}" for c in _UPLOAD_COLUMNS[view])
+    return f"SELECT CAST(row_no AS VARCHAR) AS line, {columns} FROM {view}"
+
+
+def _log(view: str) -> str:
+    line = ", ".join(f"coalesce({c}, '')" for c in _UPLOAD_COLUMNS[f"up_{view}"])
+    return f"""
+        SELECT '{_UPLOAD_NAMES[view]}' AS upload, error, concat_ws('|', {line}) AS line
+        FROM (SELECT *, {_UPLOAD_ERRORS[view]} FROM up_{view}) WHERE error IS NOT NULL"""
+
+
+def _gate(view: str, error: str) -> str:
+    return f"""
+        SELECT '{view}' AS upload, count(*) AS rows, count(error) AS invalid_rows,
+               count(error) = 0 AS accepted FROM (SELECT *, {error} FROM {view})"""
+
+
 _SELECTS: dict[str, str] = {
     "sc_extract": f"SELECT {EXTRACT_COLUMNS} FROM extract",
     "oms_extract": """
@@ -497,6 +531,29 @@ _SELECTS: dict[str, str] = {
     ),
     "append_retail": _append("ok_retail", "retail", ("short_code",), ()),
     "append_ledger_map": _append("ok_ledger", "ledger_rows_gaps", _PARTS, ("ledger", "subledger")),
+    "csv_beneficiary": _csv("up_beneficiary"),
+    "csv_retail": _csv("up_retail"),
+    "csv_ledger_map": _csv("up_ledger"),
+    "upload_log": " UNION ALL ".join(map(_log, _UPLOAD_ERRORS)),
+    "upload_gate": " UNION ALL ".join(
+        _gate(f"{state}_{view}", error)
+        for view, error in _UPLOAD_ERRORS.items()
+        for state in ("up", "ok")
+    ),
+    "run_gates": """
+        SELECT 'missing_beneficiary_codes' AS gate, count(*) AS rows, count(*) > 0 AS stops FROM sc
+        WHERE short_code NOT IN (SELECT short_code FROM benef_gaps)
+        UNION ALL SELECT 'missing_ledger_keys', count(DISTINCT v.ledger_map_key), count(*) > 0
+        FROM item_valid v WHERE NOT EXISTS (
+            SELECT 1 FROM ledger_rows_gaps m
+            WHERE concat(m.transaction_type, '-', m.item_status, '-', m.payment_method, '-',
+                         m.shipment_provider_name) = v.ledger_map_key)
+        UNION ALL SELECT 'invalid_seller_rows', count(*), false
+        FROM sc_checked WHERE error IS NOT NULL
+        UNION ALL SELECT 'invalid_item_price_rows', count(*), false
+        FROM item_checked WHERE error IS NOT NULL""",
+    "export_ipc_final": f"SELECT {EXPORT_COLUMNS} FROM ipc",
+    "export_ipt_final": f"SELECT {EXPORT_COLUMNS} FROM ipt",
     "shipped_ledger_keys": f"""
         SELECT DISTINCT concat(item_status || '-', payment_method || '-', shipment_provider_name)
                    AS ledger_map_key

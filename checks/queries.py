@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
+import uuid
 from collections.abc import Callable, Mapping
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import fixture
 from tallybook import fixed
+from tallybook.filesystem import FileSystem
 from tallybook.functions.joins import first_per_key
 from tallybook.functions.periods import (
     Period,
@@ -26,7 +30,9 @@ from tallybook.operators.row_checks import (
     check_seller_rows,
 )
 from tallybook.sinks import files
+from tallybook.sinks.files import write_csv
 from tallybook.sources import maps, orders, seller
+from tallybook.sources.readers import read_upload
 from tallybook.sources.schemas import STAGED_COLUMNS
 from tallybook.storage import work_folder
 
@@ -192,6 +198,78 @@ def _named(rows: DataFrame) -> DataFrame:
     )
 
 
+def _csv(kind: str, view: str) -> Callable[[Booking], DataFrame]:
+    """The view written as CSV files, with a column whose values hold line breaks, and read as an upload."""
+
+    def read(b: Booking) -> DataFrame:
+        spark, columns = b.sources.spark, uploads.UPLOADS[kind].columns
+        note = F.lit('first\nsecond, "third"').alias("note")
+        line = F.col("row_no").cast("string").alias("line")
+        path = scratch_folder(spark)
+        write_csv(b.view(view).select(note, *columns, line), path)
+        return read_upload(spark, path, ["line", *columns]).select("line", *columns)
+
+    return read
+
+
+def scratch_folder(spark: SparkSession) -> str:
+    """A folder that all executors reach, deleted when the program ends."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    path = f"{root.rstrip('/')}/_scratch-{uuid.uuid4().hex}"
+    files_there = FileSystem(spark, path)
+
+    def clear() -> None:
+        with contextlib.suppress(Exception):  # the session may have ended before, with its folders
+            files_there.delete(path)
+
+    atexit.register(clear)
+    return path
+
+
+_VIEWS = {"benef_code_map": "beneficiary", "retail_supplier": "retail", "ledger_map": "ledger"}
+
+
+def _upload_log(b: Booking) -> DataFrame:
+    """What the error logs of the three uploads say, each row as one text."""
+    logs = []
+    for kind, view in _VIEWS.items():
+        wrong = invalid_rows(_upload(kind, f"up_{view}")(b))
+        text = F.concat_ws("|", *[F.coalesce(c, F.lit("")) for c in uploads.UPLOADS[kind].columns])
+        logs.append(wrong.select(F.lit(kind).alias("upload"), "error", text.alias("line")))
+    return reduce(DataFrame.unionAll, logs)
+
+
+def _upload_gate(b: Booking) -> DataFrame:
+    """All or nothing: of a file with one invalid row nothing is stored."""
+    out = []
+    for kind, view in _VIEWS.items():
+        for state in ("up", "ok"):
+            invalid = F.count_if(F.col("error").isNotNull())
+            counted = _upload(kind, f"{state}_{view}")(b).agg(
+                F.count("*").alias("rows"), invalid.alias("invalid_rows"), (invalid == 0).alias("accepted")
+            )
+            out.append(counted.select(F.lit(f"{state}_{view}").alias("upload"), "*"))
+    return reduce(DataFrame.unionAll, out)
+
+
+def _gates(b: Booking) -> DataFrame:
+    """What stops a run with incomplete maps: missing codes do, invalid rows don't."""
+    codes = matching.missing_beneficiary(b.sc, b.view("benef_gaps"))
+    ledger_map = maps.read_ledger_map(b.view("ledger_rows_gaps"))
+    keys = matching.missing_ledger_keys(b.item_prices_valid, ledger_map)
+    found = {
+        "missing_beneficiary_codes": (codes, F.count("*") > 0),
+        "missing_ledger_keys": (keys, F.count("*") > 0),
+        "invalid_seller_rows": (invalid_rows(b.checked), F.lit(False)),
+        "invalid_item_price_rows": (invalid_rows(b.item_prices_checked), F.lit(False)),
+    }
+    counted = [
+        df.agg(F.count("*").alias("rows"), stops.alias("stops")).select(F.lit(gate).alias("gate"), "*")
+        for gate, (df, stops) in found.items()
+    ]
+    return reduce(DataFrame.unionAll, counted)
+
+
 def _upload(kind: str, view: str) -> Callable[[Booking], DataFrame]:
     return lambda b: uploads.check_upload(b.view(view), uploads.UPLOADS[kind])
 
@@ -261,6 +339,14 @@ STEPS: dict[str, Callable[[Booking], DataFrame]] = {
     "append_beneficiary": _append("benef_code_map", "ok_beneficiary", "benef"),
     "append_retail": _append("retail_supplier", "ok_retail", "retail"),
     "append_ledger_map": _append("ledger_map", "ok_ledger", "ledger_rows_gaps"),
+    "csv_beneficiary": _csv("benef_code_map", "up_beneficiary"),
+    "csv_retail": _csv("retail_supplier", "up_retail"),
+    "csv_ledger_map": _csv("ledger_map", "up_ledger"),
+    "upload_log": _upload_log,
+    "upload_gate": _upload_gate,
+    "run_gates": _gates,
+    "export_ipc_final": lambda b: enrich.ipc_final(b.prices).select(*files.PRICE_EXPORT),
+    "export_ipt_final": lambda b: enrich.ipt_final(b.prices).select(*files.PRICE_EXPORT),
     "shipped_ledger_keys": lambda b: orders.shipped_ledger_keys(b.tables, b.item_ids),
 } | {
     f"bucket_{name}": (lambda b, name=name: routing.bucket(b.sc, name)) for name in fixed.BUCKETS

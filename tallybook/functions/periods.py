@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -21,13 +21,6 @@ class Period:
         following = date(year + month // 12, month % 12 + 1, 1)
         return cls(date(year, month, 1), following)
 
-    @classmethod
-    def previous_month(cls, as_of: date) -> Period:
-        """The calendar month before the one ``as_of`` lies in."""
-        if as_of.month == 1:
-            return cls.month(as_of.year - 1, 12)
-        return cls.month(as_of.year, as_of.month - 1)
-
     def months(self) -> list[date]:
         """The first days of the months that the period touches."""
         out, month = [], self.start.replace(day=1)
@@ -53,3 +46,10 @@ def previous_month_start(as_of: Column) -> Column:
 def previous_month_end(as_of: Column) -> Column:
     """First day after the previous month."""
     return F.trunc(as_of, "MM")
+
+
+def previous_month(spark: SparkSession, as_of: date) -> Period:
+    """The calendar month before the one ``as_of`` lies in, by the same columns."""
+    day = F.lit(as_of)
+    start, end = previous_month_start(day).alias("start"), previous_month_end(day).alias("end")
+    return Period(*spark.range(1).select(start, end).first())

@@ -14,7 +14,7 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallybook.functions.periods import Period, in_period
+from tallybook.functions.periods import Period, in_period, previous_month
 from tallybook.functions.rules import invalid_rows, valid_rows
 from tallybook.operators import enrich, matching, postings, routing
 from tallybook.operators.counts import StepCounts, checked_rows, rows
@@ -75,7 +75,7 @@ def run_booking(
     """
     spark = tables["transaction"].sparkSession
     if period is None and not every_month:
-        period = Period.previous_month(date.today())
+        period = previous_month(spark, date.today())
     with work_folder(spark, out) as work, publication(spark, out) as new:
         return _book(tables, out, None if every_month else period, details, work, new)
 

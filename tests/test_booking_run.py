@@ -8,7 +8,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from tallybook.functions.periods import Period
+from tallybook.functions.periods import Period, previous_month
 from tallybook.operators.gates import MissingBeneficiaryCodes, MissingLedgerKeys, NotBalanced
 from tallybook.plans.booking import run_booking
 from tallybook.sinks.files import plain_number, write_csv
@@ -212,7 +212,7 @@ def test_a_clean_run_replaces_the_logs_of_a_stopped_one(spark, tmp_path):
     assert read_csv(spark, stop.value.log).count() == 0
 
 
-def test_period_bounds():
-    assert Period.previous_month(date(2018, 1, 15)) == Period.month(2017, 12)
-    assert Period.previous_month(date(2018, 5, 1)) == APRIL
+def test_period_bounds(spark):
+    assert previous_month(spark, date(2018, 1, 15)) == Period.month(2017, 12)
+    assert previous_month(spark, date(2018, 5, 1)) == APRIL
     assert Period.month(2017, 12).end == date(2018, 1, 1)
