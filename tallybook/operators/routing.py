@@ -33,7 +33,7 @@ def category(written: DataFrame, name: str, commented: bool = False) -> DataFram
     """One category of the written table of all; only its own files are read, and of the commented
     subset only those."""
     rows = written.where(F.col("bucket") == name)
-    return (rows.where("commented") if commented else rows).drop("bucket", "commented")
+    return (rows.where("commented = 1") if commented else rows).drop("bucket", "commented")
 
 
 def commented(rows: DataFrame) -> DataFrame:

@@ -104,7 +104,7 @@ def write_categories(routed: DataFrame, path: str) -> None:
     Rows are dealt by category before they are written, so that each has few files; Spark splits a large
     category over many tasks and merges small ones.
     """
-    rows = routed.withColumn("commented", F.col("comment").isNotNull())
+    rows = routed.withColumn("commented", F.col("comment").isNotNull().cast("int"))
     by = ["bucket", "commented"]
     rows.hint("rebalance", *by).write.mode("overwrite").partitionBy(*by).parquet(path)
 
