@@ -46,6 +46,41 @@ def test_two_small_ones_fill_the_place_of_one():
     assert plan({10: 1, 4: 1, 3: 2}, 16) == [([10, 3, 3], 1), ([4], 1)]
 
 
+def one_by_one(counts, room):
+    """Best-two-fit of single documents, one bin after the other."""
+    left, bins = sorted(Counter(counts).elements()), []
+    while left:
+        chosen, rest = [], room
+        while fits := [x for x in left if x <= rest]:
+            chosen.append(max(fits))
+            left.remove(chosen[-1])
+            rest -= chosen[-1]
+        while rest and len(chosen) > 1:
+            least = min(chosen)
+            pairs = [(a + b, -a, -b) for i, a in enumerate(left) for b in left[i + 1 :] if least < a + b <= rest + least]
+            if not pairs:
+                break
+            total, a, b = max(pairs)
+            chosen.remove(least)
+            chosen += [-a, -b]
+            left = sorted([*left, least])
+            left.remove(-a)
+            left.remove(-b)
+            rest += least - total
+        bins.append(sorted(chosen, reverse=True))
+    return bins
+
+
+def test_plan_against_single_documents():
+    """Bins made many at a time are those made one by one: as many, and each of them filled alike."""
+    random.seed(8)
+    for _ in range(60):
+        counts = Counter(random.choice([random.randint(1, 40), random.randint(1, 8)]) for _ in range(random.randint(1, 45)))
+        want, got = one_by_one(counts, 40), [lengths for lengths, times in plan(counts, 40) for _ in range(times)]
+        assert len(got) == len(want)
+        assert sorted(map(sum, got)) == sorted(map(sum, want))
+
+
 def check(plain, rows, found, sequence):
     by_doc, by_sequence = defaultdict(list), defaultdict(list)
     for r in found:
