@@ -110,6 +110,31 @@ def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dartminhash.classes(documents, Staging(spark)).select("doc_id", "class_id")
 
 
+# All links, of which the buckets miss one of 0.8 similarity with a probability of 0.0001, and none here.
+ORACLE_SQL["op7_near_duplicates"] = r"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w FROM documents
+), bags AS (
+    SELECT doc_id, s, count(*) AS n
+    FROM (SELECT doc_id, array_to_string(w[i:i + 4], ' ') AS s FROM words, unnest(range(1, greatest(len(w) - 3, 2))) AS t(i) WHERE len(w) > 0)
+    GROUP BY ALL
+), weights AS (
+    SELECT doc_id, sum(n) AS total FROM bags GROUP BY doc_id
+), shared AS (
+    SELECT x.doc_id AS a, y.doc_id AS b, sum(least(x.n, y.n)) AS c FROM bags x JOIN bags y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY ALL
+), links AS (
+    SELECT a, b FROM shared JOIN weights x ON x.doc_id = a JOIN weights y ON y.doc_id = b WHERE 100 * c >= 80 * (x.total + y.total - c)
+    UNION
+    SELECT x.doc_id, y.doc_id FROM documents x JOIN documents y ON x.text IS NOT DISTINCT FROM y.text AND x.doc_id <> y.doc_id
+), reach AS (
+    SELECT doc_id AS a, doc_id AS b FROM documents
+    UNION
+    SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b
+)
+SELECT a AS doc_id, min(b) AS class_id FROM reach GROUP BY a
+"""
+
+
 _STOP_WORDS = ", ".join(f"'{w}'" for w in sorted(set(quality.STOP_WORDS)))
 _RATIOS = {
     "word_length": "word_chars / greatest(n_words, 1)",
