@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from tallybook.sources.records import read_lines, read_records, unclosed
+from tallybook.sources.records import read_blocks, read_lines, read_records
 from tallybook.sources.schemas import ALL_TABLES
 
 
@@ -76,16 +76,14 @@ def _whole_records(
 ) -> DataFrame:
     """Rows whose values may hold line breaks, read in as many tasks as the files have pieces."""
     lines = read_lines(spark, path)
-    open_ended = unclosed(lines).first()
-    if open_ended is not None:
-        raise UploadError(f"{open_ended['file']}: a quote is opened and not closed")
-    records = read_records(lines)
+    blocks = read_blocks(lines)
+    if blocks.unclosed:
+        raise UploadError(f"{blocks.unclosed[0]}: a quote is opened and not closed")
+    records = read_records(lines, blocks)
     place = F.struct("file", "block", "row")
-    heads = records.groupBy("file").agg(F.min(place).alias("head")).select("head")
-    body = records.join(heads, place == F.col("head"), "left_anti")
     ddl = ", ".join(f"`{f.name.replace('`', '``')}` string" for f in schema)
     parsed = F.from_csv("text", ddl, options | {"multiLine": "true"})
-    return body.select(parsed.alias("fields"), place.alias("row_no"))
+    return records.select(parsed.alias("fields"), place.alias("row_no"))
 
 
 def read_upload(

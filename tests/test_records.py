@@ -9,7 +9,7 @@ import random
 import pytest
 
 from tallybook.sources.readers import UploadError, read_upload
-from tallybook.sources.records import read_lines
+from tallybook.sources.records import _crossing, read_blocks, read_lines, read_records
 from tests.test_scale import settings
 
 COLUMNS = ["a", "b", "c"]
@@ -86,3 +86,38 @@ def test_a_file_that_ends_inside_quotes_is_refused(spark, tmp_path):
 
 def test_only_a_heading(spark, tmp_path):
     assert records(spark, write(tmp_path / "a.csv", "a,b,c\n")) == []
+
+
+def test_no_text_is_shuffled_but_that_of_records_across_pieces(spark, tmp_path):
+    text, want = random_file(2, 700)
+    path = write(tmp_path / "a.csv", text)
+    whole = read_upload(spark, path, COLUMNS)
+    assert "Exchange" not in whole._jdf.queryExecution().executedPlan().toString()
+    with settings(spark, spark__sql__files__maxPartitionBytes="7k", spark__sql__files__openCostInBytes="0"):
+        lines = read_lines(spark, path)
+        blocks = read_blocks(lines)
+        crossing = _crossing(lines, blocks).count()
+    assert 8 < len(blocks.blocks) and crossing < len(blocks.blocks) < len(want)
+
+
+def test_a_heading_across_pieces_and_behind_empty_lines(spark, tmp_path):
+    wide = "h\n" * 3000
+    path = write(tmp_path / "a.csv", f'\n\r\n"a","b","c","{wide}"\n1,"x\ny",2,3\n\n4,5,6,7\n')
+    lines = 'key,"' + wide + '"\n1,2\n'
+    other = write(tmp_path / "b.csv", lines)
+    with settings(spark, spark__sql__files__maxPartitionBytes="1k", spark__sql__files__openCostInBytes="0"):
+        got = [[r["text"] for r in _records(spark, p)] for p in (path, other)]
+    assert got == [['1,"x\ny",2,3', "4,5,6,7"], ["1,2"]]
+
+
+def _records(spark, path):
+    lines = read_lines(spark, path)
+    return read_records(lines, read_blocks(lines)).orderBy("block", "row").collect()
+
+
+def test_records_across_batches_and_files_in_one_task(spark, tmp_path):
+    for name in "xyz":
+        write(tmp_path / f"{name}.csv", "a,b,c\n" + "".join(f'{name},"{i}\n\nend",3\n' for i in range(20)))
+    want = [(name, f"{i}\n\nend", "3") for name in "xyz" for i in range(20)]
+    with settings(spark, spark__sql__execution__arrow__maxRecordsPerBatch="7"):
+        assert records(spark, str(tmp_path)) == want
