@@ -130,8 +130,9 @@ def _book(
         raise MissingBeneficiaryCodes("sellers without beneficiary code", log)
 
     # Item prices with their orders.
+    ids = matching.unique_item_ids(sc)
     oms = counts.stage(
-        order_extract(tables, matching.unique_item_ids(sc)), f"{work}/orders", rows("orders")
+        order_extract(tables, ids, most=period is None), f"{work}/orders", rows("orders")
     )
     checked_prices = counts.stage(
         check_item_price_rows(matching.match_orders(sc, oms)),

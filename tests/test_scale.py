@@ -114,6 +114,33 @@ def test_the_chain_of_order_tables_is_planned_once(spark, written):
             assert sorted(tables) == sorted(set(tables)) and "ims_sales_order_item" in tables
 
 
+def test_all_periods_read_the_items_without_a_list_of_them(spark, written):
+    with settings(spark, **SHUFFLED):
+        plan = plan_of(seller_extract(written))
+    assert "LeftSemi" not in plan and "Join [ref_probe" in plan
+
+
+def test_rows_of_a_category_are_picked_before_the_item_join(spark, written):
+    with settings(spark, **SHUFFLED):
+        lines = plan_of(routing.bucket(written_sc(written), "item_price")).splitlines()
+    types = next(line for line in lines if "Join [fk_type_probe" in line)
+    items = next(line for line in lines if "Join [ref_probe" in line)
+    assert len(types) - len(types.lstrip(" :+-")) > len(items) - len(items.lstrip(" :+-"))
+
+
+def test_sellers_marked_with_the_retail_list_are_not_sized_as_a_product(spark, written):
+    retail = maps.read_retail_list(written["retail_short_code"])
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="100k"):
+        assert "BroadcastHashJoin [fk_seller_probe" in plan_of(seller_extract(written, retail=retail))
+
+
+def test_order_extract_picks_most_items_late_with_the_same_rows(spark, written):
+    ids = spark.createDataFrame([(i,) for i in (11, 12, 13, 13, 14, 99, None)], "oms_id_sales_order_item bigint")
+    for tables, wanted in ((source_tables(spark), ids), (written, matching.unique_item_ids(written_sc(written)).limit(500))):
+        early, late = order_extract(tables, wanted), order_extract(tables, wanted, most=True)
+        assert sorted(map(repr, early.collect())) == sorted(map(repr, late.collect()))
+
+
 def test_missing_keys_are_spread_over_the_partitions(spark):
     facts = spark.range(20_000).select(
         "id", F.when(F.col("id") % 3 == 0, F.col("id")).alias("key")
