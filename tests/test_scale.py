@@ -141,6 +141,17 @@ def test_order_extract_picks_most_items_late_with_the_same_rows(spark, written):
         assert sorted(map(repr, early.collect())) == sorted(map(repr, late.collect()))
 
 
+@pytest.mark.parametrize(
+    "name, most",
+    [("missing_ledger_keys_log", 1), ("ipc_paid_price_ledger_amount", 1), ("total_ledger_amount", 2)],
+)
+def test_how_often_a_query_takes_the_transactions_through_the_extract(spark, name, most):
+    from __spark_entry__ import queries
+
+    with settings(spark, **SHUFFLED):
+        assert plan_of(queries()[name](spark, SF)).count("Join [ref_probe") <= most
+
+
 def test_missing_keys_are_spread_over_the_partitions(spark):
     facts = spark.range(20_000).select(
         "id", F.when(F.col("id") % 3 == 0, F.col("id")).alias("key")
