@@ -143,7 +143,7 @@ def test_order_extract_picks_most_items_late_with_the_same_rows(spark, written):
 
 @pytest.mark.parametrize(
     "name, most",
-    [("missing_ledger_keys_log", 1), ("ipc_paid_price_ledger_amount", 1), ("total_ledger_amount", 2)],
+    [("missing_ledger_keys_log", 1), ("ipc_paid_price_ledger_amount", 1), ("total_ledger_amount", 2), ("run_gates", 3)],
 )
 def test_how_often_a_query_takes_the_transactions_through_the_extract(spark, name, most):
     from __spark_entry__ import queries
@@ -152,6 +152,15 @@ def test_how_often_a_query_takes_the_transactions_through_the_extract(spark, nam
         assert plan_of(queries()[name](spark, SF)).count("Join [ref_probe") <= most
 
 
+def test_seller_gates_count_as_the_tables_they_stand_for(spark):
+    rows = [("a", None), ("a", None), ("a", "bad"), ("b", None), (None, None), (None, "bad"), ("c", "bad")]
+    checked = spark.createDataFrame(rows, "short_code string, error string")
+    codes = spark.createDataFrame([("a", 1), ("a", 2), (None, 3), ("c", 4)], "short_code string, code int")
+    missing = matching.missing_beneficiary(checked.where("error IS NULL"), codes).count()
+    assert tuple(matching.seller_gate_counts(checked, codes).first()) == (missing, 3) == (2, 3)
+    assert tuple(matching.seller_gate_counts(checked.where("false"), codes).first()) == (0, 0)
+
+
 def test_missing_keys_are_spread_over_the_partitions(spark):
     facts = spark.range(20_000).select(
         "id", F.when(F.col("id") % 3 == 0, F.col("id")).alias("key")
